@@ -6,6 +6,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Irregular words and their stems.
 IRREGULAR = {
@@ -112,7 +113,7 @@ def stem_word(word: str) -> str:
     return _final(_ending(_swap(_derivation(word), STEP_3)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def stem(terms: pd.Series) -> pd.Series:
     """The stem of each term; meant for a distinct vocabulary."""
     return terms.map(stem_word)

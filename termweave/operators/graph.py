@@ -52,7 +52,6 @@ def pagerank(
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     edges = edges.select("src", "dst").distinct()
-    degrees = edges.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
     vertices = (
         edges.select(F.explode(F.array(F.struct(F.col("src").alias("id"), F.lit(1).alias("out")),
                                        F.struct(F.col("dst").alias("id"), F.lit(0).alias("out")))).alias("end"))

@@ -81,6 +81,11 @@ def term_stats(postings: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return postings.groupBy(*by, "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("term_total"))
 
 
+def remove_terms(postings: DataFrame, terms: DataFrame) -> DataFrame:
+    """Postings without the terms of a table of any size."""
+    return postings.join(terms, "term", "left_anti")
+
+
 def drop_rare(stats: DataFrame, min_df: int) -> DataFrame:
     """Terms found in more than `min_df` documents."""
     return stats.where(F.col("df") > min_df)

@@ -36,11 +36,11 @@ def read_dump(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def load_qrels(lines: DataFrame) -> DataFrame:
-    """lines(value) of JSON maps text -> [ids] to (query, position, doc_id)."""
-    parsed = lines.select(F.from_json("value", "MAP<STRING, ARRAY<LONG>>").alias("entries"))
-    return parsed.select(F.explode("entries").alias("query", "ids")).select(
-        "query", F.posexplode("ids").alias("position", "doc_id")
+def load_qrels(lines: DataFrame, *keys: str) -> DataFrame:
+    """lines(keys, value) of JSON maps text -> [ids] to (keys, query, position, doc_id)."""
+    parsed = lines.select(*keys, F.from_json("value", "MAP<STRING, ARRAY<LONG>>").alias("entries"))
+    return parsed.select(*keys, F.explode("entries").alias("query", "ids")).select(
+        *keys, "query", F.posexplode("ids").alias("position", "doc_id")
     )
 
 

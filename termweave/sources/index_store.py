@@ -50,40 +50,26 @@ class StoredIndex:
 
 
 def write_index(
-    postings: DataFrame, docs: DataFrame, path: str, field: str, n_buckets: int = N_BUCKETS, mode: str = "overwrite"
+    postings: DataFrame, docs: DataFrame, path: str, field: str, n_buckets: int = N_BUCKETS
 ) -> StoredIndex:
     """Store postings(term, doc_id, tf, doc_len) and doc_stats(doc_id, doc_len) as one field of an index.
 
     REBALANCE puts the postings of a bucket together, cuts buckets that are too large
     for a task (a term that is in every document) and joins small ones. Files are sorted
     by term and doc_id, so that row groups of other terms are skipped. Term statistics
-    come from the stored postings, so the text is read once.
+    come from the stored postings, so the text is not tokenized again for them.
     """
-    spark = postings.sparkSession
-    (
-        postings.withColumn("bucket", bucket_of("term", n_buckets))
-        .hint("rebalance", "bucket")
-        .sortWithinPartitions("bucket", "term", "doc_id")
-        .withColumn("field", F.lit(field))
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("field", "bucket")
-        .parquet(f"{path}/postings")
-    )
-    index = StoredIndex(spark, path)
+    index = StoredIndex(postings.sparkSession, path)
 
     def store(table: DataFrame, name: str, *parts: str) -> None:
-        (
-            table.withColumn("field", F.lit(field))
-            .write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("field", *parts)
-            .parquet(f"{path}/{name}")
-        )
+        table.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/{name}/field={field}")
 
+    bucketed = postings.select("term", "doc_id", "tf", "doc_len", bucket_of("term", n_buckets).alias("bucket"))
+    store(
+        bucketed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "doc_id"), "postings", "bucket"
+    )
     store(docs.select("doc_id", "doc_len"), "doc_stats")
-    stats = term_stats(index.postings(field))
-    store(stats, "term_stats")
+    store(term_stats(index.postings(field)), "term_stats")
     totals = index.doc_stats(field).agg(
         F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("doc_len"), F.lit(0)).alias("n_tokens")
     )
@@ -101,7 +87,7 @@ def delete_index(index: StoredIndex) -> None:
         path = f"{index.path}/{name}"
         schema = index.spark.read.parquet(path).schema
         empty = index.spark.createDataFrame([], schema)
-        empty.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        empty.write.mode("overwrite").parquet(path)
 
 
 def posting_lookup(index: StoredIndex, terms: Sequence[str], field: str, n_buckets: int = N_BUCKETS) -> DataFrame:
