@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from termweave.functions.scoring import rounded
 from termweave.operators.rank import top_n
 
 
@@ -46,23 +49,28 @@ def blend3(
     )
 
 
-def merge_results(
-    title: DataFrame,
-    body: DataFrame,
-    title_weight=0.5,
-    body_weight=0.5,
-    n: int = 3,
-    by: tuple[str, ...] = ("query_id",),
-) -> DataFrame:
-    """Weighted sum of two runs; a document missing in one has 0 there. The weights may be columns."""
+def _paired(title: DataFrame, body: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Both scores of every document; 0 where a run lacks it."""
     title = title.select(*by, "doc_id", F.col("score").alias("title_score"))
     body = body.select(*by, "doc_id", F.col("score").alias("body_score"))
-    t = F.coalesce("title_score", F.lit(0.0))
-    b = F.coalesce("body_score", F.lit(0.0))
-    return top_n(combine(title.join(body, [*by, "doc_id"], "full_outer"), t, b, title_weight, body_weight, by), n, by)
+    return title.join(body, [*by, "doc_id"], "full_outer").fillna(0.0, ["title_score", "body_score"])
+
+
+def _weighted(title_weight: Column, body_weight: Column) -> Column:
+    return rounded(F.col("title_score") * title_weight + F.col("body_score") * body_weight, 5)
+
+
+def merge_results(
+    title: DataFrame, body: DataFrame, title_weight: float = 0.5, body_weight: float = 0.5, n: int = 3
+) -> DataFrame:
+    """The n best by weighted sum of two runs; a document missing in one has 0 there."""
+    score = _weighted(F.lit(float(title_weight)), F.lit(float(body_weight)))
+    return top_n(_paired(title, body, ["query_id"]).select("query_id", "doc_id", score.alias("score")), n)
 
 
-def combine(pairs: DataFrame, t, b, title_weight, body_weight, by: tuple[str, ...]) -> DataFrame:
-    weight = [w if not isinstance(w, (int, float)) else F.lit(float(w)) for w in (title_weight, body_weight)]
-    score = F.floor((t * weight[0] + b * weight[1]) * 1e5 + 0.5) / F.lit(1e5)
-    return pairs.select(*by, "doc_id", score.alias("score"))
+def merge_grid(title: DataFrame, body: DataFrame, weights: Column, n: int, by: Sequence[str]) -> DataFrame:
+    """merge_results for every (title_weight, body_weight) of an array column, from one join."""
+    rows = _paired(title, body, by).select("*", F.inline(weights))
+    by = [*by, "title_weight", "body_weight"]
+    score = _weighted(F.col("title_weight"), F.col("body_weight"))
+    return top_n(rows.select(*by, "doc_id", score.alias("score")), n, by)

@@ -30,7 +30,7 @@ def read_dump(spark: SparkSession, path: str) -> DataFrame:
     Redirects and pages outside namespace 0 are left out. bz2 dumps are read in
     splits like plain files.
     """
-    pages = spark.read.format("xml").option("rowTag", "page").schema(DUMP_SCHEMA).load(path)
+    pages = spark.read.format("xml").option("rowTag", "page").option("ignoreSurroundingSpaces", False).schema(DUMP_SCHEMA).load(path)
     return pages.where("redirect IS NULL AND ns = 0").select(
         F.col("id").alias("page_id"), "title", F.col("revision.text._VALUE").alias("body")
     )
