@@ -24,6 +24,24 @@ def _harmonic(recall: Column, precision: Column) -> Column:
     return rounded(ratio(2.0 * precision * recall, recall + precision), 3)
 
 
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda total, value: total + value)
+
+
+def _thousandths(value: Column) -> Column:
+    """A 3-digit number as a whole number, so that sums do not depend on their order."""
+    return F.floor(value * 1000.0 + 0.5)
+
+
+def _mean_of_3_digits(name: str) -> Column:
+    return F.sum(_thousandths(F.col(name))) / (1000.0 * F.count(name))
+
+
+def _discounted(grades: Column) -> Column:
+    """Sum of grade / log2(place + 1) over a list in order of place."""
+    return _total(F.transform(grades, lambda grade, i: grade / F.log2(i + 2.0)))
+
+
 def _fold_gain(grades: Column) -> Column:
     """Gain as a fold: the first hit sets it to its grade, a later hit to grade / log2(gain + 1)."""
     return F.aggregate(
@@ -35,6 +53,14 @@ def _fold_gain(grades: Column) -> Column:
     )
 
 
+def _average_precision(hits: Column, round_each: bool) -> Column:
+    """Mean over the hits of the precision at their rank."""
+    precision = F.transform(hits, lambda hit, i: (i + 1.0) / hit["rank"])
+    if round_each:
+        return _total(F.transform(precision, lambda p: _thousandths(p).cast("double"))) / (1000.0 * F.size(hits))
+    return _total(precision) / F.size(hits)
+
+
 def evaluate(
     run: DataFrame,
     qrels: DataFrame,
@@ -54,75 +80,54 @@ def evaluate(
     result id stands in for it. `ap_rounding` rounds the precision at each hit to 3 digits
     before averaging; `ndcg` is standard or recursive.
 
-    The only windows run over the first max(ks) results of a query; counts over all
-    results are plain aggregates.
+    One aggregate over the run serves all metrics and all k: it counts over all results
+    and keeps the hits among the first max(ks), which bounds the list of a query.
     """
-    by = list(by)
     keys = [*by, "query_id"]
+    deepest = max(ks)
     relevant = qrels.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_rel"))
     queries = relevant
     if settings is not None:
-        queries = relevant.withColumn("s", F.explode(settings)).select("query_id", "n_rel", "s.*")
+        queries = relevant.select("query_id", "n_rel", F.inline(settings))
 
     judged = run.select(*keys, "doc_id", "rank").join(qrels, ["query_id", "doc_id"], "left")
-    judged = judged.withColumn("hit", F.when(F.col("grade").isNotNull(), 1).otherwise(0))
-
-    whole = (
+    is_hit = F.col("grade").isNotNull()
+    results = (
         judged.join(relevant, "query_id")
         .groupBy(*keys)
         .agg(
-            F.sum(F.when(F.col("rank") <= F.col("n_rel"), F.col("hit")).otherwise(0)).alias("r_hits"),
+            F.count(F.when(is_hit & (F.col("rank") <= F.col("n_rel")), 1)).alias("r_hits"),
             F.max("doc_id").alias("max_id"),
-        )
-    )
-    k_array = F.array(*[F.lit(int(k)) for k in ks])
-    seen = Window.partitionBy(*keys).orderBy("rank")
-    at_hit = F.sum("hit").over(seen) / F.col("rank")
-    at_hit = rounded(at_hit, 3) if ap_rounding else at_hit
-    first = judged.where(F.col("rank") <= max(ks)).withColumn("at_hit", F.when(F.col("hit") == 1, at_hit))
-    hit = F.col("hit") == 1
-    hit_grades = F.collect_list(F.when(hit, F.struct("rank", "grade")))
-    within = (
-        first.withColumn("k", F.explode(k_array))
-        .where(F.col("rank") <= F.col("k"))
-        .groupBy(*keys, "k")
-        .agg(
-            F.sum("hit").alias("hits"),
-            F.count(F.lit(1)).alias("shown"),
-            F.min(F.when(hit, F.col("rank"))).alias("first_hit"),
-            F.avg("at_hit").alias("ap"),
-            F.sum(F.when(hit, F.col("grade") / F.log2(F.col("rank") + 1.0))).alias("dcg"),
-            F.sort_array(hit_grades).alias("hit_grades"),
+            F.count(F.when(F.col("rank") <= deepest, 1)).alias("n_results"),
+            F.sort_array(
+                F.collect_list(F.when(is_hit & (F.col("rank") <= deepest), F.struct("rank", "grade")))
+            ).alias("hits"),
         )
     )
     best = Window.partitionBy("query_id").orderBy(F.desc("grade"), "doc_id")
     ideal = (
         qrels.withColumn("place", F.row_number().over(best))
-        .where(F.col("place") <= max(ks))
-        .withColumn("k", F.explode(k_array))
-        .where(F.col("place") <= F.col("k"))
-        .groupBy("query_id", "k")
-        .agg(F.sum(F.col("grade") / F.log2(F.col("place") + 1.0)).alias("ideal"))
+        .where(F.col("place") <= deepest)
+        .groupBy("query_id")
+        .agg(F.sort_array(F.collect_list("grade"), asc=False).alias("best_grades"))
     )
 
-    rows = (
-        queries.withColumn("k", F.explode(k_array))
-        .join(within, [*keys, "k"], "left")
-        .join(whole, keys, "left")
-        .join(ideal, ["query_id", "k"], "left")
-    )
+    rows = queries.join(results, keys, "left").join(ideal, "query_id", "left")
+    rows = rows.withColumn("k", F.explode(F.array(*[F.lit(int(k)) for k in ks])))
+    hits = F.filter("hits", lambda hit: hit["rank"] <= F.col("k"))
+    grades = F.transform(hits, lambda hit: hit["grade"])
     zero = F.lit(0)
-    hits = F.coalesce("hits", zero)
-    recall = rounded(hits / F.col("n_rel"), 3)
-    precision = rounded(hits / F.col("k"), 3)
-    size = F.coalesce("max_id", zero) if collection_size is None else collection_size
-    size = F.lit(size) if isinstance(size, int) else size
     if ndcg == "recursive":
-        in_rank = F.transform("hit_grades", lambda g: g["grade"])
-        best_first = F.sort_array(in_rank, asc=False)
-        gain = ratio(_fold_gain(in_rank), _fold_gain(best_first))
+        gain = ratio(_fold_gain(grades), _fold_gain(F.sort_array(grades, asc=False)))
     else:
-        gain = ratio(F.coalesce("dcg", F.lit(0.0)), F.coalesce("ideal", F.lit(0.0)))
+        dcg = _total(F.transform(hits, lambda hit: hit["grade"] / F.log2(hit["rank"] + 1.0)))
+        gain = ratio(dcg, _discounted(F.slice("best_grades", F.lit(1), F.col("k"))))
+    n_hits = F.coalesce(F.size(hits), zero)
+    shown = F.least(F.coalesce("n_results", zero), F.col("k"))
+    recall = rounded(n_hits / F.col("n_rel"), 3)
+    precision = rounded(n_hits / F.col("k"), 3)
+    size = F.coalesce("max_id", zero) if collection_size is None else F.lit(collection_size)
+    ap = F.when(n_hits > 0, _average_precision(hits, ap_rounding))
     return rows.select(
         *keys,
         "k",
@@ -130,16 +135,16 @@ def evaluate(
         precision.alias("precision"),
         _harmonic(recall, precision).alias("f_score"),
         rounded(F.coalesce("r_hits", zero) / F.col("n_rel"), 3).alias("r_precision"),
-        rounded(F.coalesce(F.lit(1.0) / F.col("first_hit"), F.lit(0.0)), 3).alias("reciprocal_rank"),
-        rounded(F.coalesce("ap", F.lit(0.0)), 3).alias("average_precision"),
-        rounded(ratio((F.coalesce("shown", zero) - hits).cast("double"), size - F.col("n_rel")), 3).alias("fallout"),
+        rounded(F.coalesce(1.0 / F.get(hits, zero)["rank"], F.lit(0.0)), 3).alias("reciprocal_rank"),
+        rounded(F.coalesce(ap, F.lit(0.0)), 3).alias("average_precision"),
+        rounded(ratio((shown - n_hits).cast("double"), size - F.col("n_rel")), 3).alias("fallout"),
         rounded(F.coalesce(gain, F.lit(0.0)), 3).alias("ndcg"),
     )
 
 
-def mean_metrics(metrics: DataFrame, by: Sequence[str] = (), digits: int = 5) -> DataFrame:
-    """The mean of each metric."""
-    return metrics.groupBy(*by).agg(*[rounded(F.avg(m), digits).alias(m) for m in METRICS])
+def mean_metrics(metrics: DataFrame, by: Sequence[str] = (), names: Sequence[str] = METRICS) -> DataFrame:
+    """The mean of each metric, 5 digits."""
+    return metrics.groupBy(*by).agg(*[rounded(_mean_of_3_digits(m), 5).alias(m) for m in names])
 
 
 def long_form(metrics: DataFrame, names: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -149,9 +154,9 @@ def long_form(metrics: DataFrame, names: Sequence[str], keys: Sequence[str]) ->
 
 
 def mean_ap_with_misses(results: DataFrame) -> DataFrame:
-    """Mean of `ap` where queries without an answer (null) stay in the divisor."""
-    total = F.coalesce(F.sum("ap"), F.lit(0.0))
-    return results.agg(rounded(ratio(total, F.count(F.lit(1))), 5).alias("map"))
+    """Mean of `ap` (3 digits) where queries without an answer (null) stay in the divisor."""
+    total = F.coalesce(F.sum(_thousandths(F.col("ap"))), F.lit(0))
+    return results.agg(rounded(ratio(total, 1000.0 * F.count(F.lit(1))), 5).alias("map"))
 
 
 def mean_speed(log: DataFrame, duration: str = "duration") -> DataFrame:
@@ -162,9 +167,9 @@ def mean_speed(log: DataFrame, duration: str = "duration") -> DataFrame:
 def eval_summary(metrics: DataFrame, log: DataFrame) -> DataFrame:
     """Mean recall, f-score, r-precision, speed and MAP in one row; log(query_id, duration)."""
     return metrics.join(log, "query_id", "left").agg(
-        *[rounded(F.avg(m), 5).alias(m) for m in ["recall", "f_score", "r_precision"]],
+        *[rounded(_mean_of_3_digits(m), 5).alias(m) for m in ["recall", "f_score", "r_precision"]],
         rounded(F.avg("duration"), 5).alias("avg_eval_speed"),
-        rounded(F.sum("average_precision") / F.count(F.lit(1)), 5).alias("map"),
+        rounded(_mean_of_3_digits("average_precision"), 5).alias("map"),
     )
 
 

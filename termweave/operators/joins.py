@@ -16,16 +16,16 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def join_by_term(
-    postings: DataFrame, small: DataFrame, broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS
-) -> DataFrame:
-    """Inner join on `term`: broadcast behind a row count, else a shuffle with salted terms.
+def join_by_term(large: DataFrame, small: DataFrame, fits: bool, salts: int = SALTS) -> DataFrame:
+    """Inner join on `term`: `small` is broadcast where it `fits`, else both sides shuffle with salted terms.
 
     In the shuffle every term is cut into `salts` parts by document, so the postings of
     a term that is in every document spread over that many tasks.
     """
-    if at_most(small, broadcast_rows):
-        return postings.join(F.broadcast(small), "term")
-    salted = postings.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+    if fits:
+        return large.join(F.broadcast(small), "term")
+    if salts == 1:
+        return large.join(small, "term")
+    salted = large.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
     copies = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, ["term", "salt"]).drop("salt")

@@ -18,7 +18,7 @@ from termweave.functions.scoring import (
     rounded,
 )
 from termweave.operators.index import count_terms
-from termweave.operators.joins import join_by_term
+from termweave.operators.joins import BROADCAST_ROWS, SALTS, at_most, join_by_term
 
 Scalar = Column | float | int
 
@@ -34,15 +34,25 @@ def query_terms(
     return counted.withColumnsRenamed({"tf": "qtf", "doc_len": "query_len"})
 
 
-def with_df(terms: DataFrame, stats: DataFrame, n_docs: Scalar | None = None) -> DataFrame:
-    """Query terms of the index with their df; n_docs goes along where given."""
-    known = join_by_term(stats.select("term", "df"), terms)
-    return known if n_docs is None else known.withColumn("n_docs", col(n_docs))
-
-
-def hits(terms: DataFrame, postings: DataFrame) -> DataFrame:
-    """One row per query term and document that has it."""
-    return join_by_term(postings, terms)
+def match(
+    terms: DataFrame,
+    postings: DataFrame,
+    stats: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    salts: int = SALTS,
+) -> tuple[DataFrame, DataFrame]:
+    """(known, found): the query terms of the index with their df, and one row per known term and document with it.
+
+    The query terms are counted once. Up to `broadcast_rows` of them go to every task,
+    first to the term statistics, then (no more rows than before, since the statistics
+    have one row per term) to the postings, which are not shuffled. Beyond that both
+    joins shuffle, with the postings of a term salted.
+    """
+    fits = at_most(terms, broadcast_rows)
+    known = terms
+    if stats is not None:
+        known = join_by_term(stats.select("term", "df"), terms, fits, salts=1)
+    return known, join_by_term(postings, known, fits, salts)
 
 
 def top_n(run: DataFrame, n: int, by: Sequence[str] = ("query_id",)) -> DataFrame:
@@ -60,21 +70,21 @@ def in_order(run: DataFrame) -> DataFrame:
     return run.orderBy("query_id", F.desc("score"), "doc_id")
 
 
-def candidates(terms: DataFrame, postings: DataFrame) -> DataFrame:
+def candidates(found: DataFrame) -> DataFrame:
     """Documents that have any term of the query."""
-    return hits(terms, postings).select("query_id", "doc_id").distinct()
+    return found.select("query_id", "doc_id").distinct()
 
 
-def candidate_tfidf(terms: DataFrame, postings: DataFrame, n_docs: Scalar) -> DataFrame:
-    """(query_id, doc_id, term, tfidf) with tf / doc_len * log10(N / df); `terms` has df."""
+def candidate_tfidf(found: DataFrame, n_docs: Scalar) -> DataFrame:
+    """(query_id, doc_id, term, tfidf) with tf / doc_len * log10(N / df)."""
     weight = F.col("tf") / F.col("doc_len") * log10_idf(n_docs)
-    return hits(terms, postings).select("query_id", "doc_id", "term", weight.alias("tfidf"))
+    return found.select("query_id", "doc_id", "term", weight.alias("tfidf"))
 
 
-def query_tfidf(terms: DataFrame, n_docs: Scalar) -> DataFrame:
-    """(query_id, term, tfidf) with qtf / query_len * log10(N / (df + 1e-7)); `terms` has df."""
+def query_tfidf(known: DataFrame, n_docs: Scalar) -> DataFrame:
+    """(query_id, term, tfidf) with qtf / query_len * log10(N / (df + 1e-7))."""
     weight = F.col("qtf") / F.col("query_len") * log10_idf(n_docs, "df", DF_EPSILON)
-    return terms.select("query_id", "term", weight.alias("tfidf"))
+    return known.select("query_id", "term", weight.alias("tfidf"))
 
 
 def _cosine(pairs: DataFrame, norms: DataFrame) -> DataFrame:
@@ -91,13 +101,12 @@ def _query_norms(weights: DataFrame, name: str = "tfidf") -> DataFrame:
     return weights.groupBy("query_id").agg(F.sqrt(F.sum(F.col(name) * F.col(name))).alias("q_norm"))
 
 
-def cosine(terms: DataFrame, postings: DataFrame, n_docs: Scalar) -> DataFrame:
-    """Cosine of query and document over the query terms, 5 digits; `terms` has df."""
+def cosine(known: DataFrame, found: DataFrame, n_docs: Scalar) -> DataFrame:
+    """Cosine of query and document over the query terms, 5 digits."""
     query_side = F.col("qtf") / F.col("query_len") * log10_idf(n_docs, "df", DF_EPSILON)
-    pairs = hits(terms.withColumn("q", query_side), postings).select(
-        "query_id", "doc_id", (F.col("tf") / F.col("doc_len") * log10_idf(n_docs)).alias("d"), "q"
-    )
-    return _cosine(pairs, _query_norms(query_tfidf(terms, n_docs)))
+    doc_side = F.col("tf") / F.col("doc_len") * log10_idf(n_docs)
+    pairs = found.select("query_id", "doc_id", doc_side.alias("d"), query_side.alias("q"))
+    return _cosine(pairs, _query_norms(query_tfidf(known, n_docs)))
 
 
 def tfidf_vectors(postings: DataFrame, stats: DataFrame, n_docs: Scalar) -> DataFrame:
@@ -114,40 +123,33 @@ def tfidf_vectors(postings: DataFrame, stats: DataFrame, n_docs: Scalar) -> Data
     return raw.select("doc_id", "term", (F.col("raw") / norm).alias("weight"))
 
 
-def query_vectors(terms: DataFrame, n_docs: Scalar) -> DataFrame:
-    """The same weights for queries, over terms of the corpus; `terms` has df."""
+def query_vectors(known: DataFrame, n_docs: Scalar) -> DataFrame:
+    """The same weights for queries, over terms of the corpus."""
     idf = F.ln((1.0 + col(n_docs)) / (1.0 + F.col("df"))) + 1.0
-    raw = terms.select("query_id", "term", (F.col("qtf") * idf).alias("raw"))
+    raw = known.select("query_id", "term", (F.col("qtf") * idf).alias("raw"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("query_id")))
     return raw.select("query_id", "term", (F.col("raw") / norm).alias("q_weight"))
 
 
 def cosine_matrix(vectors: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, doc_id, score) of all pairs that share a term; other pairs are 0 and not written."""
-    shared = join_by_term(vectors, queries)
+    shared = join_by_term(vectors, queries, at_most(queries, BROADCAST_ROWS))
     return shared.groupBy("query_id", "doc_id").agg(
         rounded(F.sum(F.col("weight") * F.col("q_weight")), 5).alias("score")
     )
 
 
-def bm25(
-    terms: DataFrame,
-    postings: DataFrame,
-    n_docs: Scalar,
-    avg_len: Scalar,
-    k1: float = 1.5,
-    b: float = 0.75,
-) -> DataFrame:
-    """BM25 over candidates; every occurrence of a query term adds once. `terms` has df."""
-    return bm25_grid(terms, postings, n_docs, avg_len, [(k1, b)]).drop("k1", "b")
+def bm25(found: DataFrame, n_docs: Scalar, avg_len: Scalar, k1: float = 1.5, b: float = 0.75) -> DataFrame:
+    """BM25 over candidates; every occurrence of a query term adds once."""
+    return bm25_grid(found, n_docs, avg_len, [(k1, b)]).drop("k1", "b")
 
 
 def bm25_grid(
-    terms: DataFrame, postings: DataFrame, n_docs: Scalar, avg_len: Scalar, settings: Sequence[tuple[float, float]]
+    found: DataFrame, n_docs: Scalar, avg_len: Scalar, settings: Sequence[tuple[float, float]]
 ) -> DataFrame:
     """(k1, b, query_id, doc_id, score) for all settings from one join of queries and postings."""
     grid = F.array(*[F.struct(F.lit(float(k1)).alias("k1"), F.lit(float(b)).alias("b")) for k1, b in settings])
-    rows = hits(terms, postings).withColumn("s", F.explode(grid)).select("*", "s.k1", "s.b")
+    rows = found.select("*", F.inline(grid))
     weight = (
         F.col("qtf")
         * bm25_idf(n_docs)
@@ -156,15 +158,8 @@ def bm25_grid(
     return rows.groupBy("k1", "b", "query_id", "doc_id").agg(rounded(F.sum(weight), 5).alias("score"))
 
 
-def bm25_naive(
-    terms: DataFrame,
-    postings: DataFrame,
-    n_docs: Scalar,
-    avg_len: Scalar,
-    k1: float = 1.5,
-    b: float = 0.75,
-) -> DataFrame:
-    """BM25 with length-normalised tf; a query term weighs its count squared. `terms` has df.
+def bm25_naive(found: DataFrame, n_docs: Scalar, avg_len: Scalar, k1: float = 1.5, b: float = 0.75) -> DataFrame:
+    """BM25 with length-normalised tf; a query term weighs its count squared.
 
     Documents without a query term score 0 and are not written.
     """
@@ -175,54 +170,59 @@ def bm25_naive(
         * bm25_idf(n_docs)
         * bm25_weight(norm_tf, F.col("doc_len"), avg_len, F.lit(k1), F.lit(b))
     )
-    return (
-        hits(terms, postings).groupBy("query_id", "doc_id").agg(rounded(F.sum(weight), 5).alias("score"))
-    )
+    return found.groupBy("query_id", "doc_id").agg(rounded(F.sum(weight), 5).alias("score"))
 
 
-def served_score(terms: DataFrame, postings: DataFrame, n_docs: Scalar) -> DataFrame:
+def served_score(found: DataFrame, n_docs: Scalar) -> DataFrame:
     """The body score: sum of qtf^2 * log10(N / df)^2 * tf, over N^2 * query_len.
 
     The divisor is one number per query; results are ordered by the sum, 5 digits.
     """
     n = col(n_docs)
-    sums = (
-        hits(terms, postings)
-        .groupBy("query_id", "doc_id")
-        .agg(
-            F.sum(F.col("qtf") * F.col("qtf") * log10_idf(n) * log10_idf(n) * F.col("tf")).alias("total"),
-            F.first("query_len").alias("query_len"),
-        )
+    sums = found.groupBy("query_id", "doc_id").agg(
+        F.sum(F.col("qtf") * F.col("qtf") * log10_idf(n) * log10_idf(n) * F.col("tf")).alias("total"),
+        F.first("query_len").alias("query_len"),
     )
     return sums.select(
         "query_id", "doc_id", (rounded("total", 5) / (n * n * F.col("query_len"))).alias("score")
     )
 
 
-def subset_score(terms: DataFrame, postings: DataFrame) -> DataFrame:
-    """Cosine with document weight tf * df; N is the number of distinct (doc_id, tf) of the query's postings."""
-    found = hits(terms, postings)
+def subset_score(known: DataFrame, found: DataFrame) -> DataFrame:
+    """Cosine with document weight tf * df; N is the number of distinct (doc_id, tf) of the query's postings.
+
+    Query weights are qtf / query_len * log10(N / (df + 1e-7)). N is one number per
+    query, so log10(N) is left out of the sums over postings and put in afterwards:
+    dot = log10(N) * sum(d * share) - sum(d * share * log10(df + 1e-7)).
+    """
     subset = found.groupBy("query_id").agg(F.count_distinct("doc_id", "tf").alias("n_subset"))
-    weights = terms.join(subset, "query_id").withColumn(
-        "q", F.col("qtf") / F.col("query_len") * log10_idf("n_subset", "df", DF_EPSILON)
+    share = F.col("qtf") / F.col("query_len")
+    log_df = F.log10(F.col("df") + F.lit(DF_EPSILON))
+    weights = known.join(subset, "query_id").withColumn("q", share * log10_idf("n_subset", "df", DF_EPSILON))
+    norms = _query_norms(weights, "q").join(subset, "query_id")
+    d = (F.col("tf") * F.col("df")).cast("double")
+    sums = found.groupBy("query_id", "doc_id").agg(
+        F.sum(d * share).alias("plain"),
+        F.sum(d * share * log_df).alias("logged"),
+        F.sqrt(F.sum(d * d)).alias("d_norm"),
+    )
+    dot = F.log10("n_subset") * F.col("plain") - F.col("logged")
+    return sums.join(norms, "query_id").select(
+        "query_id", "doc_id", rounded(ratio(dot, F.col("d_norm") * F.col("q_norm")), 5).alias("score")
     )
-    pairs = hits(weights, postings).select("query_id", "doc_id", (F.col("tf") * F.col("df")).alias("d"), "q")
-    return _cosine(pairs.withColumn("d", F.col("d").cast("double")), _query_norms(weights, "q"))
 
 
-def fast_cosine(terms: DataFrame, postings: DataFrame) -> DataFrame:
+def fast_cosine(found: DataFrame) -> DataFrame:
     """Occurrences of the query words over document length."""
-    return (
-        hits(terms, postings)
-        .groupBy("query_id", "doc_id")
-        .agg((F.sum(F.col("qtf") * F.col("tf")) / F.first("doc_len")).alias("score"))
-    )
+    occurrences = F.sum(F.col("qtf") * F.col("tf"))
+    return found.groupBy("query_id", "doc_id").agg((occurrences / F.first("doc_len")).alias("score"))
 
 
-def match_count(terms: DataFrame, postings: DataFrame, mode: str = "tf") -> DataFrame:
-    """Title and anchor score: occurrences of query words (tf) or number of matched words (distinct)."""
-    scores = {"tf": F.sum(F.col("qtf") * F.col("tf")), "distinct": F.count(F.lit(1))}
-    return hits(terms, postings).groupBy("query_id", "doc_id").agg(scores[mode].alias("score"))
+def match_count(found: DataFrame) -> DataFrame:
+    """Title and anchor score: occurrences of query words (score) and number of matched words (n_matched)."""
+    return found.groupBy("query_id", "doc_id").agg(
+        F.sum(F.col("qtf") * F.col("tf")).alias("score"), F.count(F.lit(1)).alias("n_matched")
+    )
 
 
 def attach_titles(run: DataFrame, titles: DataFrame, keep_untitled: bool = False) -> DataFrame:

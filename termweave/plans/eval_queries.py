@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from termweave.functions.scoring import rounded
 from termweave.operators import blend, evaluate, index, rank
 from termweave.plans import sql, tables
-from termweave.plans.rank_queries import Search, bm25_fields
+from termweave.plans.rank_queries import Search
 from termweave.plans.registry import query
 
 K = 40
@@ -20,6 +19,11 @@ RUN = f"""{sql.JUDGED}, {sql.BODY_STATS}, {sql.QRELS}, {sql.hits("body")}, {sql.
 N_DOCS = "(SELECT count(*) FROM documents)"
 
 
+def mean_sql(name: str) -> str:
+    """Mean of a 3-digit column, added up in whole thousandths."""
+    return sql.rounded(f"sum(floor({name} * 1000 + 0.5e0)::BIGINT)::DOUBLE / (1000.0e0 * count(*))", 5)
+
+
 def metrics_sql(ks: list[int], by: str = "", settings: str = "(SELECT 1)") -> str:
     """CTE metrics: one row per setting, query and k for CTEs run and qrels; `by` ends in a comma."""
     join = "".join(f" AND w.{c} IS NOT DISTINCT FROM m.{c}" for c in by.replace(" ", "").split(",") if c)
@@ -37,7 +41,8 @@ def metrics_sql(ks: list[int], by: str = "", settings: str = "(SELECT 1)") -> st
         FROM judged_run JOIN rel USING (query_id) GROUP BY ALL),
     inside AS (SELECT {by} query_id, k, sum(hit)::BIGINT AS hits, count(*) AS shown,
         min(CASE WHEN hit = 1 THEN rank END) AS first_hit,
-        avg(CASE WHEN hit = 1 THEN {r3("seen::DOUBLE / rank")} END) AS ap,
+        sum(CASE WHEN hit = 1 THEN floor(seen::DOUBLE / rank * 1000 + 0.5e0)::BIGINT END)::DOUBLE
+            / (1000.0e0 * nullif(sum(hit), 0)) AS ap,
         avg(CASE WHEN hit = 1 THEN seen::DOUBLE / rank END) AS ap_exact,
         sum(CASE WHEN hit = 1 THEN grade / log2(rank + 1.0e0) END) AS dcg
         FROM at_rank, ks WHERE rank <= k GROUP BY ALL),
@@ -104,7 +109,7 @@ _metric("ndcg_at_k", "ndcg")
 _metric("ndcg_recursive", "ndcg", with_sql=False, ndcg="recursive")
 
 NAMES = ", ".join(evaluate.METRICS)
-MEANS = ", ".join(f"{sql.rounded(f'avg({m})', 5)} AS {m}" for m in evaluate.METRICS)
+MEANS = ", ".join(f"{mean_sql(m)} AS {m}" for m in evaluate.METRICS)
 
 
 @query("evaluate", f"WITH {EVALUATED} SELECT query_id, k, {NAMES} FROM metrics")
@@ -119,8 +124,7 @@ def evaluate_mean(spark, sf_dir):
 
 @query(
     "map_at_40",
-    f"""WITH {EVALUATED} SELECT {sql.rounded("sum(CASE WHEN average_precision > 0 THEN average_precision ELSE 0 END) / count(*)", 5)} AS map
-    FROM metrics""",
+    f"""WITH {EVALUATED} SELECT {mean_sql("average_precision")} AS map FROM metrics""",
 )
 def map_at_40(spark, sf_dir):
     """Queries without a hit count as unanswered: their value is null and they stay in the divisor."""
@@ -141,9 +145,9 @@ LOG = """log AS (SELECT 1 + event_id % 8 AS query_id, avg(abs(value)) AS duratio
 
 @query(
     "eval_summary",
-    f"""WITH {EVALUATED}, {LOG} SELECT {sql.rounded("avg(recall)", 5)} AS recall, {sql.rounded("avg(f_score)", 5)} AS f_score,
-    {sql.rounded("avg(r_precision)", 5)} AS r_precision, {sql.rounded("avg(duration)", 5)} AS avg_eval_speed,
-    {sql.rounded("sum(average_precision) / count(*)", 5)} AS map FROM metrics LEFT JOIN log USING (query_id)""",
+    f"""WITH {EVALUATED}, {LOG} SELECT {mean_sql("recall")} AS recall, {mean_sql("f_score")} AS f_score,
+    {mean_sql("r_precision")} AS r_precision, {sql.rounded("avg(duration)", 5)} AS avg_eval_speed,
+    {mean_sql("average_precision")} AS map FROM metrics LEFT JOIN log USING (query_id)""",
 )
 def eval_summary(spark, sf_dir):
     clicks = tables.read(spark, sf_dir, "events", "event_id", "event_type", "value").where("event_type = 'click'")
@@ -193,7 +197,7 @@ def _grid_sql() -> str:
 
 
 GRID = f"""{_grid_sql()}, means AS (SELECT k1, b, title_weight, body_weight,
-    {sql.rounded("avg(average_precision)", 5)} AS average_precision FROM metrics GROUP BY ALL)"""
+    {mean_sql("average_precision")} AS average_precision FROM metrics GROUP BY ALL)"""
 
 
 def _grid_means(spark, sf_dir):
@@ -202,7 +206,7 @@ def _grid_means(spark, sf_dir):
     runs = []
     for field in ["title", "body"]:
         search = Search(spark, sf_dir, field, terms)
-        scores = rank.bm25_grid(search.known, search.postings, search.n_docs, search.avg_len, tables.BM25_SETTINGS)
+        scores = rank.bm25_grid(search.found, search.n_docs, search.avg_len, tables.BM25_SETTINGS)
         runs.append(rank.top_n(scores, N_GRID, ["k1", "b", "query_id"]).drop("rank"))
     weights = F.array(*[
         F.struct(F.lit(t).alias("title_weight"), F.lit(w).alias("body_weight")) for t, w in tables.BLEND_WEIGHTS
@@ -215,7 +219,7 @@ def _grid_means(spark, sf_dir):
     metrics = evaluate.evaluate(
         run, tables.qrels(spark, sf_dir), [N_GRID], GRID_BY, settings, tables.search_index(spark, sf_dir).n_docs("body")
     )
-    return metrics.groupBy(*GRID_BY).agg(rounded(F.avg("average_precision"), 5).alias("average_precision"))
+    return evaluate.mean_metrics(metrics, GRID_BY, ["average_precision"])
 
 
 @query("grid_search", f"WITH {GRID} SELECT * FROM means")

@@ -21,22 +21,17 @@ QUERY_IDF = "log10(n_docs / (df + 1e-7))"
 
 
 class Search:
-    """Query terms, postings and statistics of a field of the stored index."""
+    """Query terms matched with a field of the stored index."""
 
     def __init__(self, spark, sf_dir, field="body", terms=None):
         stored = tables.search_index(spark, sf_dir)
-        self.postings = stored.postings(field)
-        self.stats = stored.term_stats(field)
         self.n_docs = stored.n_docs(field)
         self.avg_len = stored.avg_len(field)
         self.terms = tables.benchmark_terms(spark, sf_dir) if terms is None else terms
-
-    @property
-    def known(self):
-        return rank.with_df(self.terms, self.stats)
+        self.known, self.found = rank.match(self.terms, stored.postings(field), stored.term_stats(field))
 
     def bm25(self, **settings):
-        return rank.bm25(self.known, self.postings, self.n_docs, self.avg_len, **settings)
+        return rank.bm25(self.found, self.n_docs, self.avg_len, **settings)
 
 
 @query("query_terms", f"WITH {sql.BENCHMARK} SELECT query_id, term, qtf, query_len FROM q")
@@ -47,7 +42,7 @@ def query_terms(spark, sf_dir):
 @query("candidates", f"WITH {BASE} SELECT DISTINCT query_id, doc_id FROM hits")
 def candidates(spark, sf_dir):
     search = Search(spark, sf_dir)
-    return rank.candidates(search.terms, search.postings)
+    return rank.candidates(search.found)
 
 
 @query(
@@ -56,7 +51,7 @@ def candidates(spark, sf_dir):
 )
 def candidate_tfidf(spark, sf_dir):
     search = Search(spark, sf_dir)
-    scored = rank.candidate_tfidf(search.known, search.postings, search.n_docs)
+    scored = rank.candidate_tfidf(search.found, search.n_docs)
     return scored.withColumn("tfidf", rounded("tfidf", 8))
 
 
@@ -69,8 +64,9 @@ def candidate_tfidf(spark, sf_dir):
 def doc_tfidf_matrix(spark, sf_dir):
     """Sparse rows of the document matrix for the 20 candidates that share most terms with a query."""
     search = Search(spark, sf_dir)
-    picked = rank.top_n(rank.match_count(search.known, search.postings, "distinct"), 20)
-    scored = rank.candidate_tfidf(search.known, search.postings, search.n_docs)
+    matched = rank.match_count(search.found).withColumn("score", F.col("n_matched"))
+    picked = rank.top_n(matched, 20)
+    scored = rank.candidate_tfidf(search.found, search.n_docs)
     return scored.join(picked.select("query_id", "doc_id"), ["query_id", "doc_id"]).select(
         "query_id", "doc_id", "term", rounded("tfidf", 8).alias("tfidf")
     )
@@ -103,7 +99,7 @@ COSINE = f"""{BASE},
 )
 def cosine_topn(spark, sf_dir):
     search = Search(spark, sf_dir)
-    return rank.top_n(rank.cosine(search.known, search.postings, search.n_docs), 3)
+    return rank.top_n(rank.cosine(search.known, search.found, search.n_docs), 3)
 
 
 VECTOR = f"""{sql.postings("v", "documents", "text", stops="english", pattern=text_fn.VECTORIZER_PATTERN)},
@@ -144,8 +140,8 @@ def cosine_matrix(spark, sf_dir):
     terms = rank.query_terms(
         tables.benchmark_queries(spark, sf_dir), stop_words("english"), text_fn.VECTORIZER_PATTERN
     )
-    queries = rank.query_vectors(rank.with_df(terms, stats), n_docs)
-    return rank.cosine_matrix(rank.tfidf_vectors(postings, stats, n_docs), queries)
+    known, _ = rank.match(terms, postings, stats)
+    return rank.cosine_matrix(rank.tfidf_vectors(postings, stats, n_docs), rank.query_vectors(known, n_docs))
 
 
 @query(
@@ -155,7 +151,7 @@ def cosine_matrix(spark, sf_dir):
 )
 def top_n_documents(spark, sf_dir):
     search = Search(spark, sf_dir)
-    return rank.top_n(rank.match_count(search.terms, search.postings), 100)
+    return rank.top_n(rank.match_count(search.found).drop("n_matched"), 100)
 
 
 @query(
@@ -181,7 +177,7 @@ def _best(scores, n=TOP):
 )
 def bm25_naive(spark, sf_dir):
     search = Search(spark, sf_dir)
-    scores = rank.bm25_naive(search.known, search.postings, search.n_docs, search.avg_len)
+    scores = rank.bm25_naive(search.found, search.n_docs, search.avg_len)
     return rank.top_n(scores, TOP)
 
 
@@ -198,7 +194,7 @@ SERVED = f"""{BASE},
 
 def _served(spark, sf_dir):
     search = Search(spark, sf_dir)
-    return rank.served_score(search.known, search.postings, search.n_docs.cast("double"))
+    return rank.served_score(search.found, search.n_docs.cast("double"))
 
 
 def _titled(spark, sf_dir, run):
@@ -234,7 +230,7 @@ def search_body_all(spark, sf_dir):
 )
 def search_body_subset(spark, sf_dir):
     search = Search(spark, sf_dir)
-    return rank.top_n(rank.subset_score(search.known, search.postings), 100)
+    return rank.top_n(rank.subset_score(search.known, search.found), 100)
 
 
 @query(
@@ -244,7 +240,7 @@ def search_body_subset(spark, sf_dir):
 )
 def fast_cosine(spark, sf_dir):
     search = Search(spark, sf_dir)
-    return rank.top_n(rank.fast_cosine(search.terms, search.postings), 100)
+    return rank.top_n(rank.fast_cosine(search.found), 100)
 
 
 @query(
@@ -256,10 +252,7 @@ def fast_cosine(spark, sf_dir):
 def search_title(spark, sf_dir):
     """All documents with a query word in the title, by occurrences; n_matched counts the words."""
     search = Search(spark, sf_dir, "title")
-    by_tf = rank.match_count(search.terms, search.postings, "tf")
-    by_words = rank.match_count(search.terms, search.postings, "distinct").withColumnRenamed("score", "n_matched")
-    both = by_tf.join(by_words, ["query_id", "doc_id"])
-    return rank.in_order(_titled(spark, sf_dir, both))
+    return rank.in_order(_titled(spark, sf_dir, rank.match_count(search.found)))
 
 
 ANCHOR = f"""{sql.BENCHMARK}, {sql.RESOLVED}, {sql.postings("anchor", "resolved", "anchor_text", "target_id")}"""
@@ -267,14 +260,15 @@ ANCHOR = f"""{sql.BENCHMARK}, {sql.RESOLVED}, {sql.postings("anchor", "resolved"
 
 @query(
     "search_anchor",
-    f"""WITH {ANCHOR} SELECT q.query_id, a.doc_id, t.title, sum(q.qtf * a.tf)::BIGINT AS score
+    f"""WITH {ANCHOR} SELECT q.query_id, a.doc_id, t.title, sum(q.qtf * a.tf)::BIGINT AS score,
+        count(*) AS n_matched
     FROM q JOIN anchor a USING (term) JOIN page_titles t ON t.page_id = a.doc_id GROUP BY 1, 2, 3""",
 )
 def search_anchor(spark, sf_dir):
     """All pages with a query word in the text of links to them; pages without a title are left out."""
     search = Search(spark, sf_dir, "anchor")
     titles = tables.pages(spark, sf_dir).select(F.col("page_id").alias("doc_id"), "title")
-    return rank.in_order(rank.attach_titles(rank.match_count(search.terms, search.postings), titles))
+    return rank.in_order(rank.attach_titles(rank.match_count(search.found), titles))
 
 
 TWO_FIELDS = f"""{SERVED}, {sql.TITLE_STATS},
@@ -287,7 +281,7 @@ def _two_fields(spark, sf_dir):
     """The 100 best by body and by title."""
     body = rank.top_n(_served(spark, sf_dir), 100)
     titles = Search(spark, sf_dir, "title")
-    return body, rank.top_n(rank.match_count(titles.terms, titles.postings), 100)
+    return body, rank.top_n(rank.match_count(titles.found), 100)
 
 
 @query(
@@ -329,10 +323,8 @@ def bm25_fields_sql(terms: str, depth: int) -> str:
     return ", ".join(parts)
 
 
-def bm25_fields(spark, sf_dir, terms, depth):
-    return [
-        rank.top_n(Search(spark, sf_dir, field, terms).bm25(), depth) for field in ["body", "title"]
-    ]
+def bm25_fields(spark, sf_dir, depth):
+    return [rank.top_n(Search(spark, sf_dir, field).bm25(), depth) for field in ["body", "title"]]
 
 
 MERGED = f"""merged AS (SELECT query_id, doc_id,
@@ -345,7 +337,7 @@ MERGED = f"""merged AS (SELECT query_id, doc_id,
     f"WITH {bm25_fields_sql(sql.BENCHMARK, 30)}, {MERGED}, {_best('merged', 3)}",
 )
 def merge_results(spark, sf_dir):
-    body, title = bm25_fields(spark, sf_dir, None, 30)
+    body, title = bm25_fields(spark, sf_dir, 30)
     return blend.merge_results(title, body, 0.5, 0.5, 3)
 
 

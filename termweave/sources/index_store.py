@@ -18,6 +18,15 @@ def bucket_of(term: Column | str, n_buckets: int = N_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(n_buckets)).cast("int")
 
 
+# Given at read time, so that opening a table starts no job.
+SCHEMAS = {
+    "postings": "term STRING, doc_id LONG, tf LONG, doc_len LONG, field STRING, bucket INT",
+    "term_stats": "term STRING, df LONG, term_total LONG, field STRING",
+    "doc_stats": "doc_id LONG, doc_len LONG, field STRING",
+    "corpus_stats": "n_docs LONG, n_tokens LONG, n_buckets INT, field STRING",
+}
+
+
 @dataclass(frozen=True)
 class StoredIndex:
     """Handle of a stored index. Tables are read when asked for."""
@@ -26,7 +35,7 @@ class StoredIndex:
     path: str
 
     def _table(self, name: str, field: str | None) -> DataFrame:
-        table = self.spark.read.parquet(f"{self.path}/{name}")
+        table = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}")
         return table if field is None else table.where(F.col("field") == field).drop("field")
 
     def postings(self, field: str | None = None) -> DataFrame:
@@ -83,11 +92,8 @@ def read_index(spark: SparkSession, path: str) -> StoredIndex:
 
 def delete_index(index: StoredIndex) -> None:
     """Drop the data of an index; its empty tables stay readable."""
-    for name in ["postings", "term_stats", "doc_stats", "corpus_stats"]:
-        path = f"{index.path}/{name}"
-        schema = index.spark.read.parquet(path).schema
-        empty = index.spark.createDataFrame([], schema)
-        empty.write.mode("overwrite").parquet(path)
+    for name, schema in SCHEMAS.items():
+        index.spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{index.path}/{name}")
 
 
 def posting_lookup(index: StoredIndex, terms: Sequence[str], field: str, n_buckets: int = N_BUCKETS) -> DataFrame:
