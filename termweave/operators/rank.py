@@ -35,20 +35,15 @@ def query_terms(
 
 
 def match(
-    terms: DataFrame,
-    postings: DataFrame,
-    stats: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    terms: DataFrame, postings: DataFrame, stats: DataFrame | None = None, fits: bool = False, salts: int = SALTS
 ) -> tuple[DataFrame, DataFrame]:
     """(known, found): the query terms of the index with their df, and one row per known term and document with it.
 
-    The query terms are counted once. Up to `broadcast_rows` of them go to every task,
-    first to the term statistics, then (no more rows than before, since the statistics
-    have one row per term) to the postings, which are not shuffled. Beyond that both
-    joins shuffle, with the postings of a term salted.
+    Query terms that `fits` says are few go to every task, first to the term statistics,
+    then (no more rows than before, since the statistics have one row per term) to the
+    postings, which are not shuffled. Otherwise both joins shuffle, with the postings of
+    a term salted.
     """
-    fits = at_most(terms, broadcast_rows)
     known = terms
     if stats is not None:
         known = join_by_term(stats.select("term", "df"), terms, fits, salts=1)
@@ -139,9 +134,18 @@ def cosine_matrix(vectors: DataFrame, queries: DataFrame) -> DataFrame:
     )
 
 
+def _bm25(found: DataFrame, by: Sequence[str], weight: Column) -> DataFrame:
+    return found.groupBy(*by, "doc_id").agg(rounded(F.sum(weight), 5).alias("score"))
+
+
+def _bm25_term(tf: Column, n_docs: Scalar, avg_len: Scalar, k1: Column, b: Column) -> Column:
+    return F.col("qtf") * bm25_idf(n_docs) * bm25_weight(tf, F.col("doc_len"), avg_len, k1, b)
+
+
 def bm25(found: DataFrame, n_docs: Scalar, avg_len: Scalar, k1: float = 1.5, b: float = 0.75) -> DataFrame:
     """BM25 over candidates; every occurrence of a query term adds once."""
-    return bm25_grid(found, n_docs, avg_len, [(k1, b)]).drop("k1", "b")
+    weight = _bm25_term(F.col("tf"), n_docs, avg_len, F.lit(k1), F.lit(b))
+    return _bm25(found, ["query_id"], weight)
 
 
 def bm25_grid(
@@ -149,13 +153,8 @@ def bm25_grid(
 ) -> DataFrame:
     """(k1, b, query_id, doc_id, score) for all settings from one join of queries and postings."""
     grid = F.array(*[F.struct(F.lit(float(k1)).alias("k1"), F.lit(float(b)).alias("b")) for k1, b in settings])
-    rows = found.select("*", F.inline(grid))
-    weight = (
-        F.col("qtf")
-        * bm25_idf(n_docs)
-        * bm25_weight(F.col("tf"), F.col("doc_len"), avg_len, F.col("k1"), F.col("b"))
-    )
-    return rows.groupBy("k1", "b", "query_id", "doc_id").agg(rounded(F.sum(weight), 5).alias("score"))
+    weight = _bm25_term(F.col("tf"), n_docs, avg_len, F.col("k1"), F.col("b"))
+    return _bm25(found.select("*", F.inline(grid)), ["k1", "b", "query_id"], weight)
 
 
 def bm25_naive(found: DataFrame, n_docs: Scalar, avg_len: Scalar, k1: float = 1.5, b: float = 0.75) -> DataFrame:
@@ -164,13 +163,8 @@ def bm25_naive(found: DataFrame, n_docs: Scalar, avg_len: Scalar, k1: float = 1.
     Documents without a query term score 0 and are not written.
     """
     norm_tf = F.col("tf") / F.col("doc_len")
-    weight = (
-        F.col("qtf")
-        * F.col("qtf")
-        * bm25_idf(n_docs)
-        * bm25_weight(norm_tf, F.col("doc_len"), avg_len, F.lit(k1), F.lit(b))
-    )
-    return found.groupBy("query_id", "doc_id").agg(rounded(F.sum(weight), 5).alias("score"))
+    weight = F.col("qtf") * _bm25_term(norm_tf, n_docs, avg_len, F.lit(k1), F.lit(b))
+    return _bm25(found, ["query_id"], weight)
 
 
 def served_score(found: DataFrame, n_docs: Scalar) -> DataFrame:

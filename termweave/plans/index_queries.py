@@ -177,7 +177,7 @@ LOOKED_UP = ["thnt", "ndst", "anat", "sich", "elle"]
 )
 def posting_lookup(spark, sf_dir):
     stored = tables.search_index(spark, sf_dir)
-    found = index_store.posting_lookup(stored, LOOKED_UP, "body", tables.SEARCH_BUCKETS)
+    found = index_store.posting_lookup(stored, LOOKED_UP, "body")
     return found.select("term", "doc_id", "tf")
 
 

@@ -9,6 +9,7 @@ from termweave.functions.scoring import bm25_idf as bm25_idf_of
 from termweave.functions.scoring import rounded
 from termweave.functions.stopwords import stop_words
 from termweave.operators import blend, index, rank
+from termweave.operators.joins import BROADCAST_ROWS, at_most
 from termweave.plans import sql, tables
 from termweave.plans.registry import query
 
@@ -28,7 +29,7 @@ class Search:
         self.n_docs = stored.n_docs(field)
         self.avg_len = stored.avg_len(field)
         self.terms = tables.benchmark_terms(spark, sf_dir) if terms is None else terms
-        self.known, self.found = rank.match(self.terms, stored.postings(field), stored.term_stats(field))
+        self.known, self.found = stored.match(self.terms, field)
 
     def bm25(self, **settings):
         return rank.bm25(self.found, self.n_docs, self.avg_len, **settings)
@@ -140,7 +141,7 @@ def cosine_matrix(spark, sf_dir):
     terms = rank.query_terms(
         tables.benchmark_queries(spark, sf_dir), stop_words("english"), text_fn.VECTORIZER_PATTERN
     )
-    known, _ = rank.match(terms, postings, stats)
+    known, _ = rank.match(terms, postings, stats, at_most(terms, BROADCAST_ROWS))
     return rank.cosine_matrix(rank.tfidf_vectors(postings, stats, n_docs), rank.query_vectors(known, n_docs))
 
 

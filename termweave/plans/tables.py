@@ -11,7 +11,7 @@ from termweave.functions.stopwords import stop_words
 from termweave.operators import graph, index
 from termweave.operators.rank import query_terms
 from termweave.session import shared_dir
-from termweave.sources.corpus import read_corpus
+from termweave.sources.corpus import read_corpus, spread
 from termweave.sources.index_store import StoredIndex, read_index, write_index
 
 STOPS = stop_words("all")
@@ -42,7 +42,7 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text)."""
-    return read(spark, sf_dir, "documents", "doc_id", "text")
+    return spread(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def document_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def document_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, title, html)."""
-    return read(spark, sf_dir, "pages", "page_id", "html").select(
+    return spread(read(spark, sf_dir, "pages", "page_id", "html")).select(
         "page_id", text_fn.html_title("html").alias("title"), "html"
     )
 

@@ -13,6 +13,16 @@ def read_corpus(spark: SparkSession, path: str, columns: Sequence[str] = ("id",
     return spark.read.parquet(path).select(*columns)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` with a partition per core where its scan has fewer splits than there are cores.
+
+    Small inputs often are one file with one row group, which one task would read. An
+    input with more splits than cores, so any large one, is left as it is: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def first_rows(corpus: DataFrame, key: str, n: int = 1000) -> DataFrame:
     """The n rows with the lowest keys."""
     return corpus.orderBy(key).limit(n)

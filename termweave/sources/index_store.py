@@ -8,9 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termweave.operators import rank
 from termweave.operators.index import term_stats
+from termweave.operators.joins import BROADCAST_ROWS, SALTS, at_most
 
 N_BUCKETS = 124
+# Query terms up to which a search names them in the scan.
+NAMED_TERMS = 2000
 
 
 def bucket_of(term: Column | str, n_buckets: int = N_BUCKETS) -> Column:
@@ -33,6 +37,7 @@ class StoredIndex:
 
     spark: SparkSession
     path: str
+    n_buckets: int = N_BUCKETS
 
     def _table(self, name: str, field: str | None) -> DataFrame:
         table = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}")
@@ -51,6 +56,34 @@ class StoredIndex:
         """(n_docs, n_tokens, n_buckets), one row per field."""
         return self._table("corpus_stats", field)
 
+    def lookup(self, name: str, field: str, terms: Sequence[str], buckets: Sequence[int] | None = None) -> DataFrame:
+        """Rows of some terms; files of other buckets are not read, nor row groups that cannot have the terms."""
+        rows = self._table(name, field).where(F.col("term").isin(list(terms)))
+        return rows if buckets is None else rows.where(F.col("bucket").isin(list(buckets)))
+
+    def match(
+        self,
+        terms: DataFrame,
+        field: str,
+        named_terms: int = NAMED_TERMS,
+        broadcast_rows: int = BROADCAST_ROWS,
+        salts: int = SALTS,
+    ) -> tuple[DataFrame, DataFrame]:
+        """(known, found) of query terms in a field, see `rank.match`.
+
+        Up to `named_terms` query terms are named in the scan, so that a search reads its
+        own terms and not the index; at most one term more than that comes to the driver.
+        With more, the scan is whole, and the terms are broadcast up to `broadcast_rows`.
+        """
+        placed = terms.select("term", bucket_of("term", self.n_buckets).alias("bucket"))
+        few = placed.limit(named_terms + 1).collect()
+        if len(few) > named_terms:
+            fits = at_most(terms, broadcast_rows)
+            return rank.match(terms, self.postings(field), self.term_stats(field), fits, salts)
+        names = sorted({row.term for row in few})
+        postings = self.lookup("postings", field, names, sorted({row.bucket for row in few}))
+        return rank.match(terms, postings, self.lookup("term_stats", field, names), fits=True)
+
     def n_docs(self, field: str) -> Column:
         return self.corpus_stats(field).select("n_docs").scalar()
 
@@ -68,7 +101,7 @@ def write_index(
     by term and doc_id, so that row groups of other terms are skipped. Term statistics
     come from the stored postings, so the text is not tokenized again for them.
     """
-    index = StoredIndex(postings.sparkSession, path)
+    index = StoredIndex(postings.sparkSession, path, n_buckets)
 
     def store(table: DataFrame, name: str, *parts: str) -> None:
         table.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/{name}/field={field}")
@@ -78,7 +111,7 @@ def write_index(
         bucketed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "doc_id"), "postings", "bucket"
     )
     store(docs.select("doc_id", "doc_len"), "doc_stats")
-    store(term_stats(index.postings(field)), "term_stats")
+    store(term_stats(index.postings(field)).sortWithinPartitions("term"), "term_stats")
     totals = index.doc_stats(field).agg(
         F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("doc_len"), F.lit(0)).alias("n_tokens")
     )
@@ -87,7 +120,9 @@ def write_index(
 
 
 def read_index(spark: SparkSession, path: str) -> StoredIndex:
-    return StoredIndex(spark, path)
+    """Open a stored index; its number of buckets is read from it."""
+    row = StoredIndex(spark, path).corpus_stats().select("n_buckets").first()
+    return StoredIndex(spark, path, row.n_buckets if row else N_BUCKETS)
 
 
 def delete_index(index: StoredIndex) -> None:
@@ -96,10 +131,10 @@ def delete_index(index: StoredIndex) -> None:
         index.spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{index.path}/{name}")
 
 
-def posting_lookup(index: StoredIndex, terms: Sequence[str], field: str, n_buckets: int = N_BUCKETS) -> DataFrame:
+def posting_lookup(index: StoredIndex, terms: Sequence[str], field: str) -> DataFrame:
     """Postings of some terms; only their buckets are read, and in these only row groups that may have them."""
-    buckets = [bucket_of(F.lit(term), n_buckets) for term in terms]
-    return index.postings(field).where(F.col("bucket").isin(buckets) & F.col("term").isin(list(terms)))
+    buckets = [bucket_of(F.lit(term), index.n_buckets) for term in terms]
+    return index.lookup("postings", field, terms, buckets)
 
 
 def bucket_stats(postings: DataFrame) -> DataFrame:
