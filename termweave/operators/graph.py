@@ -29,6 +29,33 @@ def link_vertices(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
 
 
+def _lay_out(df: DataFrame, width: int, *keys: str) -> DataFrame:
+    """Checkpoint the distinct rows of `df` partitioned and sorted by `keys`, in a way that later joins on them see.
+
+    The layout of a checkpoint is known to the planner only when the plan that wrote it
+    was not adaptive. Copies of a row meet in one partition, so `distinct` needs no
+    shuffle of its own.
+    """
+    conf = df.sparkSession.conf
+    adaptive = conf.get("spark.sql.adaptive.enabled")
+    conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.repartition(width, *keys).distinct().sortWithinPartitions(*keys).checkpoint()
+    finally:
+        conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def _part_edges(edges: DataFrame, edges_per_part: int) -> tuple[DataFrame, DataFrame]:
+    """(edges with their part, hot(src, parts)): sources with more edges than a part holds, and how many parts they get."""
+    counts = edges.groupBy("src").agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.where(F.col("n") > edges_per_part).select("src", F.ceil(F.col("n") / edges_per_part).alias("parts"))
+    # No more than (number of edges / edges_per_part) rows; still counted before they are sent out.
+    hot = hot.checkpoint()
+    hot = F.broadcast(hot) if at_most(hot, BROADCAST_ROWS) else hot
+    part = F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1)))
+    return edges.join(hot, "src", "left").select("src", part.alias("part"), "dst"), hot
+
+
 def pagerank(
     edges: DataFrame,
     rounds: int = 6,
@@ -42,41 +69,35 @@ def pagerank(
     matters where pages without links let rank leak out.
 
     Edges are laid out once by (src, part) and ranks go to them, so a round shuffles
-    one row per vertex and the sums, never the edges. A source with very many links is
-    cut into parts of about `edges_per_part` edges; its rank goes to each part. Sums per
-    target are combined before their shuffle. The layout and every third round are
+    one row per vertex and the sums per target (combined before their shuffle), never the
+    edges. A source with very many links is cut into parts of about `edges_per_part`
+    edges; its rank goes to each part. The layouts and every third round are
     checkpointed, so the plan stays short and a lost executor costs few rounds.
     """
     spark = edges.sparkSession
     shared_dir(spark)
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    edges = edges.select("src", "dst").distinct()
+    parted, hot = _part_edges(edges.select("src", "dst"), edges_per_part)
+    laid_out = _lay_out(parted, width, "src", "part")
+    ends = F.array(
+        F.struct(F.col("src").alias("id"), F.lit(1).alias("out")),
+        F.struct(F.col("dst").alias("id"), F.lit(0).alias("out")),
+    )
     vertices = (
-        edges.select(F.explode(F.array(F.struct(F.col("src").alias("id"), F.lit(1).alias("out")),
-                                       F.struct(F.col("dst").alias("id"), F.lit(0).alias("out")))).alias("end"))
-        .groupBy("end.id")
-        .agg(F.sum("end.out").alias("degree"))
-        .repartition(width, "id")
-        .checkpoint()
-    )
-    hot = vertices.where(F.col("degree") > edges_per_part).select(
-        F.col("id").alias("src"), F.ceil(F.col("degree") / edges_per_part).alias("parts")
+        laid_out.select(F.inline(ends))
+        .groupBy("id")
+        .agg(F.sum("out").alias("degree"))
+        .join(hot.withColumnRenamed("src", "id"), "id", "left")
+        .select("id", "degree", F.coalesce("parts", F.lit(1)).alias("parts"))
     )
-    part = F.lit(0).cast("long")
-    if not hot.isEmpty():
-        # At most (number of edges / edges_per_part) rows; checked before it is sent out.
-        hot = F.broadcast(hot) if at_most(hot, BROADCAST_ROWS) else hot
-        edges = edges.join(hot, "src", "left")
-        part = F.pmod(F.xxhash64("dst"), F.coalesce("parts", F.lit(1)))
-    laid_out = edges.select("src", part.alias("part"), "dst").repartition(width, "src", "part").checkpoint()
-
-    parts = F.greatest(F.ceil(F.col("degree") / edges_per_part), F.lit(1))
-    ranks = vertices.select("id", "degree", F.lit(1.0).alias("pagerank"))
+    vertices = _lay_out(vertices, width, "id")
+
+    ranks = vertices.withColumn("pagerank", F.lit(1.0))
     for done in range(1, rounds + 1):
         shares = ranks.where("degree > 0").select(
             F.col("id").alias("src"),
-            F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
             (F.col("pagerank") / F.col("degree")).alias("share"),
         )
         received = (
@@ -84,11 +105,8 @@ def pagerank(
             .groupBy(F.col("dst").alias("id"))
             .agg(F.sum("share").alias("received"))
         )
-        ranks = vertices.join(received, "id", "left").select(
-            "id",
-            "degree",
-            (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce("received", F.lit(0.0))).alias("pagerank"),
-        )
+        rank = F.lit(reset) + F.lit(1.0 - reset) * F.coalesce("received", F.lit(0.0))
+        ranks = vertices.join(received, "id", "left").select("id", "degree", "parts", rank.alias("pagerank"))
         if done % ROUNDS_PER_CHECKPOINT == 0 or done == rounds:
             ranks = ranks.checkpoint()
     if normalize:
@@ -102,7 +120,7 @@ def top_ranked(ranks: DataFrame, n: int, digits: int = 6) -> DataFrame:
     best = ranks.select("id", (F.floor(F.col("pagerank") * 10.0**digits + 0.5) / 10.0**digits).alias("pagerank"))
     best = best.orderBy(F.desc("pagerank"), "id").limit(n)
     # n rows are left, so listing their places needs no partitions.
-    listed = best.agg(F.sort_array(F.collect_list(F.struct((-F.col("pagerank")).alias("k"), "id")))  .alias("rows"))
+    listed = best.agg(F.sort_array(F.collect_list(F.struct((-F.col("pagerank")).alias("k"), "id"))).alias("rows"))
     return listed.select(F.posexplode("rows").alias("i", "row")).select(
         (F.col("i") + 1).alias("place"), "row.id", (-F.col("row.k")).alias("pagerank")
     )

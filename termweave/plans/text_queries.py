@@ -137,9 +137,6 @@ def bucket_stats(spark, sf_dir):
     return index_store.bucket_stats(tables.search_index(spark, sf_dir).postings("body"))
 
 
-TOKEN_COUNTS = "SELECT doc_id, term, count(*) AS n FROM t GROUP BY ALL"
-
-
 def _token_rows(spark, sf_dir, pattern, stops=()):
     """(doc_id, position, term) of every token."""
     return tables.documents(spark, sf_dir).select(
@@ -227,9 +224,7 @@ def filter_short_stop(spark, sf_dir):
 
 def _typed_rows(spark, sf_dir):
     text = text_fn.strip_markup("html")
-    return tables.read(spark, sf_dir, "pages", "page_id", "html").select(
-        "page_id", F.inline(text_fn.typed_tokens(text))
-    )
+    return tables.pages(spark, sf_dir).select("page_id", F.inline(text_fn.typed_tokens(text)))
 
 
 @query("typed_tokens")
@@ -245,9 +240,7 @@ def distinct_token_types(spark, sf_dir):
 
 @query("strip_markup", f"SELECT page_id, {sql.stripped()} AS body FROM pages")
 def strip_markup(spark, sf_dir):
-    return tables.read(spark, sf_dir, "pages", "page_id", "html").select(
-        "page_id", text_fn.strip_markup("html").alias("body")
-    )
+    return tables.pages(spark, sf_dir).select("page_id", text_fn.strip_markup("html").alias("body"))
 
 
 @query("extract_links", f"WITH {sql.LINKS} SELECT page_id, target, anchor_text FROM links")
@@ -255,7 +248,7 @@ def extract_links(spark, sf_dir):
     return tables.page_links(spark, sf_dir)
 
 
-# The pages link to no images or categories, so their urls and titles are tried as targets too.
+# The pages link to no images or categories, so each link is tried as one too.
 _TARGETS = [
     ("link", "regexp_replace(href, '^/', '')"),
     ("image", "concat(regexp_replace(href, '^/', ''), '.jpg')"),
@@ -273,7 +266,7 @@ _TARGETS = [
 )
 def filter_article_links(spark, sf_dir):
     """Links to articles among the hrefs as they are, as image names and as categories."""
-    hrefs = tables.read(spark, sf_dir, "pages", "page_id", "html").select(
+    hrefs = tables.pages(spark, sf_dir).select(
         "page_id", F.explode(F.regexp_extract_all("html", F.lit(text_fn.HTML_LINK), F.lit(1))).alias("href")
     )
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.expr(e).alias("target")) for k, e in _TARGETS])
