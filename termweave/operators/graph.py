@@ -62,6 +62,7 @@ def pagerank(
     reset: float = 0.15,
     normalize: bool = True,
     edges_per_part: int = EDGES_PER_PART,
+    partitions: int | None = None,
 ) -> DataFrame:
     """(id, pagerank) after `rounds` rounds of r' = reset + (1 - reset) * sum(r_src / outdegree(src)) from 1.0.
 
@@ -73,10 +74,11 @@ def pagerank(
     edges. A source with very many links is cut into parts of about `edges_per_part`
     edges; its rank goes to each part. The layouts and every third round are
     checkpointed, so the plan stays short and a lost executor costs few rounds.
+    `partitions` is the width of the layout, by default the session's shuffle width.
     """
     spark = edges.sparkSession
     shared_dir(spark)
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     parted, hot = _part_edges(edges.select("src", "dst"), edges_per_part)
     laid_out = _lay_out(parted, width, "src", "part")

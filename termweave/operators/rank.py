@@ -219,6 +219,13 @@ def match_count(found: DataFrame) -> DataFrame:
     )
 
 
-def attach_titles(run: DataFrame, titles: DataFrame, keep_untitled: bool = False) -> DataFrame:
-    """Results with titles(doc_id, title)."""
-    return run.join(titles, "doc_id", "left" if keep_untitled else "inner")
+def attach_titles(run: DataFrame, titles: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Results with titles(doc_id, title); results without a title are left out.
+
+    `max_rows` is a known bound on the run, such as n times the number of queries of a
+    top-n run. Within the broadcast limit the run goes to the titles, which then are not
+    shuffled.
+    """
+    if max_rows is not None and max_rows <= BROADCAST_ROWS:
+        return titles.join(F.broadcast(run), "doc_id")
+    return run.join(titles, "doc_id")

@@ -198,8 +198,10 @@ def _served(spark, sf_dir):
     return rank.served_score(search.found, search.n_docs.cast("double"))
 
 
-def _titled(spark, sf_dir, run):
-    return rank.attach_titles(run, tables.document_titles(spark, sf_dir))
+def _titled(spark, sf_dir, run, depth=None):
+    """Results with titles; a run of `depth` results per query has a known bound."""
+    max_rows = depth and depth * tables.benchmark_queries(spark, sf_dir).count()
+    return rank.attach_titles(run, tables.stored_titles(spark, sf_dir), max_rows)
 
 
 @query(
@@ -208,7 +210,7 @@ def _titled(spark, sf_dir, run):
     SELECT query_id, doc_id, score, rank, title FROM best JOIN doc_titles USING (doc_id)""",
 )
 def search_body(spark, sf_dir):
-    return _titled(spark, sf_dir, rank.top_n(_served(spark, sf_dir), 100))
+    return _titled(spark, sf_dir, rank.top_n(_served(spark, sf_dir), 100), 100)
 
 
 @query("search_body_all", f"WITH {SERVED} SELECT query_id, doc_id, score FROM scores ORDER BY query_id, score DESC, doc_id")
@@ -348,4 +350,4 @@ def merge_results(spark, sf_dir):
     SELECT query_id, doc_id, score, rank, title FROM best JOIN doc_titles USING (doc_id)""",
 )
 def attach_titles(spark, sf_dir):
-    return _titled(spark, sf_dir, rank.top_n(Search(spark, sf_dir).bm25(), TOP))
+    return _titled(spark, sf_dir, rank.top_n(Search(spark, sf_dir).bm25(), TOP), TOP)

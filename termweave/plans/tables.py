@@ -12,7 +12,7 @@ from termweave.operators import graph, index
 from termweave.operators.rank import query_terms
 from termweave.session import shared_dir
 from termweave.sources.corpus import read_corpus, spread
-from termweave.sources.index_store import StoredIndex, read_index, write_index
+from termweave.sources.index_store import StoredIndex, write_index
 
 STOPS = stop_words("all")
 # Buckets of the index that the search queries share; enough for the test sizes.
@@ -122,16 +122,25 @@ def view_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 _indexes: dict[tuple[str, str], StoredIndex] = {}
 
 
+def stored_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, title) as stored with the index."""
+    path = f"{search_index(spark, sf_dir).path}/titles"
+    return spark.read.schema("doc_id LONG, title STRING").parquet(path)
+
+
 def search_index(spark: SparkSession, sf_dir: str) -> StoredIndex:
     """The stored index that the search queries read, built once per session and data set.
 
-    Fields: body and title of the documents, anchor text by target page.
+    Fields: body and title of the documents, anchor text by target page. The titles
+    themselves are stored beside them.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _indexes:
         path = f"{shared_dir(spark)}/index-{key[0]}-{len(_indexes)}"
         docs = documents(spark, sf_dir)
-        for field, column in [("body", docs), ("title", document_titles(spark, sf_dir))]:
+        document_titles(spark, sf_dir).write.mode("overwrite").parquet(f"{path}/titles")
+        titles = spark.read.schema("doc_id LONG, title STRING").parquet(f"{path}/titles")
+        for field, column in [("body", docs), ("title", titles)]:
             text = "text" if field == "body" else "title"
             write_index(
                 index.build_postings(column, text, STOPS),
@@ -143,5 +152,5 @@ def search_index(spark: SparkSession, sf_dir: str) -> StoredIndex:
         anchors = index.anchor_postings(resolved_links(spark, sf_dir), STOPS)
         lengths = index.doc_lengths(anchors)
         write_index(anchors.join(lengths, "doc_id"), lengths, path, "anchor", SEARCH_BUCKETS)
-        _indexes[key] = read_index(spark, path)
+        _indexes[key] = StoredIndex(spark, path, SEARCH_BUCKETS)
     return _indexes[key]
