@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from termweave.functions import text as text_fn
+from termweave.functions.scoring import rounded
 from termweave.functions.stopwords import stop_words
 from termweave.operators import graph, index, stats
 from termweave.plans import sql, tables
@@ -129,7 +130,7 @@ def write_pagerank(spark, sf_dir):
     path = scratch_path(spark, "pagerank")
     corpus.write_ranks(ranks, path)
     stored = spark.read.schema("id LONG, pagerank DOUBLE").csv(path)
-    return stored.select("id", tables.rounded("pagerank", 5).alias("pagerank"))
+    return stored.select("id", rounded("pagerank", 5).alias("pagerank"))
 
 
 @query("bucket_stats")
