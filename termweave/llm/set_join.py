@@ -38,9 +38,9 @@ FREQUENT = 65_536
 # Sets in which a shingle must be to count as frequent.
 FREQUENT_FROM = 200
 # Shingles counted at once.
-COUNTED = 4_000_000
+COUNTED = 2_000_000
 # Places of the prefix whose lists propose leaders.
-LEADER_PLACES = 4
+LEADER_PLACES = 8
 # Pairs made at once, and ids up to which (4 MB) a list of ids is sent to every executor.
 PAIRS = 1_000_000
 SENT_IDS = 500_000
@@ -298,6 +298,22 @@ def linked(common: Column | str, size_a: Column | str, size_b: Column | str, num
     return as_col[0] * (num + den) >= (as_col[1] + as_col[2]) * num
 
 
+def whole_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, n: int) -> DataFrame:
+    """(id, grams) of some documents: their whole sets."""
+    ids = stored(ids.select(F.col("id").alias("asked")).distinct(), "ids")
+    sent = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    texts = texts.join(sent, F.col("id") == F.col("asked"), "left_semi")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [grams for _, grams in arrays.shingle_sets(batch.column(1), n)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), arrays.list_array(lists, pa.int64())], ["id", "grams"])
+
+    found = texts.mapInArrow(read, "id LONG, grams ARRAY<LONG>").where("size(grams) > 0")
+    return stored(found, "grams")
+
+
 def jaccard_join(
     docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, num: int = 4, den: int = 5
 ) -> tuple[DataFrame, DataFrame]:
@@ -320,22 +336,14 @@ def jaccard_join(
         listed.mapInArrow(live_entries(num, den), "token LONG, id LONG, size LONG, place LONG, leader LONG"), "entries"
     )
 
-    ids = stored(live.select("id").distinct(), "ids")
-    asked = ids.withColumnRenamed("id", "asked")
-    sent = F.broadcast(asked) if ids.count() <= SENT_IDS else asked
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(sent, F.col("id") == F.col("asked"), "left_semi")
-
-    def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = [grams for _, grams in arrays.shingle_sets(batch.column(1), n)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), arrays.list_array(lists, pa.int64())], ["id", "grams"])
-
-    sets = stored(texts.mapInArrow(whole_sets, "id LONG, grams ARRAY<LONG>").where("size(grams) > 0"), "grams")
-
-    # Relations: the leader that most lists propose, compared once.
+    # Relations: the leader that most lists propose, if it shares half of the first places.
+    first_places = F.least(F.col("size") - F.ceil(F.col("size") * num / den - 1e-9) + 1, F.lit(LEADER_PLACES))
     proposed = live.where((F.col("place") < LEADER_PLACES) & (F.col("leader") != F.col("id")))
-    best = proposed.groupBy("id", "leader").agg(F.count(F.lit(1)).alias("n")).groupBy("id")
-    best = best.agg(F.max(F.struct("n", (-F.col("leader")).alias("minus"))).alias("top")).select(F.col("id").alias("b"), (-F.col("top.minus")).alias("a"))
+    best = proposed.groupBy("id", "leader").agg(F.count(F.lit(1)).alias("n"), F.max(first_places).alias("of"))
+    best = best.where(F.col("n") * 2 >= F.col("of")).groupBy("id")
+    best = best.agg(F.max(F.struct("n", (-F.col("leader")).alias("minus"))).alias("top"))
+    best = stored(best.select(F.col("id").alias("b"), (-F.col("top.minus")).alias("a")), "leaders")
+    sets = whole_sets(docs, best.select(F.col("a").alias("id")).unionByName(best.select(F.col("b").alias("id"))), key, text, n)
     tied = stored(overlaps(best, sets).where(linked("common", "size_a", "size_b", num, den)), "tied")
     classes = components(tied.select("a", "b")).withColumnRenamed("component", "root")
     relation = tied.groupBy("b").agg(F.min(F.struct("a", (F.col("size_b") - F.col("common")).alias("more"), (F.col("size_a") - F.col("common")).alias("less"))).alias("r"))
@@ -367,6 +375,9 @@ def jaccard_join(
         for kind in ("more", "less"):
             pairs = pairs.withColumn(f"{kind}_{side}", F.coalesce(f"{kind}_{side}", F.lit(0)))
     pairs = stored(pairs, "pairs")
+    asked = [F.col(c).alias("id") for c in ("a", "b", "lead_a", "lead_b")]
+    ids = pairs.select(F.explode(F.array(*asked)).alias("id")).distinct()
+    sets = sets.unionByName(whole_sets(docs, ids.join(sets.select("id"), "id", "left_anti"), key, text, n))
     led = pairs.where("lead_a <> lead_b").select(F.col("lead_a").alias("a"), F.col("lead_b").alias("b")).distinct()
     answers = overlaps(led, sets).select(F.col("a").alias("lead_a"), F.col("b").alias("lead_b"), F.col("common").alias("known"))
     bounded = pairs.join(answers, ["lead_a", "lead_b"])
