@@ -4,13 +4,12 @@
 2. Every set indexes its prefix: with similarity num/den two linked sets share a shingle of
    the first `size - ceil(size * num / den) + 1` in one order of all shingles. The order is
    by hash, with the most frequent shingles of the corpus last; it decides speed, never results.
-3. Relations: in a list of the index, sets of about one size are compared with the smallest
-   one. A set that links to such a leader keeps how many shingles it has and the leader lacks,
-   and the other way round. All sets tied by such links are one class.
-4. Index skipping: in a list, entries with the same size, place and class are one block. A
+3. Relations: a set is compared with one leader, and keeps how many shingles it has and the
+   leader lacks, and the other way round. Sets that the leader does not tie are compared with all others of that leader,
+   in blocks, so pairs of one leader are decided. All sets tied by links are one class.
+4. Index skipping: in a list, entries with the same size, place, class and leader are one block. A
    pair of blocks is skipped if the sizes are too far apart, if too few shingles follow the
-   place, or if the class is the same (its sets are tied already). What remains is summed by
-   pair, and a pair whose prefixes share too few shingles for the required overlap goes.
+   place, or if class or leader is the same. What remains is summed by pair, and a pair whose prefixes share too few shingles for the required overlap goes.
 5. Answer skipping: of the pairs left only their leaders are compared. With the kept
    differences that overlap bounds the overlap of every pair below from both sides; most are
    accepted or refused by the bounds, and only the rest are compared themselves.
@@ -22,6 +21,7 @@ rows that share an id are one node; rows without an id come out with a null comp
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +41,8 @@ FREQUENT_FROM = 200
 COUNTED = 2_000_000
 # Places of the prefix whose lists propose leaders.
 LEADER_PLACES = 8
+# Sets of one leader in a block.
+GROUP_BLOCK = 1_000
 # Pairs made at once, and ids up to which (4 MB) a list of ids is sent to every executor.
 PAIRS = 1_000_000
 SENT_IDS = 500_000
@@ -146,16 +148,16 @@ def _joined(held: dict[str, np.ndarray] | None, new: dict[str, np.ndarray]) -> d
 
 
 def live_entries(num: int, den: int):
-    """mapInArrow function: entries sorted by (token, size, id) that have a neighbour of a fitting size, with their leader.
+    """mapInArrow function: entries sorted by (token, size, id) that have a neighbour of a fitting size.
 
     Sizes in a list ascend, so a set has a partner of fitting size only if one of its two
-    neighbours fits. `leader` is the first set of the list within a factor num/den.
+    neighbours fits.
     """
-    band = np.log(den / num)
+    names = ["token", "id", "size", "place"]
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: dict[str, np.ndarray] | None = None  # the entry before this batch, still to be decided
-        fits, head = False, (0, 0, 0)
+        fits = False
         for batch in filter(len, batches):
             x = _joined(last, _columns(batch))
             token, size = x["token"], x["size"]
@@ -163,37 +165,70 @@ def live_entries(num: int, den: int):
             near = np.zeros(token.size + 1, bool)
             near[1:-1] = (token[1:] == token[:-1]) & (size[:-1] >= need[1:])
             near[0] = fits
-            bands = np.floor(np.log(size) / band + 1e-9).astype(np.int64)
-            new = np.ones(token.size, bool)
-            new[1:] = (token[1:] != token[:-1]) | (bands[1:] != bands[:-1])
-            carried = last is not None
-            if carried:
-                new[0] = False
-            at = np.maximum.accumulate(np.where(new, np.arange(token.size), -1))
-            leader = np.where(at >= 0, x["id"][np.maximum(at, 0)], head[2])
-            done = (near[:-1] | near[1:])[:-1]
-            out = np.flatnonzero(done)
+            out = np.flatnonzero((near[:-1] | near[1:])[:-1])
             if out.size:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v[out]) for v in (token, x["id"], size, x["place"], leader)],
-                    ["token", "id", "size", "place", "leader"],
-                )
-            head = (token[-1], bands[-1], leader[-1])
+                yield pa.RecordBatch.from_arrays([pa.array(x[k][out]) for k in names], names)
             fits = bool(near[-2])
             last = {k: v[-1:] for k, v in x.items()}
         if last is not None and fits:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(last[k]) for k in ("token", "id", "size", "place")] + [pa.array([head[2]], pa.int64())],
-                ["token", "id", "size", "place", "leader"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(last[k]) for k in names], names)
 
     return keep
 
 
+def group_links(num: int, den: int):
+    """mapInArrow function over (ref, salt, visitor, tied, id, grams) in that order: links of visitors to residents.
+
+    Residents of a block come first and are held, their shingles as one sorted list; a visitor
+    looks its own up there and gets its overlap with every resident at once. It reports one link for each
+    class of residents that it links with, and makes them one class.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: tuple | None = None
+        ids: list[int] = []
+        held: list[np.ndarray] = []
+        ties: list[bool] = []
+        state: dict[str, np.ndarray] = {}
+        for batch in batches:
+            ref, salt, visitor, tied, names = (batch.column(k).to_pylist() for k in range(5))
+            pairs: list[tuple[int, int]] = []
+            for k in range(batch.num_rows):
+                if block != (ref[k], salt[k]):
+                    block = (ref[k], salt[k])
+                    ids, held, ties, state = [], [], [], {}
+                grams = batch.column(5)[k].values.to_numpy()
+                if not visitor[k]:
+                    ids.append(names[k])
+                    held.append(grams)
+                    ties.append(tied[k])
+                    continue
+                if not ids:
+                    continue
+                if not state:
+                    size = np.array([g.size for g in held])
+                    flat = np.concatenate(held)
+                    order = np.argsort(flat, kind="stable")
+                    root = np.where(ties, -1, np.arange(size.size))
+                    state = {"size": size, "token": flat[order], "owner": np.repeat(np.arange(size.size), size)[order], "root": root, "id": np.array(ids)}
+                low, high = (np.searchsorted(state["token"], grams, side) for side in ("left", "right"))
+                n = high - low
+                at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+                common = np.bincount(state["owner"][at], minlength=state["size"].size)
+                met = np.flatnonzero((common * (num + den) >= num * (state["size"] + grams.size)) & (state["id"] != names[k]))
+                roots, first = np.unique(state["root"][met], return_index=True)
+                pairs += [(names[k], int(state["id"][m])) for m in met[first]]
+                if roots.size > 1:
+                    state["root"][np.isin(state["root"], roots)] = roots[0]
+            yield pa.RecordBatch.from_arrays([pa.array([p[j] for p in pairs], pa.int64()) for j in range(2)], ["a", "b"])
+
+    return read
+
+
 def candidate_pairs(num: int, den: int):
-    """mapInArrow function: (a, b, shared) of entries sorted by (token, size, place, class), by blocks.
+    """mapInArrow function: (a, b, shared) of entries sorted by (token, size, place, class, leader), by blocks.
 
-    Only entries of the open list whose size can still matter are held.
+    Pairs of one class are tied, and pairs of one leader decided already. Only entries of the open list whose size can still matter are held.
     """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,13 +255,15 @@ def candidate_pairs(num: int, den: int):
             x = _joined(held, new)
             token, size, place, group = x["token"], x["size"], x["place"], x["root"]
             # Blocks of equal token, size, place and class; held entries were paired before.
-            change = np.ones(token.size, bool)
-            change[1:] = (np.diff(token) != 0) | (np.diff(size) != 0) | (np.diff(place) != 0) | (np.diff(group) != 0)
+            change = np.zeros(token.size, bool)
+            change[0] = True
+            for column in (token, size, place, group, x["ref"]):
+                change[1:] |= np.diff(column) != 0
             if n_held < token.size:
                 change[n_held] = True
             starts = np.flatnonzero(change)
             ends = np.append(starts[1:], token.size)
-            b_token, b_size, b_place, b_root = (v[starts] for v in (token, size, place, group))
+            b_token, b_size, b_place, b_root, b_ref = (v[starts] for v in (token, size, place, group, x["ref"]))
             is_new = starts >= n_held
             need = -(-b_size * num // den)
             # Blocks of the same token are adjacent and ascend in size: the first that is large enough, by bisection.
@@ -252,7 +289,7 @@ def candidate_pairs(num: int, den: int):
                     left = low[right] + np.arange(right.size) - first
                     required = -(-(b_size[left] + b_size[right]) * num // (num + den))
                     rest = np.minimum(b_size[left] - b_place[left], b_size[right] - b_place[right])
-                    ok = (rest >= required) & (b_root[left] != b_root[right])
+                    ok = (rest >= required) & (b_root[left] != b_root[right]) & (b_ref[left] != b_ref[right])
                     left, right = left[ok], right[ok]
                     single = (ends[left] - starts[left] == 1) & (ends[right] - starts[right] == 1)
                     sides = [(starts[left[single]], starts[right[single]])] if single.any() else []
@@ -333,31 +370,48 @@ def jaccard_join(
     entries = whole.select("id", "size", F.posexplode("prefix").alias("place", "token")).select("token", "id", "size", F.col("place").cast("long").alias("place"))
     listed = entries.repartition("token").sortWithinPartitions("token", "size", "id")
     live = stored(
-        listed.mapInArrow(live_entries(num, den), "token LONG, id LONG, size LONG, place LONG, leader LONG"), "entries"
+        listed.mapInArrow(live_entries(num, den), "token LONG, id LONG, size LONG, place LONG"), "entries"
     )
 
-    # Relations: the leader that most lists propose, if it shares half of the first places.
-    first_places = F.least(F.col("size") - F.ceil(F.col("size") * num / den - 1e-9) + 1, F.lit(LEADER_PLACES))
-    proposed = live.where((F.col("place") < LEADER_PLACES) & (F.col("leader") != F.col("id")))
-    best = proposed.groupBy("id", "leader").agg(F.count(F.lit(1)).alias("n"), F.max(first_places).alias("of"))
+    # Relations. A set's leader is, among sets of about its size in the lists of its first places, the one with
+    # the largest share of its prefix in lists at all: the text that others were made from. Two ways to
+    # band the sizes let sets on either side of an edge meet.
+    length = F.col("size") - F.ceil(F.col("size") * num / den - 1e-9) + 1
+    share = live.groupBy("id").agg((F.count(F.lit(1)) / F.max(length)).alias("share"))
+    band = F.log(F.col("size")) / math.log(den / num) + 1e-9
+    bands = F.explode(F.array(F.floor(band), -1 - F.floor(band + 0.5))).alias("band")
+    first = live.where(F.col("place") < LEADER_PLACES).join(share, "id").select("token", "id", "size", "place", "share", bands)
+    top = first.groupBy("token", "band").agg(F.max(F.struct("share", (-F.col("id")).alias("minus"))).alias("top"))
+    proposed = first.join(top.select("token", "band", (-F.col("top.minus")).alias("leader")), ["token", "band"]).where("leader <> id")
+    best = proposed.groupBy("id", "leader").agg(F.count_distinct("place").alias("n"), F.max(F.least(length, F.lit(LEADER_PLACES))).alias("of"))
     best = best.where(F.col("n") * 2 >= F.col("of")).groupBy("id")
     best = best.agg(F.max(F.struct("n", (-F.col("leader")).alias("minus"))).alias("top"))
     best = stored(best.select(F.col("id").alias("b"), (-F.col("top.minus")).alias("a")), "leaders")
     sets = whole_sets(docs, best.select(F.col("a").alias("id")).unionByName(best.select(F.col("b").alias("id"))), key, text, n)
-    tied = stored(overlaps(best, sets).where(linked("common", "size_a", "size_b", num, den)), "tied")
-    classes = components(tied.select("a", "b")).withColumnRenamed("component", "root")
-    relation = tied.groupBy("b").agg(F.min(F.struct("a", (F.col("size_b") - F.col("common")).alias("more"), (F.col("size_a") - F.col("common")).alias("less"))).alias("r"))
-    relation = stored(
-        classes.join(relation.withColumnRenamed("b", "id"), "id", "left").select(
-            "id", "root", F.coalesce("r.a", "id").alias("leader"), F.coalesce("r.more", F.lit(0)).alias("more"), F.coalesce("r.less", F.lit(0)).alias("less")
-        ),
-        "classes",
+    met = overlaps(best, sets).groupBy("b").agg(F.max_by(F.struct("a", "size_a", "size_b", "common"), "common").alias("x")).select("b", "x.*")
+    met = stored(met.withColumn("tied", linked("common", "size_a", "size_b", num, den)), "met")
+
+    # Within the sets of one leader, those it does not tie are compared with all.
+    group = met.select("b", F.col("a").alias("ref"), "tied").unionByName(met.select(F.col("a").alias("b"), F.col("a").alias("ref"), F.lit(True).alias("tied")).distinct())
+    sizes = group.groupBy("ref").agg(F.count(F.lit(1)).alias("members"), F.count_if(~F.col("tied")).alias("loose")).where("loose > 0 AND members > 2")
+    group = group.join(sizes.select("ref", F.ceil(F.col("members") / GROUP_BLOCK).cast("int").alias("salts")), "ref")
+    group = stored(group.join(sets.withColumnRenamed("id", "b"), "b"), "members")
+    columns = ["ref", "salt", "visitor", "tied", F.col("b").alias("id"), "grams"]
+    residents = group.withColumns({"salt": F.pmod(F.xxhash64("b"), "salts").cast("int"), "visitor": F.lit(False)}).select(*columns)
+    visitors = group.where("NOT tied").withColumns({"salt": F.explode(F.sequence(F.lit(0), F.col("salts") - 1)), "visitor": F.lit(True)}).select(*columns)
+    blocks = residents.unionByName(visitors).repartition("ref", "salt").sortWithinPartitions("ref", "salt", "visitor")
+    tied = stored(met.where("tied").select("a", "b").unionByName(blocks.mapInArrow(group_links(num, den), "a LONG, b LONG")), "tied")
+    classes = components(tied).withColumnRenamed("component", "root")
+    relation = met.select(F.col("b").alias("id"), F.col("a").alias("leader"), (F.col("size_b") - F.col("common")).alias("more"), (F.col("size_a") - F.col("common")).alias("less"))
+    relation = relation.join(classes, "id", "full").select(
+        "id", F.coalesce("root", "id").alias("root"), F.coalesce("leader", "id").alias("leader"), F.coalesce("more", F.lit(0)).alias("more"), F.coalesce("less", F.lit(0)).alias("less")
     )
+    relation = stored(relation, "classes")
 
     # Index skipping.
-    placed = live.select("token", "id", "size", "place").join(relation.select("id", "root"), "id", "left")
-    placed = placed.select("token", "id", "size", "place", F.coalesce("root", "id").alias("root"))
-    placed = placed.repartition("token").sortWithinPartitions("token", "size", "place", "root", "id")
+    placed = live.join(relation.select("id", "root", F.col("leader").alias("ref")), "id", "left")
+    placed = placed.select("token", "id", "size", "place", F.coalesce("root", "id").alias("root"), F.coalesce("ref", "id").alias("ref"))
+    placed = placed.repartition("token").sortWithinPartitions("token", "size", "place", "root", "ref", "id")
     pairs = placed.mapInArrow(candidate_pairs(num, den), "a LONG, b LONG, size_a LONG, size_b LONG, shared LONG")
     pairs = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.sum("shared").alias("shared"))
     required = F.ceil((F.col("size_a") + F.col("size_b")) * num / (num + den) - 1e-9)
@@ -386,7 +440,7 @@ def jaccard_join(
     sure = linked(at_least, "size_a", "size_b", num, den)
     bounded = stored(bounded.where(linked(at_most, "size_a", "size_b", num, den)).select("a", "b", sure.alias("sure")), "bounded")
     rest = overlaps(bounded.where("NOT sure").select("a", "b"), sets).where(linked("common", "size_a", "size_b", num, den))
-    links = tied.select("a", "b").unionByName(bounded.where("sure").select("a", "b")).unionByName(rest.select("a", "b"))
+    links = tied.unionByName(bounded.where("sure").select("a", "b")).unionByName(rest.select("a", "b"))
     return links, members
 
 
