@@ -15,6 +15,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Ids up to which (4 MB) a list of ids is sent to the scan of the rows; a longer one is joined by a shuffle.
+SENT_IDS = 500_000
+
+
+def by_ids(rows: DataFrame, column: str, ids: DataFrame, how: str) -> DataFrame:
+    """`rows` whose id is (left_semi) or is not (left_anti) the first column of `ids`; null ids equal each other."""
+    ids = stored(ids.select(F.col(ids.columns[0]).alias("_id")).distinct(), "ids")
+    if ids.count() <= SENT_IDS:
+        ids = F.broadcast(ids)
+    return rows.join(ids, F.col(column).eqNullSafe(F.col("_id")), how)
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(id, component): the smallest id reachable over edges(a, b), for every id that has an edge to another.
 
