@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,56 +42,58 @@ _CALENDAR = [
 ]
 _MONTH_FIRST = "|".join(month_first for month_first, _ in _CALENDAR)
 _DAY_FIRST = "|".join(day_first for _, day_first in _CALENDAR)
-_DATE = rf"(?<!\w)(?:(?:{_MONTH_FIRST}),\s*\d{{4}}|(?:{_DAY_FIRST})\s+\d{{4}})(?!\w)"
+# A date ends where its year does; what it starts after is settled by the cut into pieces.
+_DATE = rf"(?:{_MONTH_FIRST}),\s*\d{{4}}\b|(?:{_DAY_FIRST})\s+\d{{4}}\b"
 _TIME = (
-    r"(?<![\w:.])(?:(?:0\d|1[0-2])\.?[0-5]\d(?:[ap]\.m\.|[ap]m)(?!\w)"
-    r"|(?:[01]?\d|2[0-3]):[0-5]\d:[0-5]\d(?![\w:]))"
+    r"(?:0\d|1[0-2])\.?[0-5]\d(?:[ap]\.m\.|[ap]m)"
+    r"|(?:[01]?\d|2[0-3]):[0-5]\d:[0-5]\d"
 )
-_PERCENT = r"(?<![\w+\-,.])[+\-]?\d+(?:,\d{3})*(?:\.\d+)?%(?!\S?[\w+\-])"
-_NUMBER = r"(?<=^|\s|\()[+\-]?\d{1,3}(?:,\d{3})*(?:\.\d+)?(?=$|\s|\.$|\.\s|,\s|:)"
-_WORD = r"(?<=^|\s)(?:\w+(?:-\w+){2}|\w+'*\w*)"
-
-# The first type whose pattern matches at a position wins.
-TOKEN_TYPES = [
+_LETTER = r"[\p{L}\p{N}_]"
+_AMOUNT = r"[+\-]?(?:\d+|\d{1,3}(?:,\d{3})+)(?:\.\d+)?"
+
+# Text is cut into tags, dates, opening brackets and chunks without spaces.
+PIECES = rf"(?i)<[^<>]+>|{_DATE}|[^\s(<]+|\S"
+# A piece is of the first type that fits it whole, less the closing signs at its end, which are tokens by themselves.
+CLOSING = r"[.,:;!?)]*"
+PIECE_TYPES = [
     ("HTMLTAG", r"<[^<>]+>"),
-    ("DATE", _DATE),
-    ("TIME", _TIME),
-    ("PERCENT", _PERCENT),
-    ("NUMBER", _NUMBER),
-    ("WORD", _WORD),
+    ("DATE", rf"(?i)(?:{_DATE})"),
+    ("TIME", rf"(?i)(?:{_TIME})"),
+    ("PERCENT", rf"{_AMOUNT}%"),
+    ("NUMBER", _AMOUNT),
+    ("WORD", rf"{_LETTER}+(?:['\-]{_LETTER}+)*'*"),
 ]
-_TYPED_PATTERN = "(?imsU)" + "|".join(f"({p})" for _, p in TOKEN_TYPES) + r"|\s+|(.)"
-_RECORD, _FIELD = "\u001e", "\u001f"
+
+
+def whole_piece(pattern: str) -> str:
+    """The pattern of a piece: the token as group 1, closing signs as group 2."""
+    return rf"^({pattern})({CLOSING})$"
 
 
 def typed_tokens(text: Column | str) -> Column:
     """ARRAY<STRUCT<token, token_type>> of a text, in order and without spaces.
 
-    One replace pass writes every match as a record with one field per type, so the
-    number of field marks before the token tells its type.
+    A piece that fits no type is one OTHER token up to its closing signs.
     """
-    names = [name for name, _ in TOKEN_TYPES] + ["OTHER"]
-    marks = "".join(f"{_FIELD}${i + 1}" for i in range(len(names)))
-    tagged = F.regexp_replace(
-        F.translate(text, _RECORD + _FIELD, "  "), F.lit(_TYPED_PATTERN), F.lit(_RECORD + marks)
-    )
-    type_names = F.array(*[F.lit(name) for name in names])
-
-    def token_of(record: Column) -> Column:
-        return F.translate(record, _FIELD, "")
-
-    filled = F.filter(F.split(tagged, _RECORD), lambda record: token_of(record) != "")
-    return F.transform(
-        filled,
-        lambda record: F.struct(
-            token_of(record).alias("token"),
-            F.element_at(type_names, F.position(token_of(record), record) - 1).alias("token_type"),
-        ),
-    )
+    other = r"^(.*?)([.,:;!?)]*)$"
+
+    def tokens_of(piece: Column) -> Column:
+        kind, token, rest = F.lit("OTHER"), F.regexp_extract(piece, other, 1), F.regexp_extract(piece, other, 2)
+        for name, pattern in reversed(PIECE_TYPES):
+            fits = piece.rlike(whole_piece(pattern))
+            kind = F.when(fits, name).otherwise(kind)
+            token = F.when(fits, F.regexp_extract(piece, whole_piece(pattern), 1)).otherwise(token)
+            rest = F.when(fits, F.regexp_extract(piece, whole_piece(pattern), 2)).otherwise(rest)
+        signs = F.transform(F.filter(F.split(rest, ""), lambda x: x != ""), lambda x: F.struct(x.alias("token"), F.lit("OTHER").alias("token_type")))
+        return F.concat(F.array(F.struct(token.alias("token"), kind.alias("token_type"))), signs)
+
+    found = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(PIECES), F.lit(0)), tokens_of))
+    return F.filter(found, lambda x: x["token"] != "")
 
 
 HTML_TITLE = r"(?is)<title>(.*?)</title>"
-# Applied in this order; each match becomes the given text.
+# Applied in this order; each match becomes the given text. Entities of letters come from the standard table.
+_LETTER_ENTITIES = [(f"&{name};", chr(code)) for name, code in name2codepoint.items() if chr(code).isalpha() and code < 0x100]
 HTML_MARKUP = [
     (r"(?is)<script\b.*?</script>", " "),
     (r"(?is)<style\b.*?</style>", " "),
@@ -100,10 +103,27 @@ HTML_MARKUP = [
     (r"&lt;", "<"),
     (r"&gt;", ">"),
     (r"&quot;", '"'),
+    *sorted(_LETTER_ENTITIES),
+    (r"&(?:[b-zB-Z][A-Za-z]*|[aA](?:[a-ln-zA-Z][A-Za-z]*|m(?:[a-oq-zA-Z][A-Za-z]*|p[A-Za-z]+)?)?);", " "),
     (r"&amp;", "&"),
-    (r"&[A-Za-z]+;|&#[0-9]+;", " "),
     (r"[ \t\r\n]+", " "),
 ]
+_NUMERIC = r"(?i)^(x[0-9a-f]{1,6}|[0-9]{1,7});"
+
+
+def decode_numbers(text: Column) -> Column:
+    """`text` with numeric entities (&#233; &#xe9;) as their characters; those of no character become a space."""
+    parts = F.split(text, "&#")
+
+    def decode(part: Column) -> Column:
+        digits = F.lower(F.regexp_extract(part, _NUMERIC, 1))
+        code = F.when(digits.startswith("x"), F.conv(F.substring(digits, 2, 6), 16, 10)).otherwise(digits).cast("long")
+        is_char = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(is_char, code).otherwise(0x20)), 8, "0")), "UTF-32")
+        return F.when(digits == "", F.concat(F.lit("&#"), part)).otherwise(F.concat(char, F.regexp_replace(part, _NUMERIC, "")))
+
+    first, rest = F.slice(parts, 1, 1), F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    return F.when(text.contains("&#"), F.array_join(F.concat(first, F.transform(rest, decode)), "")).otherwise(text)
 
 
 def html_title(html: Column | str) -> Column:
@@ -115,14 +135,17 @@ def strip_markup(html: Column | str) -> Column:
     """The text of an HTML page without scripts, comments, tags and entities."""
     text = F.col(html) if isinstance(html, str) else html
     for pattern, replacement in HTML_MARKUP:
+        if pattern == "&amp;":
+            text = decode_numbers(text)
         text = F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
     return F.trim(text)
 
 
 HTML_LINK = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 WIKI_LINK = r"\[\[([^\[\]|]*)(?:\|([^\[\]]*))?\]\]"
-NOT_AN_ARTICLE = r".jpg|.png|Category:"
-_URL = r"\w+://[\w-]+(?:\.[\w-]+)*(?:/[^\s/]*)*"
+# Prefixes of pages that are no articles, and endings of media files.
+NOT_AN_ARTICLE = r"(?i)^(?:file|image|media|category):|\.(?:jpe?g|png|gif|svg)$"
+_URL = r"[A-Za-z][A-Za-z0-9+.\-]*://\S*"
 
 
 def is_article(target: Column | str) -> Column:

@@ -228,13 +228,28 @@ def _typed_rows(spark, sf_dir):
     return tables.pages(spark, sf_dir).select("page_id", F.inline(text_fn.typed_tokens(text)))
 
 
-@query("typed_tokens")
+def _typed_sql() -> str:
+    kinds = " ".join(f"WHEN regexp_matches(piece, {sql.quoted(text_fn.whole_piece(p))}) THEN '{name}'" for name, p in text_fn.PIECE_TYPES)
+    closing = " ".join(
+        f"WHEN regexp_matches(piece, {sql.quoted(text_fn.whole_piece(p))})"
+        f" THEN length(regexp_extract(piece, {sql.quoted(text_fn.whole_piece(p))}, 2))"
+        for _, p in text_fn.PIECE_TYPES
+    )
+    return f"""WITH bodies AS (SELECT page_id, {sql.stripped()} AS body FROM pages),
+    pieces AS (SELECT page_id, unnest(regexp_extract_all(body, {sql.quoted(text_fn.PIECES)})) AS piece FROM bodies),
+    kinds AS (SELECT page_id, CASE {kinds} ELSE 'OTHER' END AS token_type, length(piece) AS size,
+        CASE {closing} ELSE length(regexp_extract(piece, '[.,:;!?)]*$')) END AS closing FROM pieces),
+    typed AS (SELECT page_id, token_type, 1 AS n FROM kinds WHERE size > closing
+        UNION ALL SELECT page_id, 'OTHER', closing FROM kinds WHERE closing > 0)"""
+
+
+@query("typed_tokens", f"{_typed_sql()} SELECT page_id, token_type, sum(n)::BIGINT AS n FROM typed GROUP BY 1, 2")
 def typed_tokens(spark, sf_dir):
     """(page_id, token_type, n) over the text of the pages."""
     return _typed_rows(spark, sf_dir).groupBy("page_id", "token_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("distinct_token_types")
+@query("distinct_token_types", f"{_typed_sql()} SELECT page_id, count(DISTINCT token_type) AS n_types FROM typed GROUP BY 1")
 def distinct_token_types(spark, sf_dir):
     return _typed_rows(spark, sf_dir).groupBy("page_id").agg(F.count_distinct("token_type").alias("n_types"))
 

@@ -147,7 +147,14 @@ def test_typed_tokens(spark):
 
 def test_typed_tokens_keep_all_text(spark):
     text = "a\u001eb <i>x</i>, 5% of 12 -- Jan 3, 2020; \\ $1 é ß"
-    assert "".join(v for v, _ in typed(spark, text)).replace(" ", "") == text.replace("\u001e", "").replace(" ", "")
+    assert "".join(v for v, _ in typed(spark, text)).replace(" ", "") == text.replace(" ", "")
+    assert ("12.12PM", "TIME") in typed(spark, "at 12.12PM.") and ("Jan 3, 2020", "DATE") in typed(spark, "(Jan 3, 2020)")
+
+
+def test_entities(spark):
+    html = "<p>caf&eacute; &amp;lt; &#233;&#xE9; &Uuml;ber&nbsp;a&b &copy; &#0; &#x; &amp;amp;</p>"
+    got = spark.createDataFrame([(html,)], "html STRING").select(text_fn.strip_markup("html")).first()[0]
+    assert got == "café &lt; éé Über a&b &#x; &amp;"
 
 
 def test_page_views(spark):
