@@ -7,9 +7,9 @@
 3. Relations: a set is compared with one leader, and keeps how many shingles it has and the
    leader lacks, and the other way round. Sets that the leader does not tie are compared with all others of that leader,
    in blocks, so pairs of one leader are decided. All sets tied by links are one class.
-4. Index skipping: in a list, entries with the same size, place, class and leader are one block. A
-   pair of blocks is skipped if the sizes are too far apart, if too few shingles follow the
-   place, or if class or leader is the same. What remains is summed by pair, and a pair whose prefixes share too few shingles for the required overlap goes.
+4. Index skipping: in a list, entries with the same size, place, class, leader and number in lists are one block. A
+   pair of blocks is skipped if the sizes or the places are too far apart for the required overlap, if
+   too few shingles of either are in lists, or if class or leader is the same. What remains is summed by pair, and a pair whose prefixes share too few shingles for the required overlap goes.
 5. Answer skipping: of the pairs left only their leaders are compared. With the kept
    differences that overlap bounds the overlap of every pair below from both sides; most are
    accepted or refused by the bounds, and only the rest are compared themselves.
@@ -39,8 +39,8 @@ FREQUENT = 65_536
 FREQUENT_FROM = 200
 # Shingles counted at once.
 COUNTED = 2_000_000
-# Places of the prefix whose lists propose leaders.
-LEADER_PLACES = 8
+# A set has a leader if one is proposed by every third place of its prefix.
+LEADER_SHARE = 3
 # Sets of one leader in a block.
 GROUP_BLOCK = 1_000
 # Pairs made at once, and ids up to which (4 MB) a list of ids is sent to every executor.
@@ -257,13 +257,13 @@ def candidate_pairs(num: int, den: int):
             # Blocks of equal token, size, place and class; held entries were paired before.
             change = np.zeros(token.size, bool)
             change[0] = True
-            for column in (token, size, place, group, x["ref"]):
+            for column in (token, size, place, group, x["ref"], x["listed"]):
                 change[1:] |= np.diff(column) != 0
             if n_held < token.size:
                 change[n_held] = True
             starts = np.flatnonzero(change)
             ends = np.append(starts[1:], token.size)
-            b_token, b_size, b_place, b_root, b_ref = (v[starts] for v in (token, size, place, group, x["ref"]))
+            b_token, b_size, b_place, b_root, b_ref, b_listed = (v[starts] for v in (token, size, place, group, x["ref"], x["listed"]))
             is_new = starts >= n_held
             need = -(-b_size * num // den)
             # Blocks of the same token are adjacent and ascend in size: the first that is large enough, by bisection.
@@ -288,8 +288,13 @@ def candidate_pairs(num: int, den: int):
                     first = np.repeat(np.cumsum(counts[begin:stop]) - counts[begin:stop], counts[begin:stop])
                     left = low[right] + np.arange(right.size) - first
                     required = -(-(b_size[left] + b_size[right]) * num // (num + den))
-                    rest = np.minimum(b_size[left] - b_place[left], b_size[right] - b_place[right])
-                    ok = (rest >= required) & (b_root[left] != b_root[right]) & (b_ref[left] != b_ref[right])
+                    # Before a shingle that linked sets share, either has no more of its own than it may have in all.
+                    apart = b_place[left] - b_place[right]
+                    ok = (apart <= b_size[left] - required) & (-apart <= b_size[right] - required)
+                    # Beyond the prefixes at most `after` are shared, in them no more than either has in lists.
+                    after = -(-np.maximum(b_size[left], b_size[right]) * num // den) - 1
+                    ok &= np.minimum(b_listed[left], b_listed[right]) + after >= required
+                    ok &= (b_root[left] != b_root[right]) & (b_ref[left] != b_ref[right])
                     left, right = left[ok], right[ok]
                     single = (ends[left] - starts[left] == 1) & (ends[right] - starts[right] == 1)
                     sides = [(starts[left[single]], starts[right[single]])] if single.any() else []
@@ -373,18 +378,21 @@ def jaccard_join(
         listed.mapInArrow(live_entries(num, den), "token LONG, id LONG, size LONG, place LONG"), "entries"
     )
 
-    # Relations. A set's leader is, among sets of about its size in the lists of its first places, the one with
+    # Relations. A set's leader is, among sets of about its size in the lists of its prefix, the one with
     # the largest share of its prefix in lists at all: the text that others were made from. Two ways to
-    # band the sizes let sets on either side of an edge meet.
+    # band the sizes let sets on either side of an edge meet; a list has few bands.
     length = F.col("size") - F.ceil(F.col("size") * num / den - 1e-9) + 1
-    share = live.groupBy("id").agg((F.count(F.lit(1)) / F.max(length)).alias("share"))
+    listed = live.groupBy("id").agg(F.count(F.lit(1)).alias("listed"), F.max(length).alias("of"))
+    share = listed.select("id", (F.col("listed") / F.col("of")).alias("share"))
     band = F.log(F.col("size")) / math.log(den / num) + 1e-9
-    bands = F.explode(F.array(F.floor(band), -1 - F.floor(band + 0.5))).alias("band")
-    first = live.where(F.col("place") < LEADER_PLACES).join(share, "id").select("token", "id", "size", "place", "share", bands)
-    top = first.groupBy("token", "band").agg(F.max(F.struct("share", (-F.col("id")).alias("minus"))).alias("top"))
-    proposed = first.join(top.select("token", "band", (-F.col("top.minus")).alias("leader")), ["token", "band"]).where("leader <> id")
-    best = proposed.groupBy("id", "leader").agg(F.count_distinct("place").alias("n"), F.max(F.least(length, F.lit(LEADER_PLACES))).alias("of"))
-    best = best.where(F.col("n") * 2 >= F.col("of")).groupBy("id")
+    bands = F.array(F.floor(band), -1 - F.floor(band + 0.5))
+    shared = live.join(share, "id").select("token", "id", "share", F.explode(bands).alias("band"))
+    top = shared.groupBy("token", "band").agg(F.max(F.struct("share", (-F.col("id")).alias("minus"))).alias("top"))
+    top = top.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("band", -F.col("top.minus")))).alias("leaders"))
+    both = F.array_distinct(F.transform(bands, lambda x: F.element_at("leaders", x)))
+    proposed = live.join(top, "token").select("id", length.alias("of"), F.explode(both).alias("leader")).where("leader <> id")
+    best = proposed.groupBy("id", "leader").agg(F.count(F.lit(1)).alias("n"), F.max("of").alias("of"))
+    best = best.where(F.col("n") * LEADER_SHARE >= F.col("of")).groupBy("id")
     best = best.agg(F.max(F.struct("n", (-F.col("leader")).alias("minus"))).alias("top"))
     best = stored(best.select(F.col("id").alias("b"), (-F.col("top.minus")).alias("a")), "leaders")
     sets = whole_sets(docs, best.select(F.col("a").alias("id")).unionByName(best.select(F.col("b").alias("id"))), key, text, n)
@@ -409,9 +417,9 @@ def jaccard_join(
     relation = stored(relation, "classes")
 
     # Index skipping.
-    placed = live.join(relation.select("id", "root", F.col("leader").alias("ref")), "id", "left")
-    placed = placed.select("token", "id", "size", "place", F.coalesce("root", "id").alias("root"), F.coalesce("ref", "id").alias("ref"))
-    placed = placed.repartition("token").sortWithinPartitions("token", "size", "place", "root", "ref", "id")
+    placed = live.join(listed.select("id", "listed"), "id").join(relation.select("id", "root", F.col("leader").alias("ref")), "id", "left")
+    placed = placed.select("token", "id", "size", "place", "listed", F.coalesce("root", "id").alias("root"), F.coalesce("ref", "id").alias("ref"))
+    placed = placed.repartition("token").sortWithinPartitions("token", "size", "place", "root", "ref", "listed", "id")
     pairs = placed.mapInArrow(candidate_pairs(num, den), "a LONG, b LONG, size_a LONG, size_b LONG, shared LONG")
     pairs = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.sum("shared").alias("shared"))
     required = F.ceil((F.col("size_a") + F.col("size_b")) * num / (num + den) - 1e-9)
