@@ -44,6 +44,14 @@ def count_terms(docs: DataFrame, tokens: Column, keys: Sequence[str] = ("doc_id"
     ).select(*keys, "entry.term", "entry.tf", "doc_len")
 
 
+def max_tf(docs: DataFrame, tokens: Column) -> DataFrame:
+    """(doc_id, max_tf) of documents with tokens: the longest run of equal ones in the sorted row."""
+    runs = docs.select("doc_id", F.explode(F.array(F.sort_array(tokens))).alias("words")).where("size(words) > 0")
+    ends = F.expr("array(filter(sequence(0, size(words) - 1), i -> i = size(words) - 1 or words[i] <> words[i + 1]))")
+    longest = F.expr("array_max(transform(ends, (last, n) -> cast(last - if(n > 0, ends[n - 1], -1) as long)))")
+    return runs.select("doc_id", F.explode(ends).alias("ends")).select("doc_id", longest.alias("max_tf"))
+
+
 def build_postings(
     docs: DataFrame,
     text: str = "text",

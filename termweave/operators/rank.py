@@ -60,6 +60,19 @@ def top_n(run: DataFrame, n: int, by: Sequence[str] = ("query_id",)) -> DataFram
     return run.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
+def top_by(run: DataFrame, depths: DataFrame, salts: int = SALTS) -> DataFrame:
+    """The `depth` best documents of each query with their rank, for depths(query_id, depth).
+
+    The candidates of a query are cut to its depth in `salts` parts first, so that no task orders all of them.
+    """
+    best = [F.desc("score"), "doc_id"]
+    parts = run.join(depths, "query_id").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
+    inside = F.row_number().over(Window.partitionBy("query_id", "part").orderBy(*best))
+    kept = parts.withColumn("place", inside).where("place <= depth")
+    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*best)))
+    return ranked.where("rank <= depth").drop("part", "place", "depth")
+
+
 def in_order(run: DataFrame) -> DataFrame:
     """All results, best first; the sort key ends in doc_id, so one large query spreads over tasks."""
     return run.orderBy("query_id", F.desc("score"), "doc_id")

@@ -10,12 +10,14 @@ from termweave.plans.rank_queries import Search
 from termweave.plans.registry import query
 
 K = 40
-DEPTH = 100
+# Fixed values.
 KS = [1, 3, 5, 10, 20, 30, 40]
 R3 = 3
+# Ids of the log of query times.
+LOGGED = 40
 
-RUN = f"""{sql.JUDGED}, {sql.BODY_STATS}, {sql.QRELS}, {sql.hits("body")}, {sql.bm25_scores("scores")},
-    {sql.ranked("run", "scores", DEPTH)}"""
+RUN = f"""{sql.BENCHMARK}, {sql.BODY_STATS}, {sql.QRELS}, {sql.hits("body")}, {sql.bm25_scores("scores")},
+    {sql.ranked("run", "scores", None)}"""
 N_DOCS = "(SELECT count(*) FROM documents)"
 
 
@@ -68,33 +70,32 @@ def metrics_sql(ks: list[int], by: str = "", settings: str = "(SELECT 1)") -> st
 EVALUATED = f"{RUN}, {metrics_sql([K])}"
 
 
-def _terms(spark):
-    return rank.query_terms(tables.judged_queries(spark), tables.STOPS)
-
-
-def bm25_run(spark, sf_dir, depth=DEPTH):
-    return rank.top_n(Search(spark, sf_dir, terms=_terms(spark)).bm25(), depth)
+def bm25_run(spark, sf_dir, ks=(K,)):
+    """The BM25 run, each query as deep as its metrics look: the largest k, or all that could be relevant."""
+    n_rel = tables.qrels(spark, sf_dir).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_rel"))
+    depth = n_rel.select("query_id", F.greatest("n_rel", F.lit(max(ks))).alias("depth"))
+    return rank.top_by(Search(spark, sf_dir).bm25(), depth)
 
 
 def _metrics(spark, sf_dir, ks=(K,), **options):
     n_docs = tables.search_index(spark, sf_dir).n_docs("body")
     return evaluate.evaluate(
-        bm25_run(spark, sf_dir), tables.qrels(spark, sf_dir), ks, collection_size=n_docs, **options
+        bm25_run(spark, sf_dir, ks), tables.qrels(spark, sf_dir), ks, collection_size=n_docs, **options
     )
 
 
-def _metric(name, column, sql_column=None, with_sql=True, **options):
+def _metric(name, column, sql_column=None, **options):
     """Register the query of one metric."""
     text = f"WITH {EVALUATED} SELECT query_id, k, {sql_column or column} AS {column} FROM metrics"
 
-    @query(name, text if with_sql else None)
+    @query(name, text)
     def one_metric(spark, sf_dir):
         return _metrics(spark, sf_dir, **options).select("query_id", "k", column)
 
 
 @query("intersection", f"WITH {RUN} SELECT DISTINCT query_id, doc_id FROM run JOIN qrels USING (query_id, doc_id)")
 def intersection(spark, sf_dir):
-    return evaluate.intersection(bm25_run(spark, sf_dir), tables.qrels(spark, sf_dir))
+    return evaluate.intersection(Search(spark, sf_dir).bm25(), tables.qrels(spark, sf_dir))
 
 
 _metric("recall_at_k", "recall")
@@ -106,7 +107,20 @@ _metric("f_score_at_k", "f_score")
 _metric("average_precision", "average_precision")
 _metric("average_precision_exact", "average_precision", "exact_average_precision", ap_rounding=False)
 _metric("ndcg_at_k", "ndcg")
-_metric("ndcg_recursive", "ndcg", with_sql=False, ndcg="recursive")
+_FOLD = "list_reduce(list_prepend(0.0::DOUBLE, {}), lambda g, x: CASE WHEN g = 0 THEN x ELSE x / log2(g + 1.0e0) END)"
+_GAIN, _IDEAL = (_FOLD.format(f"list(grade::DOUBLE ORDER BY {o})") for o in ("rank", "grade DESC"))
+
+
+@query(
+    "ndcg_recursive",
+    f"""WITH {RUN}, found AS (SELECT query_id, {_GAIN} AS gain, {_IDEAL} AS ideal
+        FROM run JOIN qrels USING (query_id, doc_id) WHERE rank <= {K} GROUP BY 1)
+    SELECT query_id, {K} AS k, {sql.rounded("coalesce(CASE WHEN ideal = 0 THEN 0 ELSE gain / ideal END, 0)", R3)} AS ndcg
+    FROM (SELECT DISTINCT query_id FROM qrels) LEFT JOIN found USING (query_id)""",
+)
+def ndcg_recursive(spark, sf_dir):
+    return _metrics(spark, sf_dir, ndcg="recursive").select("query_id", "k", "ndcg")
+
 
 NAMES = ", ".join(evaluate.METRICS)
 MEANS = ", ".join(f"{mean_sql(m)} AS {m}" for m in evaluate.METRICS)
@@ -139,7 +153,7 @@ def avg_eval_speed(spark, sf_dir):
     return evaluate.mean_speed(log.select(F.abs("value").alias("duration")))
 
 
-LOG = """log AS (SELECT 1 + event_id % 8 AS query_id, avg(abs(value)) AS duration FROM events WHERE event_type = 'click'
+LOG = f"""log AS (SELECT event_id % {LOGGED} AS query_id, avg(abs(value)) AS duration FROM events WHERE event_type = 'click'
         GROUP BY 1)"""
 
 
@@ -151,7 +165,7 @@ LOG = """log AS (SELECT 1 + event_id % 8 AS query_id, avg(abs(value)) AS duratio
 )
 def eval_summary(spark, sf_dir):
     clicks = tables.read(spark, sf_dir, "events", "event_id", "event_type", "value").where("event_type = 'click'")
-    log = clicks.groupBy((F.col("event_id") % len(tables.JUDGED_QUERIES) + 1).alias("query_id")).agg(
+    log = clicks.groupBy((F.col("event_id") % LOGGED).alias("query_id")).agg(
         F.avg(F.abs("value")).alias("duration")
     )
     return evaluate.eval_summary(_metrics(spark, sf_dir), log)
@@ -159,13 +173,14 @@ def eval_summary(spark, sf_dir):
 
 @query(
     "train_test_split",
-    """SELECT item_id AS query_id, text, CASE WHEN row_number() OVER (ORDER BY item_id) <= 30 THEN 'train' ELSE 'test' END AS part
-    FROM benchmark""",
+    f"""SELECT item_id AS query_id, text, CASE WHEN row_number() OVER (ORDER BY item_id)
+        <= {tables.TRAIN_SHARE}e0 * count(*) OVER () THEN 'train' ELSE 'test' END AS part FROM benchmark""",
 )
 def train_test_split(spark, sf_dir):
-    """The first 30 benchmark queries train, the others test."""
+    """The first two thirds of the benchmark queries train, the others test."""
     queries = tables.benchmark_queries(spark, sf_dir)
-    return evaluate.train_test_split(queries, 30, index.number_rows(queries, "query_id"))
+    n_train = queries.agg(F.count(F.lit(1)) * tables.TRAIN_SHARE).scalar()
+    return evaluate.train_test_split(queries, n_train, index.number_rows(queries, "query_id"))
 
 
 GRID_SETTINGS = ", ".join(
@@ -175,8 +190,11 @@ GRID_BY = ["k1", "b", "title_weight", "body_weight"]
 N_GRID = 30
 
 
-def _grid_sql() -> str:
-    parts = [sql.JUDGED, sql.BODY_STATS, sql.TITLE_STATS, sql.QRELS,
+def _grid_sql(part: str) -> str:
+    side = "<=" if part == "train" else ">"
+    queries = f"""(SELECT item_id, text FROM (SELECT *, row_number() OVER (ORDER BY item_id) AS place, count(*) OVER () AS n
+        FROM benchmark) WHERE place {side} {tables.TRAIN_SHARE}e0 * n)"""
+    parts = [sql.query_terms(queries, "item_id"), sql.BODY_STATS, sql.TITLE_STATS, sql.QRELS,
              f"grid AS (SELECT * FROM (VALUES {GRID_SETTINGS}) t(k1, b, title_weight, body_weight))",
              "bm AS (SELECT DISTINCT k1, b FROM grid)"]
     for field in ["body", "title"]:
@@ -196,13 +214,19 @@ def _grid_sql() -> str:
     return ", ".join(parts)
 
 
-GRID = f"""{_grid_sql()}, means AS (SELECT k1, b, title_weight, body_weight,
-    {mean_sql("average_precision")} AS average_precision FROM metrics GROUP BY ALL)"""
+def _means_sql(part: str) -> str:
+    return f"""{_grid_sql(part)}, means AS (SELECT k1, b, title_weight, body_weight,
+        {mean_sql("average_precision")} AS average_precision FROM metrics GROUP BY ALL)"""
 
 
-def _grid_means(spark, sf_dir):
-    """Mean average precision of the merged title and body run for every setting."""
-    terms = _terms(spark)
+BEST = "ORDER BY average_precision DESC, k1, b, title_weight, body_weight LIMIT 1"
+
+
+def _grid_means(spark, sf_dir, part):
+    """Mean average precision of the merged title and body run for every setting, over one part of the queries."""
+    chosen = train_test_split(spark, sf_dir).where(F.col("part") == part).select("query_id")
+    terms = tables.benchmark_terms(spark, sf_dir).join(chosen, "query_id", "left_semi")
+    qrels = tables.qrels(spark, sf_dir).join(chosen, "query_id", "left_semi")
     runs = []
     for field in ["title", "body"]:
         search = Search(spark, sf_dir, field, terms)
@@ -217,23 +241,33 @@ def _grid_means(spark, sf_dir):
     ])
     run = blend.merge_grid(*runs, weights, N_GRID, ["k1", "b", "query_id"])
     metrics = evaluate.evaluate(
-        run, tables.qrels(spark, sf_dir), [N_GRID], GRID_BY, settings, tables.search_index(spark, sf_dir).n_docs("body")
+        run, qrels, [N_GRID], GRID_BY, settings, tables.search_index(spark, sf_dir).n_docs("body")
     )
     return evaluate.mean_metrics(metrics, GRID_BY, ["average_precision"])
 
 
-@query("grid_search", f"WITH {GRID} SELECT * FROM means")
+@query("grid_search", f"WITH {_means_sql('train')} SELECT * FROM means")
 def grid_search(spark, sf_dir):
-    return _grid_means(spark, sf_dir)
+    """Every setting on the queries that train."""
+    return _grid_means(spark, sf_dir, "train")
+
+
+@query("grid_search_best", f"WITH {_means_sql('train')} SELECT * FROM means {BEST}")
+def grid_search_best(spark, sf_dir):
+    return evaluate.best_setting(_grid_means(spark, sf_dir, "train"), GRID_BY)
 
 
 @query(
-    "grid_search_best",
-    f"""WITH {GRID} SELECT * FROM means
-    ORDER BY average_precision DESC, k1, b, title_weight, body_weight LIMIT 1""",
+    "grid_search_test",
+    f"""SELECT t.*, b.average_precision AS train_average_precision
+    FROM (WITH {_means_sql("test")} SELECT * FROM means) t
+    JOIN (WITH {_means_sql("train")} SELECT * FROM means {BEST}) b USING (k1, b, title_weight, body_weight)""",
 )
-def grid_search_best(spark, sf_dir):
-    return evaluate.best_setting(_grid_means(spark, sf_dir), GRID_BY)
+def grid_search_test(spark, sf_dir):
+    """The setting that was best on the queries that train, on those that test."""
+    best = evaluate.best_setting(_grid_means(spark, sf_dir, "train"), GRID_BY)
+    best = best.withColumnRenamed("average_precision", "train_average_precision")
+    return _grid_means(spark, sf_dir, "test").join(best, GRID_BY)
 
 
 @query("metrics_by_k", f"WITH {RUN}, {metrics_sql(KS)} SELECT k, {MEANS} FROM metrics GROUP BY k")

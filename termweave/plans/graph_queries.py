@@ -10,6 +10,8 @@ from termweave.plans import sql, tables
 from termweave.plans.registry import query
 
 PAGE_EDGES = f"{sql.RESOLVED}, edges AS (SELECT DISTINCT page_id AS src, target_id AS dst FROM resolved)"
+PAGE_GRAPH = f"""{sql.RESOLVED}, edges AS (SELECT page_id AS src, target_id AS dst FROM resolved
+    UNION SELECT target_id, page_id FROM named)"""
 ORDER_EDGES = "edges AS (SELECT DISTINCT l_orderkey AS src, l_partkey AS dst FROM lineitem)"
 
 
@@ -34,18 +36,17 @@ PLACES = [1, 4, 5]
 
 @query(
     "top_pagerank_pages",
-    f"""WITH {PAGE_EDGES}, {sql.pagerank("edges", 10)},
-    placed AS (SELECT id, pagerank, row_number() OVER (ORDER BY pagerank DESC, id) AS place FROM pr)
-    SELECT place::INT AS place, id, title, pagerank FROM placed JOIN page_titles ON page_id = id
+    f"""WITH {PAGE_GRAPH}, {sql.pagerank("edges", 10)},
+    placed AS (SELECT id, title, pagerank, row_number() OVER (ORDER BY pagerank DESC, id) AS place
+        FROM pr JOIN page_titles ON page_id = id)
+    SELECT place::INT AS place, id, title, pagerank FROM placed
     WHERE place IN (1, 4, 5)""",
 )
 def top_pagerank_pages(spark, sf_dir):
-    """The pages at places 1, 4 and 5 after 10 rounds."""
-    ranks = graph.pagerank(tables.resolved_links(spark, sf_dir).select(
-        F.col("page_id").alias("src"), F.col("target_id").alias("dst")
-    ), rounds=10)
-    best = graph.top_ranked(ranks, max(PLACES), digits=5).where(F.col("place").isin(PLACES))
+    """The pages at places 1, 4 and 5 among pages, after 10 rounds over pages and names."""
     titles = tables.pages(spark, sf_dir).select(F.col("page_id").alias("id"), "title")
+    ranks = graph.pagerank(tables.page_graph(spark, sf_dir), rounds=10).join(titles.select("id"), "id", "left_semi")
+    best = graph.top_ranked(ranks, max(PLACES), digits=5).where(F.col("place").isin(PLACES))
     return best.join(titles, "id").select("place", "id", "title", "pagerank")
 
 
@@ -65,16 +66,12 @@ REQUESTS = """asked AS (SELECT l_orderkey AS request_id, l_partkey AS id,
 
 @query(
     "pagerank_lookup",
-    f"""WITH {PAGE_EDGES}, {sql.pagerank("edges", 6)}, {REQUESTS}
+    f"""WITH {ORDER_EDGES}, {sql.pagerank("edges", 6)}, {REQUESTS}
     SELECT request_id, position, id, coalesce(pagerank, 0) AS pagerank FROM asked LEFT JOIN pr USING (id)""",
 )
 def pagerank_lookup(spark, sf_dir):
-    """Ranks of pages for lists of ids; most ids of the lists are no pages."""
-    ranks = graph.pagerank(tables.resolved_links(spark, sf_dir).select(
-        F.col("page_id").alias("src"), F.col("target_id").alias("dst")
-    ), rounds=6)
-    ranks = ranks.select("id", rounded("pagerank", 5).alias("pagerank"))
-    return graph.lookup(_requests(spark, sf_dir), ranks, "pagerank")
+    """Stored ranks of the order graph for lists of its ids."""
+    return graph.lookup(_requests(spark, sf_dir), tables.stored_ranks(spark, sf_dir), "pagerank")
 
 
 VIEWS = """views AS (SELECT page_id, sum(n)::BIGINT AS views FROM (

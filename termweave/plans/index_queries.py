@@ -35,9 +35,16 @@ def posting_lists(spark, sf_dir):
     return index.posting_lists(tables.search_index(spark, sf_dir).postings("body"))
 
 
-@query("filter_rare_postings", f"WITH {sql.BODY_STATS} SELECT term, df FROM body_df WHERE df > {MIN_DF}")
+@query(
+    "filter_rare_postings",
+    f"""WITH {sql.BODY_STATS} SELECT term, doc_id, tf FROM body
+    WHERE term IN (SELECT term FROM body_df WHERE df > {MIN_DF})""",
+)
 def filter_rare_postings(spark, sf_dir):
-    return index.drop_rare(index.term_stats(_body_postings(spark, sf_dir)), MIN_DF).select("term", "df")
+    """The postings of terms that are in more than MIN_DF documents."""
+    stored = tables.search_index(spark, sf_dir)
+    kept = index.drop_rare(stored.term_stats("body"), MIN_DF).select("term")
+    return stored.postings("body").join(kept, "term", "left_semi").select("term", "doc_id", "tf")
 
 
 @query("document_frequency", f"WITH {sql.BODY_STATS} SELECT term, df FROM body_df")
@@ -96,7 +103,8 @@ def avg_doc_length(spark, sf_dir):
 
 @query("max_tf", f"WITH {sql.BODY} SELECT doc_id, max(tf) AS max_tf FROM body GROUP BY 1")
 def max_tf(spark, sf_dir):
-    return _body_postings(spark, sf_dir).groupBy("doc_id").agg(F.max("tf").alias("max_tf"))
+    """Counted in the row of the document."""
+    return index.max_tf(tables.documents(spark, sf_dir), text_fn.tokens("text", tables.STOPS))
 
 
 @query(
@@ -138,6 +146,13 @@ def batch_index(spark, sf_dir):
     return index.term_stats(parts, by=["batch"])
 
 
+@query("batch_index_merged", f"WITH {sql.BODY_STATS} SELECT term, df, term_total FROM body_df")
+def batch_index_merged(spark, sf_dir):
+    """The merged batches, which are the index built at once."""
+    parts = index.batch_indexes(tables.documents(spark, sf_dir), 100, "text", tables.STOPS)
+    return index.term_stats(index.merge_postings(parts))
+
+
 @query(
     "title_index",
     f"""WITH {sql.PAGE_TITLES}, {sql.postings("t", "page_titles", "title", "page_id", "none", SHORT)}
@@ -186,7 +201,14 @@ def posting_scan(spark, sf_dir):
     return tables.search_index(spark, sf_dir).postings("body").select("term", "doc_id", "tf").orderBy("term", "doc_id")
 
 
-@query("merge_posting_locations")
+@query(
+    "merge_posting_locations",
+    f"""WITH {sql.BODY}, {sql.TITLES}, {sql.RESOLVED}, {sql.postings("anchor", "resolved", "anchor_text", "target_id")},
+    fields AS (SELECT 'body' AS field, term FROM body UNION ALL SELECT 'title', term FROM title
+        UNION ALL SELECT 'anchor', term FROM anchor)
+    SELECT field, {sql.bucket(tables.SEARCH_BUCKETS)} AS bucket, count(DISTINCT term) AS n_terms, count(*) AS n_postings
+    FROM fields GROUP BY 1, 2""",
+)
 def merge_posting_locations(spark, sf_dir):
     return index_store.bucket_manifest(tables.search_index(spark, sf_dir))
 

@@ -58,19 +58,17 @@ def candidate_tfidf(spark, sf_dir):
 
 @query(
     "doc_tfidf_matrix",
-    f"""WITH {BASE}, {sql.ranked("picked", "(SELECT query_id, doc_id, count(*) AS score FROM hits GROUP BY 1, 2)", 20)}
-    SELECT query_id, doc_id, term, {sql.rounded(f'tf::DOUBLE / doc_len * {LOG_IDF}', 8)} AS tfidf
-    FROM hits JOIN picked USING (query_id, doc_id)""",
+    f"""WITH {BASE}, dl AS (SELECT query_id, doc_id, count(*) AS n_terms FROM hits GROUP BY 1, 2)
+    SELECT query_id, doc_id, n_terms, term, {sql.rounded(f'tf::DOUBLE / doc_len * {LOG_IDF}', 8)} AS tfidf
+    FROM hits JOIN dl USING (query_id, doc_id)""",
 )
 def doc_tfidf_matrix(spark, sf_dir):
-    """Sparse rows of the document matrix for the 20 candidates that share most terms with a query."""
+    """Sparse rows of the document matrix for all candidates, with the number of terms in each row."""
     search = Search(spark, sf_dir)
-    matched = rank.match_count(search.found).withColumn("score", F.col("n_matched"))
-    picked = rank.top_n(matched, 20)
     scored = rank.candidate_tfidf(search.found, search.n_docs)
-    return scored.join(picked.select("query_id", "doc_id"), ["query_id", "doc_id"]).select(
-        "query_id", "doc_id", "term", rounded("tfidf", 8).alias("tfidf")
-    )
+    entry = F.struct("term", rounded("tfidf", 8).alias("tfidf"))
+    lines = scored.groupBy("query_id", "doc_id").agg(F.collect_list(entry).alias("line"))
+    return lines.select("query_id", "doc_id", F.size("line").cast("long").alias("n_terms"), F.inline("line"))
 
 
 @query(
@@ -261,17 +259,30 @@ def search_title(spark, sf_dir):
 ANCHOR = f"""{sql.BENCHMARK}, {sql.RESOLVED}, {sql.postings("anchor", "resolved", "anchor_text", "target_id")}"""
 
 
+@query(
+    "search_title_by_words",
+    f"""WITH {TITLE_BASE}, {DOC_TITLES}, scores AS (SELECT query_id, doc_id, count(*) AS score FROM hits GROUP BY 1, 2),
+    {sql.ranked("best", "scores", 100)} SELECT query_id, doc_id, title, score, rank FROM best JOIN doc_titles USING (doc_id)""",
+)
+def search_title_by_words(spark, sf_dir):
+    """The 100 titles with the most distinct words of a query."""
+    matched = rank.match_count(Search(spark, sf_dir, "title").found)
+    by_words = matched.select("query_id", "doc_id", F.col("n_matched").alias("score"))
+    return _titled(spark, sf_dir, rank.top_n(by_words, 100), 100)
+
+
 @query(
     "search_anchor",
-    f"""WITH {ANCHOR} SELECT q.query_id, a.doc_id, t.title, sum(q.qtf * a.tf)::BIGINT AS score,
+    f"""WITH {ANCHOR} SELECT q.query_id, n.page_id AS doc_id, n.title, sum(q.qtf * a.tf)::BIGINT AS score,
         count(*) AS n_matched
-    FROM q JOIN anchor a USING (term) JOIN page_titles t ON t.page_id = a.doc_id GROUP BY 1, 2, 3""",
+    FROM q JOIN anchor a USING (term) JOIN named n ON n.target_id = a.doc_id GROUP BY q.query_id, n.page_id, n.title, n.target_id""",
 )
 def search_anchor(spark, sf_dir):
-    """All pages with a query word in the text of links to them; pages without a title are left out."""
+    """All pages with a query word in the text of links to their name; names that are no page's are left out."""
     search = Search(spark, sf_dir, "anchor")
-    titles = tables.pages(spark, sf_dir).select(F.col("page_id").alias("doc_id"), "title")
-    return rank.in_order(rank.attach_titles(rank.match_count(search.found), titles))
+    names = tables.stored_names(spark, sf_dir)
+    found = rank.match_count(search.found).join(names, F.col("doc_id") == F.col("target_id"))
+    return rank.in_order(found.select("query_id", F.col("page_id").alias("doc_id"), "title", "score", "n_matched"))
 
 
 TWO_FIELDS = f"""{SERVED}, {sql.TITLE_STATS},

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from termweave.functions import text as text_fn
 from termweave.functions.stopwords import stop_words
-from termweave.plans.tables import JUDGED_QUERIES, NAME, TITLE
+from termweave.plans.tables import NAME, RELEVANT_SHARE, TITLE
 
 
 def quoted(text: str) -> str:
@@ -81,12 +81,11 @@ def query_terms(source: str, key: str) -> str:
 
 
 BENCHMARK = query_terms("benchmark", "item_id")
-JUDGED_ROWS = ", ".join(f"({i}, {quoted(lang)}, {quoted(text)})" for i, lang, text in JUDGED_QUERIES)
-JUDGED_TABLE = f"judged(query_id, lang, text) AS (VALUES {JUDGED_ROWS})"
-JUDGED = JUDGED_TABLE + "," + query_terms("judged", "query_id")
-QRELS = """
-    qrels AS (SELECT j.query_id::BIGINT AS query_id, l.doc_id, 2 - l.toxic AS grade
-        FROM labels l JOIN documents d USING (doc_id) JOIN judged j ON j.lang = d.lang WHERE l.quality = 1)"""
+QRELS = f"""
+    qrels AS (SELECT h.query_id, h.doc_id, 2 - l.toxic AS grade
+        FROM (SELECT query_id, doc_id, count(*) AS n FROM q JOIN body USING (term) GROUP BY 1, 2) h
+        JOIN (SELECT query_id, count(*) AS n_terms FROM q GROUP BY 1) t USING (query_id)
+        JOIN labels l USING (doc_id) WHERE l.quality = 1 AND h.n >= {RELEVANT_SHARE}e0 * t.n_terms)"""
 
 
 def hits(field: str) -> str:
@@ -118,6 +117,10 @@ def bm25_scores(name: str) -> str:
         FROM hits GROUP BY 1, 2)"""
 
 
+def bucket(n_buckets: int, term: str = "term") -> str:
+    return f"(('0x' || substr(md5({term}), 1, 8))::BIGINT % {n_buckets})::INT"
+
+
 LINK_NAME = f"regexp_extract(lower(target), {quoted(NAME)})"
 LINKS = f"""
     raw_links AS (SELECT page_id, unnest(regexp_extract_all(html, {quoted(text_fn.HTML_LINK)}, 1)) AS t,
@@ -128,11 +131,15 @@ LINKS = f"""
         regexp_replace(CASE WHEN a = '' THEN t ELSE a END, {quoted(text_fn._URL)}, '', 'g') AS anchor_text
         FROM clean_links WHERE t <> '' AND NOT regexp_matches(t, {quoted(text_fn.NOT_AN_ARTICLE)}))"""
 PAGE_TITLES = f"page_titles AS (SELECT page_id, {html_title()} AS title FROM pages)"
+def name_id(name: str) -> str:
+    return f"('0x' || substr(md5({name}), 1, 15))::BIGINT"
+
+
 RESOLVED = f"""{LINKS}, {PAGE_TITLES},
-    names AS (SELECT regexp_extract(lower(title), {quoted(NAME)}) AS name, min(page_id) AS target_id
-        FROM page_titles GROUP BY 1),
-    resolved AS (SELECT page_id, target_id, anchor_text FROM links JOIN names
-        ON name = {LINK_NAME} WHERE name <> '')"""
+    resolved AS (SELECT page_id, {name_id("target")} AS target_id, anchor_text FROM links),
+    named AS (SELECT DISTINCT {name_id("target")} AS target_id, p.page_id, p.title
+        FROM links JOIN page_titles p ON regexp_extract(lower(title), {quoted(NAME)}) = {LINK_NAME}
+        WHERE {LINK_NAME} <> '')"""
 
 
 def pagerank(edges: str, rounds: int, digits: int = 5) -> str:

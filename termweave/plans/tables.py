@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termweave.functions import text as text_fn
+from termweave.functions.scoring import rounded
 from termweave.functions.stopwords import stop_words
 from termweave.operators import graph, index
 from termweave.operators.rank import query_terms
-from termweave.session import shared_dir
-from termweave.sources.corpus import read_corpus, spread
+from termweave.session import scratch_path, shared_dir
+from termweave.sources.corpus import read_corpus, spread, write_ranks
 from termweave.sources.index_store import StoredIndex, write_index
 
 STOPS = stop_words("all")
@@ -19,18 +20,11 @@ SEARCH_BUCKETS = 8
 TITLE = r"^[^.\n]*"
 NAME = r"[\p{L}\p{N}_]+"
 
-# Fixed query texts with judgements: a labelled document is relevant for the queries in its language.
-JUDGED_QUERIES = [
-    (1, "en", "thnt ndst anat heated stone tion hand"),
-    (2, "en", "inea eran then reed other nation"),
-    (3, "fr", "elle mentaux que pour dans eaure"),
-    (4, "fr", "les aux tion avec ouen une"),
-    (5, "es", "para ción los que como ando"),
-    (6, "es", "una con las por ente dora"),
-    (7, "de", "und der ung nicht heit keit"),
-    (8, "de", "die mit sch ein von auf"),
-]
-# (k1, b) and (title weight, body weight) of the parameter search.
+# A good document is relevant for a query if it has this share of the query's distinct terms.
+RELEVANT_SHARE = 0.25
+# The part of the queries, in order of their ids, that parameters are tuned on.
+TRAIN_SHARE = 0.667
+# Fixed values: (k1, b) and (title weight, body weight) of the parameter search.
 BM25_SETTINGS = [(1.4, 0.8), (1.6, 0.7)]
 BLEND_WEIGHTS = [(0.35, 0.65), (0.2, 0.8)]
 
@@ -65,18 +59,15 @@ def benchmark_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return query_terms(benchmark_queries(spark, sf_dir), STOPS)
 
 
-def judged_queries(spark: SparkSession) -> DataFrame:
-    """(query_id, lang, text)."""
-    return spark.createDataFrame(JUDGED_QUERIES, "query_id LONG, lang STRING, text STRING")
-
-
 def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(query_id, doc_id, grade): good documents in the language of the query, grade 2 unless toxic."""
+    """(query_id, doc_id, grade): labelled good documents that share enough terms with a query, grade 2 unless toxic."""
+    terms = benchmark_terms(spark, sf_dir)
+    _, found = search_index(spark, sf_dir).match(terms, "body")
+    shared = found.groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    sizes = terms.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
     labels = read(spark, sf_dir, "labels", "doc_id", "quality", "toxic").where("quality = 1")
-    graded = labels.join(read(spark, sf_dir, "documents", "doc_id", "lang"), "doc_id")
-    return graded.join(F.broadcast(judged_queries(spark)), "lang").select(
-        "query_id", "doc_id", (F.lit(2) - F.col("toxic")).alias("grade")
-    )
+    judged = shared.join(labels, "doc_id").join(sizes, "query_id").where(F.col("n") >= RELEVANT_SHARE * F.col("n_terms"))
+    return judged.select("query_id", "doc_id", (F.lit(2) - F.col("toxic")).alias("grade"))
 
 
 def name_of(text: Column | str) -> Column:
@@ -88,15 +79,29 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages(spark, sf_dir).select("page_id", F.inline(text_fn.html_links("html")))
 
 
+def name_id(name: Column | str) -> Column:
+    """The vertex of a name: the first 60 bits of its md5 as a number."""
+    return F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("long")
+
+
 def resolved_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(page_id, target_id, anchor_text): a page is named by the first word of its title."""
-    names = (
-        pages(spark, sf_dir)
-        .groupBy(name_of("title").alias("name"))
-        .agg(F.min("page_id").alias("target_id"))
-        .where("name <> ''")
-    )
-    return graph.resolve_links(page_links(spark, sf_dir).withColumn("target", name_of("target")), names)
+    """(page_id, target_id, anchor_text): every link, to the vertex of the name it has."""
+    links = page_links(spark, sf_dir)
+    return links.select("page_id", name_id("target").alias("target_id"), "anchor_text")
+
+
+def named_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(target_id, page_id, title): the pages that a name in a link may mean, those whose title begins with it."""
+    titled = pages(spark, sf_dir).select("page_id", "title", name_of("title").alias("name")).where("name <> ''")
+    names = page_links(spark, sf_dir).select("target", name_of("target").alias("name")).distinct()
+    return names.join(titled, "name").select(name_id("target").alias("target_id"), "page_id", "title")
+
+
+def page_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, dst): pages to the names they link to, and names to their pages."""
+    links = resolved_links(spark, sf_dir).select(F.col("page_id").alias("src"), F.col("target_id").alias("dst"))
+    names = named_pages(spark, sf_dir).select(F.col("target_id").alias("src"), F.col("page_id").alias("dst"))
+    return links.unionByName(names)
 
 
 def order_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,6 +124,18 @@ def view_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _indexes: dict[tuple[str, str], StoredIndex] = {}
+_ranks: dict[tuple[str, str], str] = {}
+
+
+def stored_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, pagerank, 5 digits) of the order graph as written to sorted files, once per session and data set."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ranks:
+        path = scratch_path(spark, "pagerank")
+        write_ranks(graph.pagerank(order_edges(spark, sf_dir), rounds=6), path)
+        _ranks[key] = path
+    ranks = spark.read.schema("id LONG, pagerank DOUBLE").csv(_ranks[key])
+    return ranks.select("id", rounded("pagerank", 5).alias("pagerank"))
 
 
 def stored_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +144,12 @@ def stored_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("doc_id LONG, title STRING").parquet(path)
 
 
+def stored_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(target_id, page_id, title) as stored with the index."""
+    path = f"{search_index(spark, sf_dir).path}/names"
+    return spark.read.schema("target_id LONG, page_id LONG, title STRING").parquet(path)
+
+
 def search_index(spark: SparkSession, sf_dir: str) -> StoredIndex:
     """The stored index that the search queries read, built once per session and data set.
 
@@ -139,6 +162,7 @@ def search_index(spark: SparkSession, sf_dir: str) -> StoredIndex:
         docs = documents(spark, sf_dir)
         document_titles(spark, sf_dir).write.mode("overwrite").parquet(f"{path}/titles")
         titles = spark.read.schema("doc_id LONG, title STRING").parquet(f"{path}/titles")
+        named_pages(spark, sf_dir).write.mode("overwrite").parquet(f"{path}/names")
         for field, column in [("body", docs), ("title", titles)]:
             text = "text" if field == "body" else "title"
             write_index(

@@ -31,7 +31,7 @@ def sample_limit(spark, sf_dir):
 
 @query(
     "scan_dump",
-    f"""SELECT page_id, {sql.html_title()} AS title, length(url)::BIGINT AS body_len FROM pages
+    f"""SELECT page_id, {sql.html_title()} AS title, length(html)::BIGINT AS body_len FROM pages
     WHERE NOT contains(url, '?') AND NOT contains(url, '.net')""",
 )
 def scan_dump(spark, sf_dir):
@@ -46,7 +46,7 @@ def scan_dump(spark, sf_dir):
         text_fn.html_title("html").alias("title"),
         F.when(F.col("url").contains("?"), F.struct(F.col("url").alias("_title"))).alias("redirect"),
         F.struct(
-            F.struct(F.col("url").alias("_VALUE"), F.length("url").cast("long").alias("_bytes")).alias("text")
+            F.struct(F.col("html").alias("_VALUE"), F.length("html").cast("long").alias("_bytes")).alias("text")
         ).alias("revision"),
     )
     path = scratch_path(spark, "dump")
@@ -63,14 +63,14 @@ def extract_title(spark, sf_dir):
 
 @query(
     "load_qrels",
-    f"""WITH {sql.JUDGED_TABLE}, {sql.QRELS}
+    f"""WITH {sql.BENCHMARK}, {sql.BODY}, {sql.QRELS}
     SELECT text AS query, doc_id // 1000 AS file,
         (row_number() OVER (PARTITION BY text, doc_id // 1000 ORDER BY doc_id) - 1)::INT AS position, doc_id
-    FROM qrels JOIN judged USING (query_id)""",
+    FROM qrels JOIN benchmark ON item_id = query_id""",
 )
 def load_qrels(spark, sf_dir):
     """The judgements written as JSON maps, one per 1000 document ids, and parsed again."""
-    named = tables.qrels(spark, sf_dir).join(F.broadcast(tables.judged_queries(spark)), "query_id")
+    named = tables.qrels(spark, sf_dir).join(tables.benchmark_queries(spark, sf_dir), "query_id")
     lists = named.groupBy("text", F.floor(F.col("doc_id") / 1000).alias("file")).agg(
         F.sort_array(F.collect_list("doc_id")).alias("ids")
     )
@@ -78,7 +78,12 @@ def load_qrels(spark, sf_dir):
     return corpus.load_qrels(lines, "file")
 
 
-@query("write_index")
+@query(
+    "write_index",
+    f"""WITH {sql.postings("kept", "documents", "text", stops="full")}
+    SELECT 'body' AS field, {sql.bucket(index_store.N_BUCKETS)} AS bucket, count(DISTINCT term) AS n_terms,
+        count(*) AS n_postings FROM kept GROUP BY 2""",
+)
 def write_index(spark, sf_dir):
     """(bucket, n_terms, n_postings) of a body index written in 124 buckets and read back."""
     docs = tables.documents(spark, sf_dir)
@@ -126,14 +131,14 @@ def delete_index(spark, sf_dir):
 )
 def write_pagerank(spark, sf_dir):
     """Ranks written as sorted gzip CSV files and read back."""
-    ranks = graph.pagerank(tables.order_edges(spark, sf_dir), rounds=6)
-    path = scratch_path(spark, "pagerank")
-    corpus.write_ranks(ranks, path)
-    stored = spark.read.schema("id LONG, pagerank DOUBLE").csv(path)
-    return stored.select("id", rounded("pagerank", 5).alias("pagerank"))
+    return tables.stored_ranks(spark, sf_dir)
 
 
-@query("bucket_stats")
+@query(
+    "bucket_stats",
+    f"""WITH {sql.BODY_STATS}, sizes AS (SELECT {sql.bucket(tables.SEARCH_BUCKETS)} AS bucket, count(*) AS n FROM body_df GROUP BY 1)
+    SELECT max(n) AS max_terms, min(n) AS min_terms, quantile_cont(n, 0.5)::DOUBLE AS median_terms FROM sizes""",
+)
 def bucket_stats(spark, sf_dir):
     return index_store.bucket_stats(tables.search_index(spark, sf_dir).postings("body"))
 
@@ -170,8 +175,9 @@ def _stop_sql(stops):
 
 
 def _stop_counts(spark, sf_dir, stops):
-    postings = index.build_postings(tables.documents(spark, sf_dir), "text", stop_words(stops))
-    return postings.groupBy("doc_id").agg(F.sum("tf").alias("n_tokens"), F.count(F.lit(1)).alias("n_terms"))
+    kept = tables.documents(spark, sf_dir).select("doc_id", F.explode(F.array(text_fn.tokens("text", stop_words(stops)))).alias("words"))
+    counts = kept.select("doc_id", F.size("words").cast("long").alias("n_tokens"), F.size(F.array_distinct("words")).cast("long").alias("n_terms"))
+    return counts.where("n_tokens > 0")
 
 
 @query("stopwords_english", _stop_sql("english"))

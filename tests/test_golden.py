@@ -327,3 +327,22 @@ def test_short_tokens_of_min_length_are_the_long_tokens(spark):
     kept = F.filter(short, text_fn.reaches_min_length)
     for row in docs.select(kept.alias("kept"), text_fn.tokens("text").alias("long")).collect():
         assert row.kept == row.long
+
+
+def test_r_precision_with_more_relevant_than_k(spark):
+    """150 relevant documents, of which the first 120 and the last 30 of a run of 400 are found; R is 150, not 100."""
+    hits = [*range(120), *range(370, 400)]
+    scores = spark.createDataFrame([(1, d, float(1000 - d)) for d in range(400)], "query_id LONG, doc_id LONG, score DOUBLE")
+    qrels = spark.createDataFrame([(1, d, 2) for d in hits], "query_id LONG, doc_id LONG, grade INT")
+    depth = spark.createDataFrame([(1, 150)], "query_id LONG, depth LONG")
+    run = rank.top_by(scores, depth, salts=7)
+    assert sorted(r["rank"] for r in run.collect()) == list(range(1, 151))
+    got = evaluate.evaluate(run, qrels, [40], collection_size=400).first()
+    assert got.r_precision == 0.8 and got.recall == round(40 / 150, 3)
+    assert evaluate.intersection(scores, qrels).count() == 150
+
+
+def test_articles_and_media(spark):
+    names = ["Town", "", "File:a.JPG", "Image:b", "Category:c", "photo.jpeg", "xjpg", "The category: d"]
+    frame = spark.createDataFrame([(n,) for n in names], "name STRING")
+    assert [r[0] for r in frame.where(text_fn.is_article("name")).collect()] == ["Town", "xjpg", "The category: d"]
