@@ -250,7 +250,7 @@ def score(docs: DataFrame, index: Index, key: str = "doc_id", text: str = "text"
             for first, data, bounds in arrays.chunks(batch.column(batch.num_columns - 1)):
                 of, term, count = count_terms(data, bounds, own.vocabulary)
                 names, begin = np.unique(of, return_index=True)
-                for k, a, b in zip(names.tolist(), begin, np.append(begin[1:], of.size), strict=True):
+                for k, a, b in zip(names.tolist(), begin, np.append(begin, of.size)[1:], strict=True):
                     example, cosine = own.nearest(term[a:b], count[a:b])
                     if example.size:
                         at = first + k
