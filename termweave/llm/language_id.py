@@ -195,7 +195,7 @@ class Scorer:
             words = read_words(data, bounds) if data.size else Words(*[np.empty(0, np.int64)] * 5, 0)
             size = np.bincount(words.text, words.count * np.bincount(words.gram_word, minlength=words.n_words)[words.word], n)
             out = np.zeros((n, len(self.models)))
-            if words.grams.size:
+            if words.grams.size and self.models:
                 grams, number = np.unique(words.grams, return_inverse=True)
                 scores = self.gram_scores(grams)
                 for k in range(len(self.models)):
@@ -295,8 +295,6 @@ def identify(docs: DataFrame, models: LanguageModels, key: str = "doc_id", text:
         columns += [pa.array(names.tolist(), pa.string()), pa.array(score), pa.array(low), pa.array(reject)]
         return pa.RecordBatch.from_arrays(columns, [f.name for f in fields] + ["lang_pred", "score", "cross_entropy", "rejected"])
 
-    if not models.names:
-        models.models = []
     return _score_rows(docs, [key, *keep, F.col(text)], shared, schema, emit)
 
 
