@@ -1,8 +1,8 @@
 """Operator 7: passages of documents that copy or rework benchmark items.
 
-Seeds are the 3-word shingles of an item that hold a rare word, one that few items have. A
-task marks where its documents have a seed; a join on the seed finds the items; around each group of
-seeds of one item the passage is aligned with the item by Smith-Waterman over words. The score is
+Seeds are the 3-word shingles that few items have; one that holds a word that few items have is
+strong. A task marks where its documents have seeds; a join on the seed finds the items; around each group of
+seeds of one item, of which one is strong or WEAK_SEEDS are not, the passage is aligned with the item by Smith-Waterman over words. The score is
 the alignment's value as a share of the item aligned with itself, so that an edited copy with
 a quarter of its words replaced still scores about 0.6 and unrelated prose about 0.1.
 
@@ -25,8 +25,10 @@ from termweave.llm import arrays
 from termweave.llm.store import by_ids, stored
 
 SEED_WORDS = 3
-# A word is rare if it stands in no more than this share of the items, or in one of them.
+# A word or shingle is rare if it stands in no more than this share of the items, or in two of them.
 RARE_SHARE = 0.05
+# Seeds without a rare word that count as much as one with it.
+WEAK_SEEDS = 3
 # Seeds up to which (16 MB) they are sent to every executor.
 SENT_SEEDS = 2_000_000
 MATCH, OTHER, GAP = 2, -1, -1
@@ -50,11 +52,12 @@ def item_words(items: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def seeds(words: DataFrame, n: int = SEED_WORDS, share: float = RARE_SHARE) -> DataFrame:
-    """(gram, item_id, place): the shingles of each item that hold a rare word."""
+    """(gram, item_id, place, strong): the rare shingles of each item; a strong one holds a rare word."""
     single = words.select("item_id", F.posexplode("words").alias("place", "word"))
     common = single.groupBy("word").agg(F.count_distinct("item_id").alias("df"))
     n_items = words.agg(F.count_distinct("item_id")).first()[0]
-    common = common.where(F.col("df") > max(1, share * n_items)).select("word")
+    few = max(2, share * n_items)
+    common = common.where(F.col("df") > few).select("word")
     rare = single.join(common, "word", "left_anti").select("item_id", "place")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,28 +76,32 @@ def seeds(words: DataFrame, n: int = SEED_WORDS, share: float = RARE_SHARE) -> D
 
     every = words.where(F.size("words") >= n).mapInArrow(grams, "gram LONG, item_id LONG, place LONG")
     held = rare.select("item_id", F.explode(F.sequence(F.greatest(F.col("place") - (n - 1), F.lit(0)), F.col("place"))).alias("place")).distinct()
-    return every.join(held, ["item_id", "place"], "left_semi").select("gram", "item_id", "place")
+    held = held.withColumn("strong", F.lit(True))
+    rare_grams = every.groupBy("gram").agg(F.count_distinct("item_id").alias("df")).where(F.col("df") <= few).select("gram")
+    every = every.join(rare_grams, "gram").join(held, ["item_id", "place"], "left")
+    return every.select("gram", "item_id", "place", F.coalesce("strong", F.lit(False)).alias("strong"))
 
 
-def _is_in(values: np.ndarray, table: np.ndarray, quick: np.ndarray) -> np.ndarray:
-    """Places of `values` that are in the sorted `table`; quick[top 20 bits] is False where none is."""
+def _is_in(values: np.ndarray, table: np.ndarray, quick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of `values` that are in the sorted `table`, where there); quick[top 20 bits] is False where none is."""
     at = np.flatnonzero(quick[values.view(np.uint64) >> np.uint64(44)])
     place = np.minimum(np.searchsorted(table, values[at]), table.size - 1)
-    return at[table[place] == values[at]]
+    hit = table[place] == values[at]
+    return at[hit], place[hit]
 
 
-def regions(docs: DataFrame, key: str, text: str, grams: np.ndarray | None, reach: int, n: int = SEED_WORDS) -> DataFrame:
-    """(doc_id, start, words, hits): the words around seeds, with the seeds; without `grams` every shingle is a seed.
+def regions(docs: DataFrame, key: str, text: str, grams: tuple[np.ndarray, np.ndarray] | None, reach: int, n: int = SEED_WORDS) -> DataFrame:
+    """(doc_id, start, words, grams, places): the words around seeds, with the seeds.
 
-    Seeds closer than `reach` words share a region; a region holds 4,096 words of seeds at
+    `grams` are the sorted seeds and whether each is strong; a region without a strong one needs
+    WEAK_SEEDS. Without `grams` every shingle is a seed. Seeds closer than `reach` words share a region; a region holds 4,096 words of seeds at
     most and overlaps the next by `reach` on either side.
     """
     shared = docs.sparkSession.sparkContext.broadcast(grams)
     longest = 4096
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        quick = None
+        table, strong = shared.value or (None, None)
         if table is not None:
             quick = np.zeros(1 << 20, bool)
             quick[table.view(np.uint64) >> np.uint64(44)] = True
@@ -110,8 +117,12 @@ def regions(docs: DataFrame, key: str, text: str, grams: np.ndarray | None, reac
                 found = found.view(np.int64)
                 if table is None:
                     at = np.arange(found.size)
+                    firm = np.ones(at.size, bool)
+                elif table.size:
+                    at, entry = _is_in(found, table, quick)
+                    firm = strong[entry]
                 else:
-                    at = _is_in(found, table, quick) if table.size else np.empty(0, np.int64)
+                    at = np.empty(0, np.int64)
                 if not at.size:
                     continue
                 of = np.searchsorted(ends, at, "right") - 1
@@ -120,6 +131,8 @@ def regions(docs: DataFrame, key: str, text: str, grams: np.ndarray | None, reac
                 new[1:] = (np.diff(of) != 0) | (np.diff(place) > reach) | (place[1:] // longest != place[:-1] // longest)
                 heads = np.flatnonzero(new)
                 for a, b in zip(heads.tolist(), [*heads[1:].tolist(), at.size], strict=True):
+                    if b - a < WEAK_SEEDS and not firm[a:b].any():
+                        continue
                     base, stop = firsts[of[a]], firsts[of[a] + 1]
                     begin = max(base, base + place[a] - reach)
                     end = min(stop, base + place[b - 1] + n + reach)
@@ -222,16 +235,17 @@ def contaminated(
     words = stored(item_words(benchmark, item_key, item_text).where(F.size("words") >= least_words), "items")
     found = stored(seeds(words), "seeds")
     reach = (words.agg(F.max(F.size("words"))).first()[0] or 0) * 5 // 4 + 2
-    grams = found.select("gram").distinct()
+    grams = found.groupBy("gram").agg(F.max("strong").alias("strong"))
     sent = None
     if grams.count() <= SENT_SEEDS:
-        sent = np.sort(grams.toPandas()["gram"].to_numpy(np.int64))
+        known = grams.toPandas().sort_values("gram")
+        sent = known["gram"].to_numpy(np.int64), known["strong"].to_numpy(bool)
     areas = stored(regions(docs, key, text, sent, reach), "regions").withColumn("region", F.monotonically_increasing_id())
     hits = areas.select("region", F.explode(F.arrays_zip("grams", "places")).alias("hit")).select("region", F.col("hit.grams").alias("gram"), F.col("hit.places").alias("at"))
     # Seeds of one item whose places in the passage and in the item run in step are one group.
     hits = hits.join(found, "gram").groupBy("region", "item_id").agg(
-        F.count_distinct("at").alias("n_seeds"), F.min(F.col("at") - F.col("place")).alias("low"), F.max(F.col("at") - F.col("place")).alias("high")
-    )
+        F.count_distinct("at").alias("n_seeds"), F.min(F.col("at") - F.col("place")).alias("low"), F.max(F.col("at") - F.col("place")).alias("high"), F.max("strong").alias("strong")
+    ).where(F.col("strong") | (F.col("n_seeds") >= WEAK_SEEDS))
     pairs = hits.join(areas.select("region", "doc_id", "start", "words"), "region").join(words.withColumnRenamed("words", "item"), "item_id")
     slack = F.ceil(F.size("item") / 4).cast("long") + 1
     low = F.greatest(F.col("low") - slack, F.lit(0))
