@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termweave.functions import text as text_fn
+from termweave.session import shared_dir
 
 # Documents per block of a posting list. With integer ids a block holds at most this many postings.
 BLOCK_DOCS = 1 << 16
@@ -150,18 +151,20 @@ def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFram
     )
 
 
-def number_rows(docs: DataFrame, key: str = "doc_id", block: int = BLOCK_DOCS) -> DataFrame:
-    """row_number (from 1) over a unique integer key.
+def number_rows(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """row_number (from 1) over a unique key of any kind.
 
-    Rows are numbered inside blocks of `block` consecutive keys. Only the block sizes,
-    one row per `block` keys, pass through a window without a partition.
+    Keys are dealt to ranges by Spark's own sample of them, so sparse keys are spread like dense
+    ones, and numbered inside a range. Only the sizes of the ranges, one row a task, pass
+    through a window without a partition. The ranges are checkpointed, since a second sample could differ.
     """
-    blocked = docs.select(key, F.floor(F.col(key) / block).alias("block"))
-    sizes = blocked.groupBy("block").agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    inside = F.row_number().over(Window.partitionBy("block").orderBy(key))
-    return blocked.withColumn("inside", inside).join(offsets, "block").select(
+    shared_dir(docs.sparkSession)
+    ranged = docs.select(key).repartitionByRange(key).withColumn("range", F.spark_partition_id()).checkpoint()
+    sizes = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("range").orderBy(key))
+    return ranged.withColumn("inside", inside).join(offsets, "range").select(
         key, (F.col("offset") + F.col("inside")).alias("row_number")
     )
 

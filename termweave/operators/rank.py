@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,18 +35,25 @@ def query_terms(
 
 
 def match(
-    terms: DataFrame, postings: DataFrame, stats: DataFrame | None = None, fits: bool = False, salts: int = SALTS
+    terms: DataFrame,
+    postings: DataFrame,
+    stats: DataFrame | None = None,
+    fits: bool = False,
+    salts: int = SALTS,
+    enrich: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(known, found): the query terms of the index with their df, and one row per known term and document with it.
 
     Query terms that `fits` says are few go to every task, first to the term statistics,
     then (no more rows than before, since the statistics have one row per term) to the
     postings, which are not shuffled. Otherwise both joins shuffle, with the postings of
-    a term salted.
+    a term salted. `enrich` adds columns to the known terms before they meet the postings.
     """
     known = terms
     if stats is not None:
         known = join_by_term(stats.select("term", "df"), terms, fits, salts=1)
+    if enrich is not None:
+        known = enrich(known)
     return known, join_by_term(postings, known, fits, salts)
 
 
@@ -95,26 +102,27 @@ def query_tfidf(known: DataFrame, n_docs: Scalar) -> DataFrame:
     return known.select("query_id", "term", weight.alias("tfidf"))
 
 
-def _cosine(pairs: DataFrame, norms: DataFrame) -> DataFrame:
-    """Scores of pairs(query_id, doc_id, d, q) with norms(query_id, q_norm)."""
-    sums = pairs.groupBy("query_id", "doc_id").agg(
-        F.sum(F.col("d") * F.col("q")).alias("dot"), F.sqrt(F.sum(F.col("d") * F.col("d"))).alias("d_norm")
-    )
-    return sums.join(norms, "query_id").select(
-        "query_id", "doc_id", rounded(ratio("dot", F.col("d_norm") * F.col("q_norm")), 5).alias("score")
-    )
-
-
 def _query_norms(weights: DataFrame, name: str = "tfidf") -> DataFrame:
     return weights.groupBy("query_id").agg(F.sqrt(F.sum(F.col(name) * F.col(name))).alias("q_norm"))
 
 
-def cosine(known: DataFrame, found: DataFrame, n_docs: Scalar) -> DataFrame:
-    """Cosine of query and document over the query terms, 5 digits."""
-    query_side = F.col("qtf") / F.col("query_len") * log10_idf(n_docs, "df", DF_EPSILON)
-    doc_side = F.col("tf") / F.col("doc_len") * log10_idf(n_docs)
-    pairs = found.select("query_id", "doc_id", doc_side.alias("d"), query_side.alias("q"))
-    return _cosine(pairs, _query_norms(query_tfidf(known, n_docs)))
+def with_query_norm(known: DataFrame, n_docs: Scalar) -> DataFrame:
+    """Known query terms with their cosine weight and the norm of their query: a window over the few terms of a query."""
+    weight = F.col("qtf") / F.col("query_len") * log10_idf(n_docs, "df", DF_EPSILON)
+    norm = F.sqrt(F.sum(F.col("q") * F.col("q")).over(Window.partitionBy("query_id")))
+    return known.withColumn("q", weight).withColumn("q_norm", norm)
+
+
+def cosine(found: DataFrame, n_docs: Scalar) -> DataFrame:
+    """Cosine of query and document over the query terms, 5 digits, for terms matched `with_query_norm`.
+
+    The norm comes with the terms, so the one shuffle is that of the sums.
+    """
+    d = F.col("tf") / F.col("doc_len") * log10_idf(n_docs)
+    sums = found.select("query_id", "doc_id", d.alias("d"), "q", "q_norm").groupBy("query_id", "doc_id").agg(
+        F.sum(F.col("d") * F.col("q")).alias("dot"), F.sqrt(F.sum(F.col("d") * F.col("d"))).alias("d_norm"), F.first("q_norm").alias("q_norm")
+    )
+    return sums.select("query_id", "doc_id", rounded(ratio("dot", F.col("d_norm") * F.col("q_norm")), 5).alias("score"))
 
 
 def tfidf_vectors(postings: DataFrame, stats: DataFrame, n_docs: Scalar) -> DataFrame:

@@ -24,12 +24,13 @@ QUERY_IDF = "log10(n_docs / (df + 1e-7))"
 class Search:
     """Query terms matched with a field of the stored index."""
 
-    def __init__(self, spark, sf_dir, field="body", terms=None):
+    def __init__(self, spark, sf_dir, field="body", terms=None, with_norm=False):
         stored = tables.search_index(spark, sf_dir)
         self.n_docs = stored.n_docs(field)
         self.avg_len = stored.avg_len(field)
         self.terms = tables.benchmark_terms(spark, sf_dir) if terms is None else terms
-        self.known, self.found = stored.match(self.terms, field)
+        enrich = (lambda known: rank.with_query_norm(known, self.n_docs)) if with_norm else None
+        self.known, self.found = stored.match(self.terms, field, enrich=enrich)
 
     def bm25(self, **settings):
         return rank.bm25(self.found, self.n_docs, self.avg_len, **settings)
@@ -97,8 +98,8 @@ COSINE = f"""{BASE},
     f"WITH {COSINE}, {sql.ranked('best', 'scores', 3)} SELECT query_id, doc_id, score, rank FROM best",
 )
 def cosine_topn(spark, sf_dir):
-    search = Search(spark, sf_dir)
-    return rank.top_n(rank.cosine(search.known, search.found, search.n_docs), 3)
+    search = Search(spark, sf_dir, with_norm=True)
+    return rank.top_n(rank.cosine(search.found, search.n_docs), 3)
 
 
 VECTOR = f"""{sql.postings("v", "documents", "text", stops="english", pattern=text_fn.VECTORIZER_PATTERN)},

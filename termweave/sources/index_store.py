@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,6 +68,7 @@ class StoredIndex:
         named_terms: int = NAMED_TERMS,
         broadcast_rows: int = BROADCAST_ROWS,
         salts: int = SALTS,
+        enrich: Callable[[DataFrame], DataFrame] | None = None,
     ) -> tuple[DataFrame, DataFrame]:
         """(known, found) of query terms in a field, see `rank.match`.
 
@@ -79,10 +80,10 @@ class StoredIndex:
         few = placed.limit(named_terms + 1).collect()
         if len(few) > named_terms:
             fits = at_most(terms, broadcast_rows)
-            return rank.match(terms, self.postings(field), self.term_stats(field), fits, salts)
+            return rank.match(terms, self.postings(field), self.term_stats(field), fits, salts, enrich)
         names = sorted({row.term for row in few})
         postings = self.lookup("postings", field, names, sorted({row.bucket for row in few}))
-        return rank.match(terms, postings, self.lookup("term_stats", field, names), fits=True)
+        return rank.match(terms, postings, self.lookup("term_stats", field, names), fits=True, enrich=enrich)
 
     def n_docs(self, field: str) -> Column:
         return self.corpus_stats(field).select("n_docs").scalar()

@@ -107,8 +107,29 @@ def test_block_size_does_not_matter(docs):
     columns = ["term", "position", "doc_id", "tf"]
     assert rows(index.posting_lists(postings, 7), *columns) == rows(index.posting_lists(postings), *columns)
     assert index.posting_blocks(postings, 7).agg(F.max(F.size("postings"))).first()[0] <= 7
-    sparse = docs.select((F.col("doc_id") * 37).alias("doc_id"))
-    assert rows(index.number_rows(sparse, block=100), "doc_id", "row_number") == [(i * 37, i + 1) for i in range(200)]
+
+
+def test_rows_with_sparse_ids_are_numbered_in_ranges(spark, docs):
+    sparse = docs.select(F.xxhash64("doc_id").alias("doc_id"))
+    numbered = index.number_rows(sparse)
+    ids = sorted(r.doc_id for r in sparse.collect())
+    assert rows(numbered, "doc_id", "row_number") == [(x, i + 1) for i, x in enumerate(ids)]
+    offsets = index.number_rows(spark.range(100_000).select(F.xxhash64("id").alias("doc_id")))
+    assert offsets.agg(F.max("row_number"), F.count_distinct("row_number")).first()[:] == (100_000, 100_000)
+
+
+def test_cosine_shuffles_its_sums_only(spark, docs):
+    from termweave.plans.rank_queries import Search
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        search = Search(spark, SF_DIR, with_norm=True)
+        plan = rank.top_n(rank.cosine(search.found, search.n_docs), 3)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    top = plan.split("HashAggregate")[0]
+    assert "Partial" in top and "SortMergeJoin" not in top
 
 
 def test_zipf_pieces(docs, monkeypatch):
