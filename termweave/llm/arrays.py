@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes worked on at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 800_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

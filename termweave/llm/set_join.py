@@ -38,7 +38,7 @@ FREQUENT = 65_536
 # Sets in which a shingle must be to count as frequent.
 FREQUENT_FROM = 200
 # Shingles counted at once.
-COUNTED = 2_000_000
+COUNTED = 1_000_000
 # A set has a leader if one is proposed by every third place of its prefix.
 LEADER_SHARE = 3
 # Sets of one leader in a block.
@@ -349,8 +349,14 @@ def whole_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, n: int) ->
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [grams for _, grams in arrays.shingle_sets(batch.column(1), n)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), arrays.list_array(lists, pa.int64())], ["id", "grams"])
+            lists: list[np.ndarray] = []
+            size = done = 0
+            for k, grams in arrays.shingle_sets(batch.column(1), n):
+                lists.append(grams)
+                size += grams.size
+                if size >= COUNTED or k == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(done, len(lists)), arrays.list_array(lists, pa.int64())], ["id", "grams"])
+                    lists, size, done = [], 0, k + 1
 
     found = texts.mapInArrow(read, "id LONG, grams ARRAY<LONG>").where("size(grams) > 0")
     return stored(found, "grams")
