@@ -281,19 +281,20 @@ def labelled_table(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
             right = " ".join(full[b : b + 200].split(" ")[:CONTEXT_WORDS])
             for form in [full[a:b], *disguises(kind, full[a:b])]:
                 out.append((left + form + right, [(kind, len(left), len(left) + len(form))]))
-        words = [w for w in full.split() if not any(c.isdigit() for c in w)][:40]
+        words = [w for w in full.split() if not any(c.isdigit() for c in w)][:16]
         out.append((" ".join(words), []))
     return out
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Field:
     field = Field()
-    rows = []
+    rows: dict[tuple[bytes, bytes], tuple[np.ndarray, np.ndarray]] = {}
     for passage, spans in labelled_table(docs, key, text):
         shape, label, line = label_words(passage, spans)
         cuts = np.append(np.flatnonzero(line), shape.size)
-        rows += [(shape[a:b], label[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
-    field.train(rows)
+        # Lines that look alike count once.
+        rows |= {(shape[a:b].tobytes(), label[a:b].tobytes()): (shape[a:b], label[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a}
+    field.train(list(rows.values()))
     return field
 
 
