@@ -18,7 +18,7 @@ from termweave.functions.scoring import (
     rounded,
 )
 from termweave.operators.index import count_terms
-from termweave.operators.joins import BROADCAST_ROWS, SALTS, at_most, join_by_term
+from termweave.operators.joins import BROADCAST_ROWS, SALTS, join_by_term
 
 Scalar = Column | float | int
 
@@ -147,9 +147,24 @@ def query_vectors(known: DataFrame, n_docs: Scalar) -> DataFrame:
     return raw.select("query_id", "term", (F.col("raw") / norm).alias("q_weight"))
 
 
-def cosine_matrix(vectors: DataFrame, queries: DataFrame) -> DataFrame:
+def cosine_of_postings(postings: DataFrame, stats: DataFrame, n_docs: Scalar, queries: DataFrame, fits: bool = False) -> DataFrame:
+    """The cosine matrix without the vectors of all documents.
+
+    Postings of query terms alone are summed by pair; the length of a document is a sum
+    over its postings, combined before the shuffle.
+    """
+    idf = F.ln((1.0 + col(n_docs)) / (1.0 + F.col("df"))) + 1.0
+    raw = postings.join(stats.select("term", "df"), "term").select("doc_id", "term", (F.col("tf") * idf).alias("raw"))
+    norms = raw.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
+    weighed = queries.join(stats.select("term", "df"), "term").withColumn("both", F.col("q_weight") * idf)
+    shared = join_by_term(postings, weighed.select("query_id", "term", "both"), fits)
+    sums = shared.groupBy("query_id", "doc_id").agg(F.sum(F.col("tf") * F.col("both")).alias("dot"))
+    return sums.join(norms, "doc_id").select("query_id", "doc_id", rounded(F.col("dot") / F.col("norm"), 5).alias("score"))
+
+
+def cosine_matrix(vectors: DataFrame, queries: DataFrame, fits: bool = False) -> DataFrame:
     """(query_id, doc_id, score) of all pairs that share a term; other pairs are 0 and not written."""
-    shared = join_by_term(vectors, queries, at_most(queries, BROADCAST_ROWS))
+    shared = join_by_term(vectors, queries, fits)
     return shared.groupBy("query_id", "doc_id").agg(
         rounded(F.sum(F.col("weight") * F.col("q_weight")), 5).alias("score")
     )

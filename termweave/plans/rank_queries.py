@@ -111,9 +111,8 @@ VECTOR = f"""{sql.postings("v", "documents", "text", stops="english", pattern=te
 
 def _vectorizer(spark, sf_dir):
     """Postings, statistics and size of the corpus under the word pattern of the vectorizer."""
-    docs = tables.documents(spark, sf_dir)
-    postings = index.build_postings(docs, "text", stop_words("english"), text_fn.VECTORIZER_PATTERN)
-    return postings, index.term_stats(postings), docs.agg(F.count(F.lit(1))).scalar()
+    postings = tables.vector_postings(spark, sf_dir)
+    return postings, index.term_stats(postings), tables.read(spark, sf_dir, "documents", "doc_id").agg(F.count(F.lit(1))).scalar()
 
 
 @query(
@@ -140,8 +139,9 @@ def cosine_matrix(spark, sf_dir):
     terms = rank.query_terms(
         tables.benchmark_queries(spark, sf_dir), stop_words("english"), text_fn.VECTORIZER_PATTERN
     )
-    known, _ = rank.match(terms, postings, stats, at_most(terms, BROADCAST_ROWS))
-    return rank.cosine_matrix(rank.tfidf_vectors(postings, stats, n_docs), rank.query_vectors(known, n_docs))
+    fits = at_most(terms, BROADCAST_ROWS)
+    known, _ = rank.match(terms, postings, stats, fits)
+    return rank.cosine_of_postings(postings, stats, n_docs, rank.query_vectors(known, n_docs), fits)
 
 
 @query(

@@ -138,6 +138,20 @@ def stored_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.select("id", rounded("pagerank", 5).alias("pagerank"))
 
 
+_postings: dict[tuple[str, str], str] = {}
+
+
+def vector_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(term, doc_id, tf) under the word pattern of the vectorizer, stored once per session and data set."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _postings:
+        path = scratch_path(spark, "vector-postings")
+        built = index.build_postings(documents(spark, sf_dir), "text", stop_words("english"), text_fn.VECTORIZER_PATTERN)
+        built.select("term", "doc_id", "tf").write.parquet(path)
+        _postings[key] = path
+    return spark.read.schema("term STRING, doc_id LONG, tf LONG").parquet(_postings[key])
+
+
 def stored_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, title) as stored with the index."""
     path = f"{search_index(spark, sf_dir).path}/titles"
