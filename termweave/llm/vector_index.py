@@ -31,6 +31,7 @@ from termweave.llm.store import components, stored
 
 # Vectors from which the codebooks are fitted, and those whose links are found by brute force.
 SAMPLE = 20_000
+SAMPLE_NUMBERS = 4_000_000
 PROBES = 256
 TARGET = 0.995
 VISITS = (1, 2, 4, 8, 16, 32)
@@ -101,8 +102,11 @@ def _met_at(own: np.ndarray, home: np.ndarray) -> np.ndarray:
 def fit(distinct: DataFrame, dim: int, threshold: float) -> Codebooks:
     """Codebooks and the length of the traversal, for distinct(id, embedding)."""
     n = distinct.count()
-    by_hash = distinct.orderBy(F.xxhash64("id"), "id")
-    sample = by_hash.limit(SAMPLE).toPandas()
+    # About so many rows, by hash, whatever the input; fewer of long vectors, so that the sample stays within 32 MB of numbers.
+    share = min(1.0, min(SAMPLE, SAMPLE_NUMBERS // dim) / n)
+    sample = distinct.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) + 1)).toPandas()
+    if not len(sample):
+        sample = distinct.limit(1).toPandas()
     vectors = unit(np.array(sample["embedding"].tolist(), np.float64).reshape(-1, dim))
     k = int(np.clip(2 ** round(np.log2(max(np.sqrt(n) / 4, 1))), *CENTROIDS))
     half = dim // 2
