@@ -13,14 +13,19 @@ def read_corpus(spark: SparkSession, path: str, columns: Sequence[str] = ("id",
     return spark.read.parquet(path).select(*columns)
 
 
+# Splits up to which an input is spread: with splits of 128 MB no more than 1 GB moves.
+FEW_SPLITS = 8
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """`df` with a partition per core where its scan has fewer splits than there are cores.
+    """`df` with a partition per core where its scan has a few splits, fewer than there are cores.
 
-    Small inputs often are one file with one row group, which one task would read. An
-    input with more splits than cores, so any large one, is left as it is: no shuffle.
+    Small inputs often are one file with one row group, which one task would read. Any
+    larger input is left as it is, also on a cluster with more cores than it has splits.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits < cores and splits <= FEW_SPLITS else df
 
 
 def first_rows(corpus: DataFrame, key: str, n: int = 1000) -> DataFrame:

@@ -11,6 +11,7 @@ from termweave.functions.stem import stem_word
 from termweave.functions.stopwords import ENGLISH, stop_words
 from termweave.operators import blend, evaluate, graph, index, rank, stats, views
 
+# Golden inputs, and below the counts that they must give.
 LITTLE_PRINCE = '''Oh, little prince! Bit by bit I came to understand the secrets of your sad little life...
 For a long time you had found your only entertainment in the quiet pleasure of looking at the sunset.
 I learned that new detail on the morning of the fourth day, when you said to me:
@@ -45,6 +46,7 @@ def words(spark, docs):
     return index.count_terms(df, F.col("tokens"))
 
 
+# Golden inputs.
 FIRST = {1: ["dog", "ate", "a", "dog"], 2: ["a", "cat", "ate", "a", "dog"]}
 SECOND = {4: ["dog", "ate", "a", "dog"], 3: ["a", "giraffe", "ate", "a", "dog"]}
 
@@ -121,6 +123,7 @@ def typed(spark, text):
 
 
 def test_typed_tokens(spark):
+    # Golden inputs.
     got = typed(spark, "<b><i>hello</i></b>")
     assert [t for _, t in got].count("HTMLTAG") == 4
     assert ("<br />", "HTMLTAG") in typed(spark, "<br />")
