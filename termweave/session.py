@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,8 +33,10 @@ def build_session(app_name: str = "termweave", master: str | None = None, **sett
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from `spark.checkpoint.dir`.
 
-    Where that is unset a local session gets a temporary folder (tests); a cluster
-    session is refused, since a machine-local folder is lost with its machine.
+    Where that is unset a local session gets a temporary folder (tests), which is removed
+    when the program ends; a cluster session is refused, since a machine-local folder is
+    lost with its machine. Results may be read from it at any time, so on a shared folder
+    tables stay until its owner removes them.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -40,6 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="termweave-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", configured)
     if current is None:
         spark.sparkContext.setCheckpointDir(configured)
