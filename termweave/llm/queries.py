@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from termweave.llm import decontaminate, language_id, packing, pii, preference, repeats, set_join, toxicity, url_lists, vector_index
 from termweave.llm.queries_sql import SQL
+from termweave.llm.store import short_batches
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -23,6 +24,7 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 

@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termweave.session import scratch_path
 
 
+# Rows that go to Python at once; whole texts make a batch of Spark's default of 10,000 too large for small executors.
+BATCH_ROWS = 1_000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Send whole texts to Python in short batches, unless the session has a setting of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read again; executors that are lost cost no more than their tasks."""
     path = scratch_path(df.sparkSession, name)
