@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from termweave.llm import decontaminate, language_id, packing, pii, set_join
-from termweave.llm.store import by_ids, stored
+from termweave.llm.store import by_ids, short_batches, stored
 from termweave.session import scratch_path
 
 
@@ -22,6 +22,7 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     The models learn from the documents that name a language.
     """
+    short_batches(spark)
     return language_id.known_only(docs, language_id.fit(docs))
 
 
@@ -30,6 +31,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Of rows that share that id one stays. Documents without a word link with nothing and stay.
     """
+    short_batches(spark)
     found = stored(set_join.jaccard_components(docs), "groups")
     kept = by_ids(docs, "doc_id", found.where("id <> component").select("id"), "left_anti")
     twice = stored(found.where("id IS NOT NULL AND id = component").groupBy("id").count().where("count > 1").select("id"), "twice")
@@ -41,17 +43,20 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no passage aligns with a benchmark item."""
+    short_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.clean_documents(docs, decontaminate.contaminated(docs, items))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind; n_chars is that of the new text."""
+    short_batches(spark)
     return pii.mask(docs, pii.fit(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 1,024 tokens."""
+    short_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
