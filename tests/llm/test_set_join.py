@@ -66,3 +66,15 @@ def test_words_are_runs_of_bytes_with_ascii_lowered():
     assert found == [(0, 3), (1, 0), (2, 0), (3, 2)]
     one, two = (s for _, s in arrays.shingle_sets(pa.array(["AB cd", "ab CD"]), 2))
     assert (one == two).all()
+
+
+def test_short_batches_change_nothing(spark, mixed, mixed_rows):
+    """Lists and groups that go over the end of a batch are taken up in the next."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "13")
+    try:
+        got = set_join.jaccard_components(mixed, n=3, num=90, den=100).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert {r.id: (r.n_shingles, r.component) for r in got} == brute_force(mixed_rows, 3, 90, 100)
