@@ -273,7 +273,10 @@ def label_words(text: str, spans: list[tuple[str, int, int]]) -> tuple[np.ndarra
 def labelled_table(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = TRAINING_TEXTS) -> list[tuple[str, list[tuple[str, int, int]]]]:
     """(text, spans) of short passages: the base spans of at most n documents, the lowest by hash, and their disguises."""
     likely = F.col(text).rlike(r"@|[0-9]{3}")
-    rows = docs.where(likely).select(F.col(text).alias("text")).orderBy(F.xxhash64(key, text), key).limit(n).toPandas()["text"]
+    # The ids are chosen first, so that no task sends more texts than those.
+    ids = docs.where(likely & F.col(key).isNotNull()).select(F.col(key).alias("_id"), F.xxhash64(key, text).alias("h")).orderBy("h", "_id").limit(n)
+    chosen = docs.where(likely).select(F.col(key).alias("_key"), F.col(text).alias("text"))
+    rows = chosen.join(F.broadcast(ids.select("_id")), F.col("_key") == F.col("_id"), "left_semi").toPandas().sort_values(["_key", "text"])["text"]
     out = []
     for full in rows:
         for kind, a, b in base_spans(full):
