@@ -316,6 +316,34 @@ def test_languages_and_rejection(spark):
     assert language_id.known_only(docs, nothing).count() == 0
 
 
+def test_no_language_is_cut_from_the_models_and_tables_score_like_arrays(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    letters = list("abcdefghijklmnop")
+    rows = [(k, " ".join("".join(rng.choice(letters, 5)) for _ in range(40)), "large") for k in range(60)]
+    rows += [(100 + k, " ".join(rng.choice(["wxyz", "zyxw", "yzwx"], 2)), "small") for k in range(3)] + [(200, None, "large"), (201, "1 2", "small"), (0, rows[0][1], "large"), (None, "wxyz zyxq", None)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING")
+
+    def results():
+        models = language_id.fit(docs)
+        got = sorted(language_id.identify(docs.select("doc_id", "text"), models).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0))
+        return models, got, sorted(map(str, language_id.known_only(docs, models).collect()))
+
+    sent, got, kept = results()
+    monkeypatch.setattr(language_id, "SENT_GRAMS", 100)
+    # So named before: the most frequent 4-grams of all languages, which were all that a model kept.
+    monkeypatch.setattr(language_id, "MODEL_GRAMS", 100, raising=False)
+    monkeypatch.setattr(language_id, "HOT_SHARE", 0.01, raising=False)
+    tables, joined, joined_kept = results()
+    assert tables.names == ["large", "small"] and tables.models is None and sent.tables is None
+    for name in ("mean", "limit", "strange", "floors"):
+        assert np.allclose(getattr(sent, name), getattr(tables, name), rtol=1e-9)
+    assert len(got) == len(joined) == len(rows) and kept == joined_kept
+    for a, b in zip(got, joined, strict=True):
+        assert (a.doc_id, a.lang_pred, a.rejected) == (b.doc_id, b.lang_pred, b.rejected)
+        assert np.allclose((a.score, a.cross_entropy), (b.score, b.cross_entropy), rtol=1e-9)
+    assert {r.lang_pred for r in joined if r.doc_id is None or r.doc_id in (100, 101, 102)} == {"small"}
+
+
 # Operator 9
 
 
