@@ -78,9 +78,7 @@ def load_tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 @lru_cache(maxsize=4)
@@ -106,11 +104,19 @@ def load_merges(path: str):
     return tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
+@lru_cache(maxsize=4)
+def load_added(path: str) -> re.Pattern[bytes] | None:
+    """What texts with an added token hold: the tokenizer cuts these out before words."""
+    added = [token.content.encode() for token in load_tokenizer(path).get_added_tokens_decoder().values()]
+    # Any case, as a token that the file normalises is found in other forms too.
+    return re.compile(b"|".join(re.escape(x) for x in sorted(added, key=len, reverse=True)), re.IGNORECASE) if added else None
+
+
 class Encoder:
     """Ids of whole texts; words that repeat are looked up."""
 
     def __init__(self, path: str):
-        self.tokenizer = load_tokenizer(path)
+        self.tokenizer, self.added = load_tokenizer(path), load_added(path)
         self.merge = load_merges(path) or (lambda word: self.tokenizer.encode(word, add_special_tokens=False).ids)
         self.clear()
 
@@ -140,6 +146,8 @@ class Encoder:
                 continue
             odd = np.zeros(n, bool)
             at = [m.start() for m in _ODD.finditer(raw)]
+            # A match across the end of a text could hide one in the next: both are odd, which costs time only.
+            at += [k for m in self.added.finditer(raw) for k in (m.start(), m.end() - 1)] if self.added else []
             if at:
                 odd[np.unique(np.searchsorted(bounds, at, "right") - 1)] = True
             slow = iter(())

@@ -167,6 +167,16 @@ def test_ids_are_those_of_the_tokenizer(mixed_rows):
         assert ids.tolist() == plain.encode(text or "", add_special_tokens=False).ids
 
 
+def test_ids_are_those_of_a_fresh_tokenizer():
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(TOKENIZER)
+    texts = ["<|endoftext|> x", "plain words", "a<|endoftext|><|endoftext|>b", "<|endof", "text|> z", None, "<|ENDOFTEXT|>", "é <|endoftext|>"]
+    want = [fresh.encode(text or "", add_special_tokens=False).ids for text in texts]
+    assert want[0] == [50256, 2124]
+    assert [ids.tolist() for ids in packing.Encoder(TOKENIZER).encode(pa.array(texts, pa.string()))] == want
+
+
 @pytest.mark.parametrize("size, block", [(1024, 20_000), (64, 30)])
 def test_packing_places_every_piece_once(mixed, mixed_rows, size, block):
     pieces = packing.token_pieces(mixed, TOKENIZER, size=size, with_ids=True).cache()
