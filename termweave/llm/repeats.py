@@ -275,7 +275,9 @@ def repeated_spans(rows: DataFrame, size: int) -> DataFrame:
         ).alias("w"),
     )
     asked = stored(asked.groupBy("id", "tag").agg(F.collect_list("w").alias("asked")), "asked")
-    texts = by_ids(rows, "id", asked.select("id"), "left_semi").dropDuplicates(["id", "tag"]).join(asked, ["id", "tag"]).select("id", "tag", "text", "asked")
+    named = asked.select(F.col("id").alias("_i"), F.col("tag").alias("_t"), "asked")
+    texts = by_ids(rows, "id", asked.select("id"), "left_semi").dropDuplicates(["id", "tag"])
+    texts = texts.join(named, F.col("id").eqNullSafe(F.col("_i")) & (F.col("tag") == F.col("_t"))).select("id", "tag", "text", "asked")
     kind = "side INT, half LONG, slot INT, id LONG, tag LONG, place LONG, near INT, far INT, single BOOLEAN, bytes BINARY"
     contents = texts.mapInArrow(_contents(size), kind).repartition("side", "half", "slot").sortWithinPartitions("side", "half", "slot")
     found = contents.mapInArrow(_equal_windows(size), "id LONG, tag LONG, start LONG, end LONG")

@@ -250,6 +250,18 @@ def test_repeats_in_segments_and_crowded_halves(spark, monkeypatch):
     assert repeats.remove_repeats(docs.where("false"), size=50).count() == 0
 
 
+def test_a_row_without_an_id_shares_a_passage_between_other_surroundings(spark):
+    rng = np.random.default_rng(13)
+    some = lambda n: "".join(rng.choice(list("abcdefgh"), n))
+    middle = some(90)
+    texts = {k: some(70) + middle + some(70) for k in (None, 1, 2)} | {3: some(200)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id LONG, text STRING")
+    want = dict(zip(texts, removed_by_hand(list(texts.values()), 50), strict=True))
+    assert want[None][1] >= 90
+    got = {r.id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in repeats.remove_repeats(docs, size=50).collect()}
+    assert got == want
+
+
 # Operator 7
 
 
