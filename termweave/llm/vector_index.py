@@ -3,8 +3,10 @@
 The two halves of the unit vectors are quantised apart; a cell is a pair of centroids, so K
 centroids a half give K * K cells. A vector lives in its nearest cell and visits further cells in
 the order of multi-sequence traversal (rising sum of the two squared distances). How many it visits is measured:
-the links of a few hundred stated vectors to all rows are found by brute force in blocks, and the
-shortest traversal that meets TARGET of them is taken. In a cell every visitor and resident is compared
+the links of stated vectors to all rows are found by brute force in blocks, with more vectors until LINKED
+have links, and the shortest traversal that meets TARGET of the links of a vector, on average over them, is taken. Where links are
+too rare for that, it must also meet TARGET of copies turned to the threshold. If none is long enough, all
+vectors share one cell, which is brute force in blocks. In a cell every visitor and resident is compared
 with every resident in double precision; a pair that can be met in two cells is counted in one.
 
 Vectors that are equal stand as one, with their number. A crowded cell is cut into blocks of residents,
@@ -23,6 +25,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +35,14 @@ from termweave.llm.store import components, stored
 # Vectors from which the codebooks are fitted, and those whose links are found by brute force.
 SAMPLE = 20_000
 SAMPLE_NUMBERS = 4_000_000
-PROBES = 256
+PROBES = (256, 2_048, 16_384)
+# Probes with links that are enough, and turned copies that are taken where they are fewer.
+LINKED = 64
+TURNED = 512
 TARGET = 0.995
 VISITS = (1, 2, 4, 8, 16, 32)
+# Tried where those fall short; beyond them blocks of all vectors cost no more.
+FURTHER = (64, 128, 256)
 CENTROIDS = (8, 512)
 # Residents of a block.
 BLOCK = 2_000
@@ -79,7 +87,7 @@ class Codebooks:
         half = self.first.shape[1]
         one, two = distances(vectors[:, :half], self.first), distances(vectors[:, half:], self.second)
         by_one, by_two = one.argsort(1, kind="stable"), two.argsort(1, kind="stable")
-        i, j = np.array([(a, b) for a in range(one.shape[1]) for b in range(two.shape[1]) if (a + 1) * (b + 1) <= visits]).T
+        i, j = np.array([(a, b) for a in range(min(one.shape[1], visits)) for b in range(min(two.shape[1], visits // (a + 1)))]).T
         rows = np.arange(len(vectors))[:, None]
         a, b = by_one[:, i], by_two[:, j]
         total = one[rows, a] + two[rows, b]
@@ -111,25 +119,78 @@ def fit(distinct: DataFrame, dim: int, threshold: float) -> Codebooks:
     k = int(np.clip(2 ** round(np.log2(max(np.sqrt(n) / 4, 1))), *CENTROIDS))
     half = dim // 2
     books = Codebooks(k_means(vectors[:, :half], k), k_means(vectors[:, half:], k))
-    probes = vectors[:PROBES]
-    shared = distinct.sparkSession.sparkContext.broadcast((books, probes, sample["id"].to_numpy(np.int64)[:PROBES]))
+    names = sample["id"].to_numpy(np.int64)
+    for size in PROBES:
+        chosen = np.arange(min(size, len(vectors)))
+        found = _met(distinct, dim, books, vectors[chosen], names[chosen], threshold, VISITS[-1])
+        if found["probe"].nunique() >= LINKED or size >= len(vectors):
+            break
+    # If every vector is a probe, these are all links.
+    turned = found["probe"].nunique() < LINKED and len(chosen) < n
+    for choices in (VISITS, FURTHER):
+        if choices is FURTHER and len(found):
+            chosen = np.sort(found["probe"].unique())
+            found = _met(distinct, dim, books, vectors[chosen], names[chosen], threshold, choices[-1])
+        measured = [found] if len(found) else []
+        if turned:
+            measured.append(_met_by_turned(books, vectors, threshold, choices[-1]))
+        for visits in choices:
+            if all(_share(m, visits) >= TARGET for m in measured):
+                books.visits = visits
+                return books
+    return Codebooks(vectors[:1, :half], vectors[:1, half:])
+
+
+def _share(met: pd.DataFrame, visits: int) -> float:
+    """The share of the links of a probe that are met, on average over probes."""
+    near = met["n"].where(met["visits"] <= visits, 0).groupby(met["probe"]).sum()
+    return float((near / met["n"].groupby(met["probe"]).sum()).mean())
+
+
+def _met_by_turned(books: Codebooks, vectors: np.ndarray, threshold: float, longest: int) -> pd.DataFrame:
+    """(probe, visits, n) of TURNED vectors and copies of them, turned at random until the cosine is the threshold."""
+    own = vectors[np.arange(TURNED) % len(vectors)]
+    aside = np.random.default_rng(11).normal(size=own.shape)
+    aside = unit(aside - (aside * own).sum(1, keepdims=True) * own)
+    copies = threshold * own + np.sqrt(max(1 - threshold**2, 0)) * aside
+    one, two = books.cells(own, longest), books.cells(copies, longest)
+    met = np.minimum(_met_at(one, two[:, 0]), _met_at(two, one[:, 0]))
+    return pd.DataFrame({"probe": np.arange(TURNED), "visits": met, "n": 1})
+
+
+def _met(distinct: DataFrame, dim: int, books: Codebooks, probes: np.ndarray, names: np.ndarray, threshold: float, longest: int) -> pd.DataFrame:
+    """(probe, visits, n): how many links each probe has that are met by so many visits; longest + 1 if by more."""
+    shared = distinct.sparkSession.sparkContext.broadcast((books, probes, names))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, probes, names = shared.value
-        probe_cells = own.cells(probes, VISITS[-1])
+        probe_cells = np.concatenate([own.cells(probes[k : k + 512], longest) for k in range(0, len(probes), 512)])
         for batch in filter(len, batches):
-            here = unit(_matrix(batch.column(1), dim))
-            cells = own.cells(here, VISITS[-1])
-            i, j = np.nonzero(here @ probes.T >= threshold)
-            other = batch.column(0).to_numpy()[i] != names[j]
-            i, j = i[other], j[other]
-            met = np.minimum(_met_at(cells[i], probe_cells[j, 0]), _met_at(probe_cells[j], cells[i, 0]))
-            value, times = np.unique(met, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(value.astype(np.int64)), pa.array(times)], ["visits", "n"])
-
-    met = distinct.mapInArrow(count, "visits LONG, n LONG").groupBy("visits").agg(F.sum("n").alias("n")).toPandas()
-    books.visits = next((v for v in VISITS if met["n"][met["visits"] <= v].sum() >= TARGET * met["n"].sum()), VISITS[-1])
-    return books
+            ids = batch.column(0).to_numpy()
+            every = unit(_matrix(batch.column(1), dim))
+            for begin in range(0, len(every), 512):
+                here = every[begin : begin + 512]
+                pairs = [np.nonzero(here @ probes[k : k + 2_048].T >= threshold) for k in range(0, len(probes), 2_048)]
+                i = np.concatenate([p[0] for p in pairs])
+                j = np.concatenate([p[1] + k * 2_048 for k, p in enumerate(pairs)])
+                other = ids[begin + i] != names[j]
+                i, j = i[other], j[other]
+                if not i.size:
+                    continue
+                rows, at = np.unique(i, return_inverse=True)
+                cells = own.cells(here[rows], longest)
+                met = np.concatenate(
+                    [
+                        np.minimum(_met_at(cells[a], probe_cells[b, 0]), _met_at(probe_cells[b], cells[a, 0]))
+                        for k in range(0, i.size, 8_192)
+                        for a, b in [(at[k : k + 8_192], j[k : k + 8_192])]
+                    ]
+                )
+                value, times = np.unique(j * (longest + 2) + met, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(value // (longest + 2)), pa.array(value % (longest + 2)), pa.array(times)], ["probe", "visits", "n"])
+
+    met = distinct.mapInArrow(count, "probe LONG, visits LONG, n LONG")
+    return met.groupBy("probe", "visits").agg(F.sum("n").alias("n")).toPandas()
 
 
 def _placed(books: Codebooks, dim: int, shared):

@@ -426,6 +426,38 @@ def test_vector_links_and_components(spark, block):
     assert len(got) == len(rows) + len(odd)
 
 
+def links_by_hand(vectors: np.ndarray, threshold: float) -> list[int]:
+    near = vectors @ vectors.T >= threshold
+    return (near.sum(1) - 1).tolist()
+
+
+def test_links_that_no_first_probe_has_are_found(spark, monkeypatch):
+    monkeypatch.setattr(vector_index, "PROBES", (4, 16, 4_096) if isinstance(vector_index.PROBES, tuple) else 4)
+    rng = np.random.default_rng(14)
+    vectors = rng.normal(size=(1_500, 16))
+    vectors = vector_index.unit(np.concatenate([vectors, vectors[:40] + 0.35 * rng.normal(size=(40, 16))]))
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id LONG, embedding ARRAY<DOUBLE>")
+    want = links_by_hand(vectors, 0.9)
+    got = {r.id: r.n_links for r in vector_index.near_duplicates(table).collect()}
+    assert sum(want) > 40 and sum(got.values()) >= 0.98 * sum(want)
+
+
+def test_all_pairs_are_compared_where_no_traversal_is_long_enough(spark, monkeypatch):
+    monkeypatch.setattr(vector_index, "VISITS", (1,))
+    monkeypatch.setattr(vector_index, "FURTHER", (2,), raising=False)
+    vectors = vector_index.unit(np.random.default_rng(15).normal(size=(300, 8)))
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id LONG, embedding ARRAY<DOUBLE>")
+    got = {r.id: r.n_links for r in vector_index.near_duplicates(table, threshold=0.5, block=70).collect()}
+    assert [got[k] for k in range(300)] == links_by_hand(vectors, 0.5)
+
+
+def test_few_links_are_weighed_with_turned_copies():
+    vectors = vector_index.unit(np.random.default_rng(16).normal(size=(400, 16)))
+    books = vector_index.Codebooks(vector_index.k_means(vectors[:, :8], 8), vector_index.k_means(vectors[:, 8:], 8))
+    met = vector_index._met_by_turned(books, vectors, 0.9, 32)
+    assert len(met) == vector_index.TURNED and vector_index._share(met, 1) < vector_index.TARGET
+
+
 def test_vectors_of_an_empty_table(spark):
     table = spark.createDataFrame([], "vec_id LONG, embedding ARRAY<FLOAT>")
     assert vector_index.near_duplicates(table).count() == 0
