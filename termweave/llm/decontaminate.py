@@ -1,14 +1,14 @@
 """Operator 7: passages of documents that copy or rework benchmark items.
 
-Seeds are the 3-word shingles that few items have; one that holds a word that few items have is
-strong. A task marks where its documents have seeds; a join on the seed finds the items; around each group of
+Items of equal words are one, and stand for all their ids at the end. Seeds are the 3-word shingles that few items have, and the LEAST_SEEDS rarest of
+every item however many have them; one that holds a word that few items have is strong. A task marks where its documents have seeds; a join on the seed finds the items; around each group of
 seeds of one item, of which one is strong or WEAK_SEEDS are not, the passage is aligned with the item by Smith-Waterman over words. The score is
 the alignment's value as a share of the item aligned with itself, so that an edited copy with
 a quarter of its words replaced still scores about 0.6 and unrelated prose about 0.1.
 
 Seeds and items reach the tasks as an array if they are few (checked by count), else documents send
-their shingles to a join. Null or empty texts, and items of fewer words than `least_words`, match
-nothing. Repeated rows match each for itself and come out once per id. Of equal scores the first place wins.
+their shingles to a join. Null or empty texts match nothing. Items of fewer words than `least_words` match
+where they stand verbatim, those shorter than a shingle only as a whole document. Repeated rows match each for itself and come out once per id. Of equal scores the first place wins.
 Extra columns are not read. A text with seeds from end to end is cut into windows, never into a prefix.
 """
 
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termweave.llm import arrays
@@ -27,6 +27,8 @@ from termweave.llm.store import by_ids, stored
 SEED_WORDS = 3
 # A word or shingle is rare if it stands in no more than this share of the items, or in two of them.
 RARE_SHARE = 0.05
+# Shingles of an item that are seeds even if many items have them.
+LEAST_SEEDS = 16
 # Seeds without a rare word that count as much as one with it.
 WEAK_SEEDS = 3
 # Seeds up to which (16 MB) they are sent to every executor.
@@ -51,8 +53,8 @@ def item_words(items: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInArrow(read, "item_id LONG, words ARRAY<LONG>")
 
 
-def seeds(words: DataFrame, n: int = SEED_WORDS, share: float = RARE_SHARE) -> DataFrame:
-    """(gram, item_id, place, strong): the rare shingles of each item; a strong one holds a rare word."""
+def seeds(words: DataFrame, least_words: int = 0, n: int = SEED_WORDS, share: float = RARE_SHARE) -> DataFrame:
+    """(gram, item_id, place, strong): the rare shingles of each item, LEAST_SEEDS at least; a strong one holds a rare word or is of a short item."""
     single = words.select("item_id", F.posexplode("words").alias("place", "word"))
     common = single.groupBy("word").agg(F.count_distinct("item_id").alias("df"))
     n_items = words.agg(F.count_distinct("item_id")).first()[0]
@@ -62,24 +64,27 @@ def seeds(words: DataFrame, n: int = SEED_WORDS, share: float = RARE_SHARE) -> D
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out, places = [], [], []
+            ids, out, places, short = [], [], [], []
             for item, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 hashes = np.array(row, np.int64).view(np.uint64)
                 found, _ = arrays.word_grams(hashes, np.array([0, hashes.size]), n)
                 ids += [item] * found.size
+                short += [hashes.size < least_words] * found.size
                 out.append(found.view(np.int64))
                 places.append(np.arange(found.size))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([*out, np.empty(0, np.int64)])), pa.array(ids, pa.int64()), pa.array(np.concatenate([*places, np.empty(0, np.int64)]))],
-                ["gram", "item_id", "place"],
+                [pa.array(np.concatenate([*out, np.empty(0, np.int64)])), pa.array(ids, pa.int64()), pa.array(np.concatenate([*places, np.empty(0, np.int64)])), pa.array(short, pa.bool_())],
+                ["gram", "item_id", "place", "short"],
             )
 
-    every = words.where(F.size("words") >= n).mapInArrow(grams, "gram LONG, item_id LONG, place LONG")
+    every = words.mapInArrow(grams, "gram LONG, item_id LONG, place LONG, short BOOLEAN")
     held = rare.select("item_id", F.explode(F.sequence(F.greatest(F.col("place") - (n - 1), F.lit(0)), F.col("place"))).alias("place")).distinct()
     held = held.withColumn("strong", F.lit(True))
-    rare_grams = every.groupBy("gram").agg(F.count_distinct("item_id").alias("df")).where(F.col("df") <= few).select("gram")
-    every = every.join(rare_grams, "gram").join(held, ["item_id", "place"], "left")
-    return every.select("gram", "item_id", "place", F.coalesce("strong", F.lit(False)).alias("strong"))
+    spread = every.groupBy("gram").agg(F.count_distinct("item_id").alias("df"))
+    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("df", "gram", "place"))
+    every = every.join(spread, "gram").withColumn("rank", rank).where((F.col("df") <= few) | (F.col("rank") <= LEAST_SEEDS))
+    every = every.join(held, ["item_id", "place"], "left")
+    return every.select("gram", "item_id", "place", (F.col("short") | F.coalesce("strong", F.lit(False))).alias("strong"))
 
 
 def _is_in(values: np.ndarray, table: np.ndarray, quick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +100,7 @@ def regions(docs: DataFrame, key: str, text: str, grams: tuple[np.ndarray, np.nd
 
     `grams` are the sorted seeds and whether each is strong; a region without a strong one needs
     WEAK_SEEDS. Without `grams` every shingle is a seed. Seeds closer than `reach` words share a region; a region holds 4,096 words of seeds at
-    most and overlaps the next by `reach` on either side.
+    most, and beside them the seeds within `reach` on either side, so that a passage has all its seeds in one region.
     """
     shared = docs.sparkSession.sparkContext.broadcast(grams)
     longest = 4096
@@ -131,12 +136,15 @@ def regions(docs: DataFrame, key: str, text: str, grams: tuple[np.ndarray, np.nd
                 new[1:] = (np.diff(of) != 0) | (np.diff(place) > reach) | (place[1:] // longest != place[:-1] // longest)
                 heads = np.flatnonzero(new)
                 for a, b in zip(heads.tolist(), [*heads[1:].tolist(), at.size], strict=True):
+                    text = of[a]
+                    a = int(np.searchsorted(at, max(ends[text], at[a] - reach)))
+                    b = int(np.searchsorted(at, min(ends[text + 1] - 1, at[b - 1] + reach), "right"))
                     if b - a < WEAK_SEEDS and not firm[a:b].any():
                         continue
-                    base, stop = firsts[of[a]], firsts[of[a] + 1]
+                    base, stop = firsts[text], firsts[text + 1]
                     begin = max(base, base + place[a] - reach)
                     end = min(stop, base + place[b - 1] + n + reach)
-                    rows.append((names[first + of[a]], int(begin - base)))
+                    rows.append((names[first + text], int(begin - base)))
                     words_of.append(hashes[begin:end].view(np.int64))
                     hits.append(found[at[a:b]])
                     places.append(place[a:b] - (begin - base))
@@ -232,8 +240,10 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, score, word_start, word_end, n_seeds): the best passage of a document for each item it reaches `threshold` with."""
     spark = docs.sparkSession
-    words = stored(item_words(benchmark, item_key, item_text).where(F.size("words") >= least_words), "items")
-    found = stored(seeds(words), "seeds")
+    listed = item_words(benchmark, item_key, item_text).where(F.size("words") > 0).withColumn("same", F.xxhash64("words"))
+    listed = stored(listed, "items")
+    words = stored(listed.select(F.col("same").alias("item_id"), "words").dropDuplicates(["item_id"]), "words")
+    found = stored(seeds(words, least_words), "seeds")
     reach = (words.agg(F.max(F.size("words"))).first()[0] or 0) * 5 // 4 + 2
     grams = found.groupBy("gram").agg(F.max("strong").alias("strong"))
     sent = None
@@ -259,8 +269,12 @@ def contaminated(
         "n_seeds",
     )
     scored = pairs.mapInArrow(align, "doc_id LONG, item_id LONG, n_seeds LONG, score DOUBLE, word_start LONG, word_end LONG")
+    short = words.where(F.size("words") < least_words).select("item_id", F.lit(True).alias("short"))
+    least = F.when(F.col("short"), F.lit(1.0)).otherwise(F.lit(float(threshold)))
+    scored = scored.where(F.col("score") >= threshold).join(short, "item_id", "left").where(F.col("score") >= least)
     best = F.max_by(F.struct("score", "word_start", "word_end", "n_seeds"), F.struct("score", -F.col("word_start"))).alias("x")
-    return scored.where(F.col("score") >= threshold).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.*")
+    scored = scored.groupBy("doc_id", F.col("item_id").alias("same")).agg(best).select("doc_id", "same", "x.*")
+    return scored.join(listed.select("same", "item_id").distinct(), "same").groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "x.*")
 
 
 def clean_documents(docs: DataFrame, found: DataFrame, key: str = "doc_id") -> DataFrame:

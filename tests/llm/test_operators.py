@@ -302,6 +302,29 @@ def test_edited_and_copied_items_are_found(spark, mixed_rows):
         decontaminate.SENT_SEEDS = before
 
 
+def test_copied_templated_short_and_cut_items_are_found(spark):
+    rng = np.random.default_rng(17)
+    words = [f"{a}{b}" for a in "bcdfghjklm" for b in "aeiouxyz"]
+    noise = lambda n: " ".join(rng.choice(words, n))
+    copied = noise(30)
+    frame = [f"frame{k}" for k in range(24)]
+    templated = [" ".join([*frame[:12], f"name{k % 3}", *frame[12:]]) for k in range(12)]
+    items = [(k, copied) for k in range(9)] + [(20 + k, t) for k, t in enumerate(templated)] + [(50, "who wrote the iliad"), (51, "Yes indeed"), (52, " ")]
+    # Two seeds of a passage stand before the place where regions are cut, and two behind it.
+    seeded = [f"s{k}" for k in range(9)]
+    items.append((60, " ".join(seeded)))
+    lead = noise(4_092).split()
+    passage = ["s0", "s1", "s2", "s3", "zz", "s5", "s6", "s7", "s8"]
+    texts = {1: noise(50) + " " + copied + " " + noise(9), 2: templated[1], 3: noise(9) + " Who wrote the Iliad " + noise(9), 4: "who wrote the odyssey", 5: "yes indeed", 6: "yes indeed it is"}
+    texts[7] = " ".join([*lead, *passage, *noise(40).split()])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id LONG, text STRING")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id LONG, text STRING")).collect()}
+    assert {i for d, i in got if d == 1} == set(range(9)) and all(got[1, k].score == 1 and got[1, k].word_start == 50 for k in range(9))
+    assert {i for d, i in got if d == 2} == set(range(20, 32))
+    assert {(d, i) for d, i in got if d in (3, 4, 5, 6)} == {(3, 50), (5, 51)}
+    assert {i for d, i in got if d == 7} == {60} and got[7, 60].n_seeds == 4
+
+
 # Operator 8
 
 
