@@ -100,10 +100,10 @@ def byte_values(data: np.ndarray) -> np.ndarray:
     return _BYTE[data]
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start, end) of each word and the number of the first word of each text, with the total last."""
+def words(data: np.ndarray, bounds: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, end) of each word and the number of the first word of each text, with the total last; unfolded words keep their case."""
     starts, ends = runs(~_SPACE[data], bounds)
-    hashes = span_hashes(_BYTE[_LOWER[data]], starts, ends)
+    hashes = span_hashes(_BYTE[_LOWER[data] if fold else data], starts, ends)
     return hashes, starts, ends, np.searchsorted(starts, bounds)
 
 

@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termweave.llm import decontaminate, language_id, packing, pii, preference, repeats, set_join, toxicity, url_lists, vector_index
+from termweave.llm import (
+    decontaminate,
+    language_id,
+    packing,
+    pii,
+    prefix_trees,
+    preference,
+    repeats,
+    set_join,
+    toxicity,
+    url_lists,
+    vector_index,
+)
 from termweave.llm.queries_sql import SQL
 from termweave.llm.store import short_batches
 
@@ -137,3 +149,10 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of embeddings with a cosine of 0.9 or more."""
     found = vector_index.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+@query
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages of 13 words that start in an earlier one."""
+    found = prefix_trees.remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

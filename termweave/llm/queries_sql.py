@@ -1,4 +1,4 @@
-"""SQL for the queries that it can express: set joins by all pairs, preference formatting, dated lists, and vectors by all pairs."""
+"""SQL for the queries that it can express: set joins by all pairs, preference formatting, dated lists, vectors by all pairs, and repeated passages."""
 
 from __future__ import annotations
 
@@ -77,9 +77,21 @@ _VECTORS = f"""WITH RECURSIVE
     SELECT id AS vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, id = component_id AS kept
     FROM nodes JOIN labelled USING (id) LEFT JOIN counted USING (id)"""
 
+_PASSAGES = """WITH
+    split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM split WHERE len(w) >= 13),
+    windows AS (SELECT doc_id, k, array_to_string(w[k:k + 12], ' ') AS words FROM starts),
+    firsts AS (SELECT words, min(doc_id) AS first_doc FROM windows GROUP BY 1),
+    gone AS (SELECT DISTINCT doc_id, k + unnest(range(0, 13)) AS k FROM windows JOIN firsts USING (words) WHERE doc_id > first_doc),
+    placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM split),
+    kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS kept, count(*) AS n FROM placed ANTI JOIN gone USING (doc_id, k) GROUP BY 1)
+    SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+    FROM split LEFT JOIN kept USING (doc_id)"""
+
 SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": _SETS,
     "op3_preference_format": _PREFERENCE,
     "op9_url_filters": _LISTS,
     "op10_embedding_dedup": _VECTORS,
+    "op13_substring_dedup": _PASSAGES,
 }
