@@ -74,6 +74,16 @@ def chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, np.n
         first = last
 
 
+def pieces(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch, some megabytes of one column's texts at a time."""
+    _, bounds = flat(batch.column(column))
+    first = 0
+    while first < batch.num_rows:
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + 4 * CHUNK_BYTES, "right")) - 1)
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def runs(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(starts, ends) of the runs of True; none crosses a bound."""
     if not inside.size:

@@ -262,23 +262,13 @@ def _without(ids: pa.Array, texts: pa.Array, size: int, covered: np.ndarray, hea
     return pa.RecordBatch.from_arrays([ids, pa.array(n_words), pa.array(removed), kept], ["id", "n_words", "n_removed", "kept"])
 
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Rows of a batch, some megabytes of text at a time."""
-    sizes = np.cumsum([len(t.as_buffer()) if t.is_valid else 0 for t in batch.column(1)])
-    first = 0
-    while first < batch.num_rows:
-        last = max(first + 1, int(np.searchsorted(sizes, (sizes[first - 1] if first else 0) + 4 * arrays.CHUNK_BYTES, "right")))
-        yield batch.slice(first, last - first)
-        first = last
-
-
 def cut(size: int, heavy):
     """mapInArrow function over (id, text): texts that no covered place came back to."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.empty(0, np.uint64)
         for batch in batches:
-            for piece in _pieces(batch):
+            for piece in arrays.pieces(batch, 1):
                 yield _without(piece.column(0), piece.column(1), size, none, heavy.value)
 
     return read
@@ -304,7 +294,7 @@ def cut_covered(size: int, heavy):
                     if parts:
                         covered, parts = np.unique(np.concatenate([covered, *parts])), []
                     rows = pa.RecordBatch.from_arrays([column[c].slice(texts_at, last - texts_at) for c in ("id", "text")], ["id", "text"])
-                    for piece in _pieces(rows):
+                    for piece in arrays.pieces(rows, 1):
                         yield _without(piece.column(0), piece.column(1), size, covered, heavy.value)
 
     return read

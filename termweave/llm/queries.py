@@ -12,6 +12,7 @@ from termweave.llm import (
     decontaminate,
     language_id,
     packing,
+    periodic_runs,
     pii,
     prefix_trees,
     preference,
@@ -151,6 +152,38 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """`docs` with a repeated tail in every tenth text: from word a on, its next p words again and again."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all("text", F.lit("([^\\x20\\x09-\\x0D]+)"))
+    n = F.size("_words").cast("long")
+    a = g % n
+    p = 1 + F.floor((n - F.col("_a")) / (3 + g % 8))
+    turned = F.transform("_words", lambda w, i: F.when(i < F.col("_a"), w).otherwise(F.get("_words", (F.col("_a") + (i - F.col("_a")) % F.col("_p")).cast("int"))))
+    chosen = (h % 10 == 0) & F.col("text").isNotNull()
+    turn = docs.withColumn("_words", F.when(chosen, words)).withColumn("_a", F.when(n > 0, a)).withColumn("_p", p)
+    return turn.select("doc_id", F.when(F.col("_a").isNotNull(), F.array_join(turned, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, every tenth with a repeated tail, and what is left without repeats."""
+    found = periodic_runs.find_runs(with_periods(read(spark, sf_dir, "documents", "doc_id", "text")))
+    found = found.withColumn("top", periodic_runs.strongest())
+    lines = F.transform("runs", lambda r: F.concat(r.start, F.lit(","), r.length, F.lit(","), r.period, F.lit("\n")))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 @query
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the passages of 13 words that start in an earlier one."""
