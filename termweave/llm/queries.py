@@ -18,12 +18,13 @@ from termweave.llm import (
     preference,
     repeats,
     set_join,
+    spelling,
     toxicity,
     url_lists,
     vector_index,
 )
 from termweave.llm.queries_sql import SQL
-from termweave.llm.store import short_batches
+from termweave.llm.store import short_batches, stored
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -184,6 +185,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, with slips, that occur twice, and the more frequent word that each is a variant of."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    words = stored(spelling.count_words(docs, slip=31).where("n >= 2"), "words")
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the passages of 13 words that start in an earlier one."""
