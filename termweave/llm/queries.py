@@ -25,6 +25,7 @@ from termweave.llm import (
 )
 from termweave.llm.queries_sql import SQL
 from termweave.llm.store import short_batches, stored
+from termweave.operators import index
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -68,7 +69,7 @@ def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Conversations share the turns before the fork and whatever follows that is equal.
     """
-    turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").where("conv_id >= 0")
+    turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     chosen = turns.withColumnRenamed("conv_id", "pair_id")
     forks_at = 1 + F.col("pair_id") % 3
     head = chosen.where(F.col("turn") < forks_at)
@@ -123,12 +124,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dated_lists(pages: DataFrame, events: DataFrame) -> DataFrame:
     """Entries (list, pattern, action, at): events of a user add hosts of pages to lists, or take them off.
 
-    A host is that of the users whose number agrees, modulo 97, with its first page; views put it on
+    Hosts are numbered by name, and an event is for the host that its user's number leads to. Views put it on
     the block list, clicks on the allow list, and all else removes it from either.
     """
-    hosts = pages.select(url_lists.host_of("url").alias("pattern"), "page_id").groupBy("pattern").agg(F.min("page_id").alias("first_page"))
-    hosts = hosts.where("pattern IS NOT NULL").withColumn("slot", F.col("first_page") % 97)
-    dated = events.select((F.col("user_id") % 97).alias("slot"), "event_type", F.col("ts").alias("at"), "event_id")
+    hosts = pages.select(url_lists.host_of("url").alias("pattern")).where("pattern IS NOT NULL").distinct()
+    hosts = index.number_rows(hosts, "pattern").withColumn("slot", F.col("row_number") - 1)
+    n = hosts.agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    dated = events.select(F.pmod(F.coalesce("user_id", F.lit(0)) * 7_919, n).alias("slot"), "event_type", F.col("ts").alias("at"), "event_id")
     listed = dated.join(hosts, "slot")
     on = F.when(F.col("event_type") == "view", "block").when(F.col("event_type") == "click", "allow")
     both = F.when(on.isNotNull(), F.array(on)).otherwise(F.array(F.lit("block"), F.lit("allow")))

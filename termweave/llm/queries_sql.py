@@ -27,7 +27,7 @@ _SETS = f"""WITH RECURSIVE
 _TURN = "PARTITION BY pair_id, segment, part ORDER BY turn, role, text"
 _BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 _PREFERENCE = f"""WITH
-    chosen AS (SELECT conv_id AS pair_id, turn, role, text FROM conversations WHERE conv_id >= 0),
+    chosen AS (SELECT conv_id AS pair_id, turn, role, text FROM conversations),
     rejected AS (SELECT * FROM chosen WHERE turn < 1 + pair_id % 3
         UNION ALL SELECT pair_id - 1, turn, role, text FROM chosen WHERE pair_id >= 1 AND turn >= 1 + (pair_id - 1) % 3),
     both_sides AS (SELECT pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, side
@@ -53,8 +53,10 @@ _HOST = r"""nullif(lower(regexp_replace(regexp_replace(regexp_replace(
 _LISTS = f"""WITH
     named AS (SELECT page_id, {_HOST} AS host,
         (SELECT min(ts) FROM events) + to_minutes(page_id * 7919 % 40000) AS fetched_at FROM pages),
-    hosts AS (SELECT host AS pattern, min(page_id) % 97 AS slot FROM named WHERE host IS NOT NULL GROUP BY 1),
-    listed AS (SELECT pattern, event_type, ts AS since FROM events JOIN hosts ON user_id % 97 = slot),
+    hosts AS (SELECT pattern, row_number() OVER (ORDER BY pattern) - 1 AS slot, count(*) OVER () AS n
+        FROM (SELECT DISTINCT host AS pattern FROM named WHERE host IS NOT NULL)),
+    listed AS (SELECT pattern, event_type, ts AS since FROM events
+        JOIN hosts ON ((coalesce(user_id, 0) * 7919) % n + n) % n = slot),
     entries AS (SELECT CASE event_type WHEN 'view' THEN 'block' ELSE 'allow' END AS list, pattern, true AS active, since
             FROM listed WHERE event_type IN ('view', 'click')
         UNION ALL SELECT unnest(['block', 'allow']), pattern, false, since FROM listed WHERE event_type NOT IN ('view', 'click')),

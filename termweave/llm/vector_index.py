@@ -14,8 +14,8 @@ and visitors go to each block, so no task holds more than a block. Of a block co
 spanning set of links, at most one a vector, never all pairs. Codebooks are fitted on a bounded sample;
 every vector is indexed.
 
-Null and zero vectors, vectors with null or non-finite components, and vectors that are not as long as most
-link with nothing and are components of their own. Rows with a null id are left out of linking. Ties between cells go
+Null and zero vectors and vectors with null or non-finite components link with nothing and are components of their own. Vectors of
+different lengths do not compare, so each length has an index of its own; they should be few. Rows with a null id are left out of linking. Ties between cells go
 to the lower number. Rows that share an id are one node. Extra columns are not read.
 """
 
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -49,6 +50,8 @@ BLOCK = 2_000
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; the largest component is scaled to 1 first, so that no square is too large or too small."""
+    vectors = vectors / np.abs(vectors).max(axis=1, initial=0, keepdims=True)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
@@ -287,20 +290,24 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", column: str = "embe
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(column).cast("array<double>").alias("embedding"))
     whole = F.col("embedding").isNotNull() & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     whole = F.coalesce(whole & F.exists("embedding", lambda x: x != 0), F.lit(False)) & F.col("id").isNotNull()
-    lengths = rows.where(whole).groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").head()
-    dim = lengths["dim"] if lengths else 0
-    fit_rows = rows.where(whole & (F.size("embedding") == dim))
-    distinct = stored(fit_rows.groupBy("embedding").agg(F.min("id").alias("id"), F.count_distinct("id").alias("n")).select("id", "n", "embedding"), "vectors")
-    members = fit_rows.join(distinct.withColumnRenamed("id", "rep"), "embedding").select("id", "rep", "n")
-    alone = rows.where(~whole | (F.size("embedding") != dim)).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
-    if dim < 2 or not lengths:
+    alone = rows.where(~whole).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
+    found = [alone]
+    for row in rows.where(whole).select(F.size("embedding").alias("dim")).distinct().orderBy("dim").collect():
+        found.append(_of_length(rows.where(whole & (F.size("embedding") == row["dim"])), row["dim"], threshold, block))
+    return _finish(reduce(DataFrame.unionByName, found))
+
+
+def _of_length(fit_rows: DataFrame, dim: int, threshold: float, block: int) -> DataFrame:
+    """(id, n_links, component) of usable vectors of one length."""
+    if dim < 2:
         # One component: every pair has a cosine of 1 or -1.
-        sign = fit_rows.select("id", (F.element_at("embedding", 1) > 0).alias("up")) if dim else rows.where("false").select("id", F.lit(True).alias("up"))
+        sign = fit_rows.select("id", (F.element_at("embedding", 1) > 0).alias("up"))
         sums = sign.groupBy("up").agg(F.min("id").alias("component"), (F.count_distinct("id") - 1).alias("n_links"))
-        return _finish(alone.unionByName(sign.join(sums, "up").select("id", "n_links", "component")))
-
+        return sign.join(sums, "up").select("id", "n_links", "component")
+    distinct = stored(fit_rows.groupBy("embedding").agg(F.min("id").alias("id"), F.count_distinct("id").alias("n")).select("id", "n", "embedding"), "vectors")
+    members = fit_rows.join(distinct.withColumnRenamed("id", "rep"), "embedding").select("id", "rep", "n")
     books = fit(distinct.select("id", "embedding"), dim, threshold)
-    shared = vectors.sparkSession.sparkContext.broadcast(books)
+    shared = fit_rows.sparkSession.sparkContext.broadcast(books)
     placed = stored(distinct.mapInArrow(_placed(books, dim, shared), "id LONG, n LONG, embedding ARRAY<DOUBLE>, cells ARRAY<LONG>"), "placed")
     crowd = placed.groupBy(F.col("cells")[0].alias("cell")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("salts"))
     crowd = stored(crowd, "cells")
@@ -313,10 +320,9 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", column: str = "embe
     found = stored(both.mapInArrow(_compare(dim, books.visits, threshold), "is_link BOOLEAN, a LONG, b LONG"), "found")
     links = found.where("NOT is_link").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("links"))
     tied = components(found.where("is_link").select("a", "b")).withColumnRenamed("id", "rep")
-    named = members.join(links, "rep", "left").join(tied, "rep", "left").select(
+    return members.join(links, "rep", "left").join(tied, "rep", "left").select(
         "id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component")
     )
-    return _finish(alone.unionByName(named))
 
 
 def _finish(found: DataFrame) -> DataFrame:

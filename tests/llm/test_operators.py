@@ -486,6 +486,20 @@ def test_vectors_of_an_empty_table(spark):
     assert vector_index.near_duplicates(table).count() == 0
 
 
+def test_vectors_of_other_lengths_and_with_large_components(spark):
+    """Each length is compared with itself, and no square overflows or vanishes."""
+    rng = np.random.default_rng(4)
+    rows = [(k, rng.normal(size=6).tolist()) for k in range(30)]
+    rows += [(100, [1.0, 2.0, 3.0]), (101, [1.0, 2.0, 3.0]), (102, [2.0, 4.0, 6.1]), (103, [-1.0, 0.0, 0.0])]
+    rows += [(200, [1e200, 2e200, 0.0, 0.0, 0.0, 0.0]), (201, [1.1e200, 2e200, 0.0, 0.0, 0.0, 0.0]), (202, [1e-200, 2e-200, 0.0, 0.0, 0.0, 0.0])]
+    rows += [(300, [5.0]), (301, [7.0]), (302, [-7.0]), (303, []), (304, [0.0, 0.0, 0.0])]
+    got = {r.id: (r.n_links, r.component) for r in vector_index.near_duplicates(spark.createDataFrame(rows, "vec_id LONG, embedding ARRAY<DOUBLE>")).collect()}
+    assert [got[k] for k in (100, 101, 102, 103)] == [(2, 100)] * 3 + [(0, 103)]
+    assert [got[k] for k in (200, 201, 202)] == [(2, 200)] * 3
+    assert [got[k] for k in (300, 301, 302, 303, 304)] == [(1, 300), (1, 300), (0, 302), (0, 303), (0, 304)]
+
+
+
 def test_traversal_visits_cells_in_order():
     rng = np.random.default_rng(11)
     books = vector_index.Codebooks(rng.normal(size=(9, 3)), rng.normal(size=(7, 3)))
