@@ -108,9 +108,29 @@ HTML_MARKUP = [
     (r"&amp;", "&"),
     (r"[ \t\r\n]+", " "),
 ]
+# The same for all named entities but &amp;, in one pass over a text.
+_NAMED = {"nbsp": " ", "lt": "<", "gt": ">", "quot": '"', **{name[1:-1]: char for name, char in _LETTER_ENTITIES}}
 _NUMERIC = r"(?i)^(x[0-9a-f]{1,6}|[0-9]{1,7});"
 
 
+def decode_names(text: Column) -> Column:
+    """`text` with named entities as their characters, other names as a space, and &amp; as it is.
+
+    The text is cut at each & once, and the name that follows is looked up.
+    """
+    parts = F.split(text, "&")
+    known = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+
+    def decode(part: Column) -> Column:
+        name = F.regexp_extract(part, "^([A-Za-z]+);", 1)
+        char = F.coalesce(F.try_element_at(known, name), F.lit(" "))
+        stays = (name == "") | name.isin("amp", "Amp")
+        return F.when(stays, F.concat(F.lit("&"), part)).otherwise(F.concat(char, F.substring(part, F.length(name) + 2, F.length(part))))
+
+    first, rest = F.slice(parts, 1, 1), F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    return F.when(text.contains("&"), F.array_join(F.concat(first, F.transform(rest, decode)), "")).otherwise(text)
+
+
 def decode_numbers(text: Column) -> Column:
     """`text` with numeric entities (&#233; &#xe9;) as their characters; those of no character become a space."""
     parts = F.split(text, "&#")
@@ -134,10 +154,14 @@ def html_title(html: Column | str) -> Column:
 def strip_markup(html: Column | str) -> Column:
     """The text of an HTML page without scripts, comments, tags and entities."""
     text = F.col(html) if isinstance(html, str) else html
+    named = False
     for pattern, replacement in HTML_MARKUP:
         if pattern == "&amp;":
             text = decode_numbers(text)
-        text = F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
+        if pattern.startswith("&") and pattern != "&amp;":
+            text, named = (text if named else decode_names(text)), True
+        else:
+            text = F.regexp_replace(text, F.lit(pattern), F.lit(replacement))
     return F.trim(text)
 
 

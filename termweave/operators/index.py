@@ -16,33 +16,39 @@ BLOCK_DOCS = 1 << 16
 
 
 def count_terms(docs: DataFrame, tokens: Column, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """(keys, term, tf, doc_len) for every distinct token of a row.
+    """(keys, term, tf, doc_len) for every distinct token of a row."""
+    return counted_rows(docs, tokens, keys).select(*keys, "doc_len", F.inline("entries")).select(*keys, "term", "tf", "doc_len")
+
+
+def counted_rows(docs: DataFrame, tokens: Column, keys: Sequence[str] = ("doc_id",), empty: bool = False) -> DataFrame:
+    """(keys, doc_len, entries ARRAY<STRUCT<term, tf>>) of rows with tokens; with `empty` of all rows.
 
     A document is one row, so its tokens are counted inside the row (sort, then read
     off the runs): nothing is shuffled. The arrays pass through explode(array(...)),
     which keeps the optimizer from pasting the tokenizer into the lambdas.
     """
     keys = list(keys)
-    in_order = docs.select(*keys, F.explode(F.array(F.sort_array(tokens))).alias("words")).where("size(words) > 0")
+    in_order = docs.select(*keys, F.explode(F.array(F.sort_array(tokens))).alias("words"))
+    if not empty:
+        in_order = in_order.where("size(words) > 0")
     run_ends = in_order.select(
         *keys,
         "words",
         F.explode(
             F.expr(
-                "array(filter(sequence(0, size(words) - 1), i -> i = size(words) - 1 or words[i] <> words[i + 1]))"
+                "array(filter(if(size(words) > 0, sequence(0, size(words) - 1), array()),"
+                " i -> i = size(words) - 1 or words[i] <> words[i + 1]))"
             )
         ).alias("ends"),
     )
     return run_ends.select(
         *keys,
         F.size("words").cast("long").alias("doc_len"),
-        F.explode(
-            F.expr(
-                "transform(ends, (last, n) -> struct(words[last] as term,"
-                " cast(last - if(n > 0, ends[n - 1], -1) as long) as tf))"
-            )
-        ).alias("entry"),
-    ).select(*keys, "entry.term", "entry.tf", "doc_len")
+        F.expr(
+            "transform(ends, (last, n) -> struct(words[last] as term,"
+            " cast(last - if(n > 0, ends[n - 1], -1) as long) as tf))"
+        ).alias("entries"),
+    )
 
 
 def max_tf(docs: DataFrame, tokens: Column) -> DataFrame:

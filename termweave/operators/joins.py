@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a query side is sent to every executor.
+# Rows up to which a run is sent to every executor.
 BROADCAST_ROWS = 500_000
-# Parts a hot term is cut into where the query side is larger than that.
-SALTS = 32
+# Bytes up to which the optimizer's size of a query side lets it be sent to every executor.
+BROADCAST_BYTES = 32_000_000
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
@@ -16,16 +18,15 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def join_by_term(large: DataFrame, small: DataFrame, fits: bool, salts: int = SALTS) -> DataFrame:
-    """Inner join on `term`: `small` is broadcast where it `fits`, else both sides shuffle with salted terms.
+def plan_bytes(df: DataFrame) -> int:
+    """The size that the optimizer knows of a plan, from the sizes of its files; starts no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def join_by_term(large: DataFrame, small: DataFrame, fits: bool, on: Sequence[str] = ("term",)) -> DataFrame:
+    """Inner join on the term: `small` is broadcast where it `fits`.
 
-    In the shuffle every term is cut into `salts` parts by document, so the postings of
-    a term that is in every document spread over that many tasks.
+    Otherwise both sides shuffle, and adaptive execution cuts the postings of a term that is in every
+    document into parts, each with a copy of its query rows.
     """
-    if fits:
-        return large.join(F.broadcast(small), "term")
-    if salts == 1:
-        return large.join(small, "term")
-    salted = large.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
-    copies = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, ["term", "salt"]).drop("salt")
+    return large.join(F.broadcast(small) if fits else small, list(on))

@@ -18,9 +18,11 @@ from termweave.functions.scoring import (
     rounded,
 )
 from termweave.operators.index import count_terms
-from termweave.operators.joins import BROADCAST_ROWS, SALTS, join_by_term
+from termweave.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, join_by_term, plan_bytes
 
 Scalar = Column | float | int
+# The bin of scores that have no logarithm, below all others.
+NO_SCORE = -(1 << 40)
 
 
 def query_terms(
@@ -38,23 +40,23 @@ def match(
     terms: DataFrame,
     postings: DataFrame,
     stats: DataFrame | None = None,
-    fits: bool = False,
-    salts: int = SALTS,
     enrich: Callable[[DataFrame], DataFrame] | None = None,
+    on: Sequence[str] = ("term",),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """(known, found): the query terms of the index with their df, and one row per known term and document with it.
 
-    Query terms that `fits` says are few go to every task, first to the term statistics,
-    then (no more rows than before, since the statistics have one row per term) to the
-    postings, which are not shuffled. Otherwise both joins shuffle, with the postings of
-    a term salted. `enrich` adds columns to the known terms before they meet the postings.
+    The query terms go to every task where the optimizer knows them to be small: to the term statistics, then (no
+    more rows than before, since the statistics have one row per term) to the postings, which are not
+    shuffled. Otherwise both joins shuffle. `enrich` adds columns to the known terms before they meet the postings.
     """
+    fits = plan_bytes(terms) <= broadcast_bytes
     known = terms
     if stats is not None:
-        known = join_by_term(stats.select("term", "df"), terms, fits, salts=1)
+        known = join_by_term(stats.select("term", "df"), terms, fits)
     if enrich is not None:
         known = enrich(known)
-    return known, join_by_term(postings, known, fits, salts)
+    return known, join_by_term(postings, known, fits, on)
 
 
 def top_n(run: DataFrame, n: int, by: Sequence[str] = ("query_id",)) -> DataFrame:
@@ -67,17 +69,22 @@ def top_n(run: DataFrame, n: int, by: Sequence[str] = ("query_id",)) -> DataFram
     return run.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-def top_by(run: DataFrame, depths: DataFrame, salts: int = SALTS) -> DataFrame:
+def top_by(run: DataFrame, depths: DataFrame) -> DataFrame:
     """The `depth` best documents of each query with their rank, for depths(query_id, depth).
 
-    The candidates of a query are cut to its depth in `salts` parts first, so that no task orders all of them.
+    A window with a column as its limit has no partial stage. So the scores of a query are counted in bins of
+    about 2 percent, with partial sums; the bin in which the depth is reached bounds the
+    scores from below, and only candidates from there on are shuffled and ordered.
     """
-    best = [F.desc("score"), "doc_id"]
-    parts = run.join(depths, "query_id").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
-    inside = F.row_number().over(Window.partitionBy("query_id", "part").orderBy(*best))
-    kept = parts.withColumn("place", inside).where("place <= depth")
-    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*best)))
-    return ranked.where("rank <= depth").drop("part", "place", "depth")
+    bin_of = F.when(F.col("score") > 0, F.floor(F.ln("score") * 50.0)).otherwise(F.lit(NO_SCORE))
+    binned = run.withColumn("bin", bin_of)
+    sizes = binned.groupBy("query_id", "bin").agg(F.count(F.lit(1)).alias("n")).join(depths, "query_id")
+    above = Window.partitionBy("query_id").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)
+    open_ = sizes.withColumn("above", F.coalesce(F.sum("n").over(above), F.lit(0))).where("above < depth")
+    least = open_.groupBy("query_id").agg(F.min("bin").alias("least"), F.first("depth").alias("depth"))
+    kept = binned.join(least, "query_id").where("bin >= least")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+    return kept.withColumn("rank", F.row_number().over(best)).where("rank <= depth").drop("bin", "least", "depth")
 
 
 def in_order(run: DataFrame) -> DataFrame:
@@ -187,10 +194,17 @@ def bm25(found: DataFrame, n_docs: Scalar, avg_len: Scalar, k1: float = 1.5, b:
 def bm25_grid(
     found: DataFrame, n_docs: Scalar, avg_len: Scalar, settings: Sequence[tuple[float, float]]
 ) -> DataFrame:
-    """(k1, b, query_id, doc_id, score) for all settings from one join of queries and postings."""
-    grid = F.array(*[F.struct(F.lit(float(k1)).alias("k1"), F.lit(float(b)).alias("b")) for k1, b in settings])
-    weight = _bm25_term(F.col("tf"), n_docs, avg_len, F.col("k1"), F.col("b"))
-    return _bm25(found.select("*", F.inline(grid)), ["k1", "b", "query_id"], weight)
+    """(k1, b, query_id, doc_id, score) for all settings from one join of queries and postings.
+
+    A setting is a sum of its own in one aggregate, so what is shuffled has a row for a query and document, not for a setting.
+    """
+    sums = [_bm25_term(F.col("tf"), n_docs, avg_len, F.lit(float(k1)), F.lit(float(b))) for k1, b in settings]
+    scores = found.groupBy("query_id", "doc_id").agg(*[rounded(F.sum(w), 5).alias(f"score_{i}") for i, w in enumerate(sums)])
+    opened = [
+        F.struct(F.lit(float(k1)).alias("k1"), F.lit(float(b)).alias("b"), F.col(f"score_{i}").alias("score"))
+        for i, (k1, b) in enumerate(settings)
+    ]
+    return scores.select("query_id", "doc_id", F.inline(F.array(*opened))).select("k1", "b", "query_id", "doc_id", "score")
 
 
 def bm25_naive(found: DataFrame, n_docs: Scalar, avg_len: Scalar, k1: float = 1.5, b: float = 0.75) -> DataFrame:

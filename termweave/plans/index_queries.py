@@ -206,7 +206,7 @@ def posting_scan(spark, sf_dir):
     f"""WITH {sql.BODY}, {sql.TITLES}, {sql.RESOLVED}, {sql.postings("anchor", "resolved", "anchor_text", "target_id")},
     fields AS (SELECT 'body' AS field, term FROM body UNION ALL SELECT 'title', term FROM title
         UNION ALL SELECT 'anchor', term FROM anchor)
-    SELECT field, {sql.bucket(tables.SEARCH_BUCKETS)} AS bucket, count(DISTINCT term) AS n_terms, count(*) AS n_postings
+    SELECT field, {sql.bucket(tables.SQL_BUCKETS)} AS bucket, count(DISTINCT term) AS n_terms, count(*) AS n_postings
     FROM fields GROUP BY 1, 2""",
 )
 def merge_posting_locations(spark, sf_dir):

@@ -9,7 +9,7 @@ from termweave.functions.scoring import bm25_idf as bm25_idf_of
 from termweave.functions.scoring import rounded
 from termweave.functions.stopwords import stop_words
 from termweave.operators import blend, index, rank
-from termweave.operators.joins import BROADCAST_ROWS, at_most
+from termweave.operators.joins import BROADCAST_BYTES, plan_bytes
 from termweave.plans import sql, tables
 from termweave.plans.registry import query
 
@@ -139,8 +139,8 @@ def cosine_matrix(spark, sf_dir):
     terms = rank.query_terms(
         tables.benchmark_queries(spark, sf_dir), stop_words("english"), text_fn.VECTORIZER_PATTERN
     )
-    fits = at_most(terms, BROADCAST_ROWS)
-    known, _ = rank.match(terms, postings, stats, fits)
+    known, _ = rank.match(terms, postings, stats)
+    fits = plan_bytes(terms) <= BROADCAST_BYTES
     return rank.cosine_of_postings(postings, stats, n_docs, rank.query_vectors(known, n_docs), fits)
 
 

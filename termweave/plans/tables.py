@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,13 +13,16 @@ from termweave.functions.scoring import rounded
 from termweave.functions.stopwords import stop_words
 from termweave.operators import graph, index
 from termweave.operators.rank import query_terms
-from termweave.session import scratch_path, shared_dir
-from termweave.sources.corpus import read_corpus, spread, write_ranks
-from termweave.sources.index_store import StoredIndex, write_index
+from termweave.session import shared_dir
+from termweave.sources.corpus import file_digest, folders, is_written, read_corpus, spread, write_ranks
+from termweave.sources.index_store import BUCKETS, StoredIndex, buckets_for, open_index, parts_for, write_documents, write_index
 
 STOPS = stop_words("all")
-# Buckets of the index that the search queries share; enough for the test sizes.
-SEARCH_BUCKETS = 8
+FIELDS = ("body", "title", "anchor")
+# Buckets of the index over the tables that the SQL is run on, which are small.
+SQL_BUCKETS = BUCKETS[0]
+# Tables that the stored index and what lies beside it are made from.
+INDEXED = ("documents", "pages", "benchmark", "labels")
 TITLE = r"^[^.\n]*"
 NAME = r"[\p{L}\p{N}_]+"
 
@@ -59,10 +65,10 @@ def benchmark_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return query_terms(benchmark_queries(spark, sf_dir), STOPS)
 
 
-def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def judge(spark: SparkSession, sf_dir: str, stored: StoredIndex) -> DataFrame:
     """(query_id, doc_id, grade): labelled good documents that share enough terms with a query, grade 2 unless toxic."""
     terms = benchmark_terms(spark, sf_dir)
-    _, found = search_index(spark, sf_dir).match(terms, "body")
+    _, found = stored.match(terms, "body")
     shared = found.groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     sizes = terms.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
     labels = read(spark, sf_dir, "labels", "doc_id", "quality", "toxic").where("quality = 1")
@@ -70,6 +76,12 @@ def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("query_id", "doc_id", (F.lit(2) - F.col("toxic")).alias("grade"))
 
 
+def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(query_id, doc_id, grade) as stored with the index."""
+    path = f"{search_index(spark, sf_dir).path}/qrels"
+    return spark.read.schema("query_id LONG, doc_id LONG, grade LONG").parquet(path)
+
+
 def name_of(text: Column | str) -> Column:
     return F.regexp_extract(F.lower(text), NAME, 0)
 
@@ -123,33 +135,27 @@ def view_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_indexes: dict[tuple[str, str], StoredIndex] = {}
-_ranks: dict[tuple[str, str], str] = {}
+def _made_from(spark: SparkSession, sf_dir: str, name: str, *table_names: str) -> str:
+    """A path under the shared folder that follows from the files of some tables: changed files have another."""
+    return f"{shared_dir(spark)}/{name}-{file_digest(spark, [f'{sf_dir}/{t}.parquet' for t in table_names])}"
 
 
 def stored_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, pagerank, 5 digits) of the order graph as written to sorted files, once per session and data set."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _ranks:
-        path = scratch_path(spark, "pagerank")
+    """(id, pagerank, 5 digits) of the order graph as written to sorted files, once per data set."""
+    path = _made_from(spark, sf_dir, "pagerank", "lineitem")
+    if not is_written(spark, path):
         write_ranks(graph.pagerank(order_edges(spark, sf_dir), rounds=6), path)
-        _ranks[key] = path
-    ranks = spark.read.schema("id LONG, pagerank DOUBLE").csv(_ranks[key])
+    ranks = spark.read.schema("id LONG, pagerank DOUBLE").csv(path)
     return ranks.select("id", rounded("pagerank", 5).alias("pagerank"))
 
 
-_postings: dict[tuple[str, str], str] = {}
-
-
 def vector_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(term, doc_id, tf) under the word pattern of the vectorizer, stored once per session and data set."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _postings:
-        path = scratch_path(spark, "vector-postings")
+    """(term, doc_id, tf) under the word pattern of the vectorizer, stored once per data set."""
+    path = _made_from(spark, sf_dir, "vector-postings", "documents")
+    if not is_written(spark, path):
         built = index.build_postings(documents(spark, sf_dir), "text", stop_words("english"), text_fn.VECTORIZER_PATTERN)
-        built.select("term", "doc_id", "tf").write.parquet(path)
-        _postings[key] = path
-    return spark.read.schema("term STRING, doc_id LONG, tf LONG").parquet(_postings[key])
+        built.select("term", "doc_id", "tf").write.mode("overwrite").parquet(path)
+    return spark.read.schema("term STRING, doc_id LONG, tf LONG").parquet(path)
 
 
 def stored_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,29 +171,50 @@ def stored_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def search_index(spark: SparkSession, sf_dir: str) -> StoredIndex:
-    """The stored index that the search queries read, built once per session and data set.
+    """The stored index that the search queries read, opened by its path or else built.
 
-    Fields: body and title of the documents, anchor text by target page. The titles
-    themselves are stored beside them.
+    The folder follows from the files of the tables. A build has a folder of its own in it and counts once it is
+    whole, so sessions that build at the same time do not disturb each other.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _indexes:
-        path = f"{shared_dir(spark)}/index-{key[0]}-{len(_indexes)}"
-        docs = documents(spark, sf_dir)
+    folder = _made_from(spark, sf_dir, "index", *INDEXED)
+    for path in folders(spark, folder):
+        if is_written(spark, f"{path}/qrels"):
+            found = open_index(spark, path, FIELDS)
+            if found:
+                return found
+    return build_search_index(spark, sf_dir, f"{folder}/{uuid.uuid4().hex}")
+
+
+def build_search_index(spark: SparkSession, sf_dir: str, path: str) -> StoredIndex:
+    """Fields body and title of the documents, and anchor text by target page.
+
+    The titles, the names of pages and the judgements are stored beside them. What does not need each other
+    runs at the same time, since most of these jobs are too small for all cores.
+    """
+    texts = read(spark, sf_dir, "documents", "doc_id", "text")
+    n_buckets = buckets_for(texts)
+    parts = parts_for(texts, n_buckets)
+
+    def title() -> None:
         document_titles(spark, sf_dir).write.mode("overwrite").parquet(f"{path}/titles")
         titles = spark.read.schema("doc_id LONG, title STRING").parquet(f"{path}/titles")
+        write_documents(titles, text_fn.tokens("title", STOPS), path, "title", n_buckets, parts)
+
+    def names() -> None:
         named_pages(spark, sf_dir).write.mode("overwrite").parquet(f"{path}/names")
-        for field, column in [("body", docs), ("title", titles)]:
-            text = "text" if field == "body" else "title"
-            write_index(
-                index.build_postings(column, text, STOPS),
-                index.doc_stats(column, text_fn.tokens(text, STOPS)),
-                path,
-                field,
-                SEARCH_BUCKETS,
-            )
+
+    def anchor() -> None:
         anchors = index.anchor_postings(resolved_links(spark, sf_dir), STOPS)
         lengths = index.doc_lengths(anchors)
-        write_index(anchors.join(lengths, "doc_id"), lengths, path, "anchor", SEARCH_BUCKETS)
-        _indexes[key] = StoredIndex(spark, path, SEARCH_BUCKETS)
-    return _indexes[key]
+        write_index(anchors.join(lengths, "doc_id"), lengths, path, "anchor", n_buckets, parts)
+
+    def body() -> None:
+        write_documents(documents(spark, sf_dir), text_fn.tokens("text", STOPS), path, "body", n_buckets, parts)
+
+    with ThreadPoolExecutor(4) as pool:
+        for job in [pool.submit(job) for job in (body, title, anchor, names)]:
+            job.result()
+    stored = StoredIndex(spark, path, n_buckets)
+    # The last table to be written says that the index is whole.
+    judge(spark, sf_dir, stored).write.mode("overwrite").parquet(f"{path}/qrels")
+    return stored

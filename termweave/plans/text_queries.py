@@ -88,12 +88,7 @@ def write_index(spark, sf_dir):
     """(bucket, n_terms, n_postings) of a body index written in 124 buckets and read back."""
     docs = tables.documents(spark, sf_dir)
     stops = stop_words("full")
-    stored = index_store.write_index(
-        index.build_postings(docs, "text", stops),
-        index.doc_stats(docs, text_fn.tokens("text", stops)),
-        scratch_path(spark, "written-index"),
-        "body",
-    )
+    stored = index_store.write_documents(docs, text_fn.tokens("text", stops), scratch_path(spark, "written-index"), "body")
     return index_store.bucket_manifest(stored)
 
 
@@ -110,13 +105,7 @@ def read_index(spark, sf_dir):
 def delete_index(spark, sf_dir):
     """Rows left after an index over the titles is written and dropped."""
     titles = tables.document_titles(spark, sf_dir)
-    stored = index_store.write_index(
-        index.build_postings(titles, "title", tables.STOPS),
-        index.doc_stats(titles, text_fn.tokens("title", tables.STOPS)),
-        scratch_path(spark, "dropped-index"),
-        "title",
-        tables.SEARCH_BUCKETS,
-    )
+    stored = index_store.write_documents(titles, text_fn.tokens("title", tables.STOPS), scratch_path(spark, "dropped-index"), "title", 8)
     index_store.delete_index(stored)
     left = stored.doc_stats().agg(F.count(F.lit(1)).alias("n_docs"))
     return stored.postings().agg(F.count(F.lit(1)).alias("n_postings")).select(
@@ -136,7 +125,7 @@ def write_pagerank(spark, sf_dir):
 
 @query(
     "bucket_stats",
-    f"""WITH {sql.BODY_STATS}, sizes AS (SELECT {sql.bucket(tables.SEARCH_BUCKETS)} AS bucket, count(*) AS n FROM body_df GROUP BY 1)
+    f"""WITH {sql.BODY_STATS}, sizes AS (SELECT {sql.bucket(tables.SQL_BUCKETS)} AS bucket, count(*) AS n FROM body_df GROUP BY 1)
     SELECT max(n) AS max_terms, min(n) AS min_terms, quantile_cont(n, 0.5)::DOUBLE AS median_terms FROM sizes""",
 )
 def bucket_stats(spark, sf_dir):

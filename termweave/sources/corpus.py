@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,3 +74,34 @@ def write_ranks(ranks: DataFrame, path: str, files: int | None = None) -> None:
     ordered = [F.desc("pagerank"), F.asc("id")]
     placed = ranks.repartitionByRange(files, *ordered) if files else ranks.repartitionByRange(*ordered)
     placed.sortWithinPartitions(*ordered).write.mode("overwrite").csv(path, compression="gzip")
+
+
+def _files(spark: SparkSession, path: str):
+    """Hadoop's view of a path, for any store that Spark reads; starts no job."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def file_digest(spark: SparkSession, paths: Sequence[str]) -> str:
+    """A name for the state of some files: it follows from their paths, sizes and times."""
+    seen = []
+    for path in paths:
+        system, where = _files(spark, path)
+        status = system.getFileStatus(where)
+        parts = system.listStatus(where) if status.isDirectory() else [status]
+        seen += [(part.getPath().toString(), part.getLen(), part.getModificationTime()) for part in parts]
+    return hashlib.sha256(repr(sorted(seen)).encode()).hexdigest()[:24]
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders in a folder, by name; none if it is not there."""
+    system, where = _files(spark, path)
+    if not system.exists(where):
+        return []
+    return sorted(part.getPath().toString() for part in system.listStatus(where) if part.isDirectory())
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to a path as a whole."""
+    system, where = _files(spark, f"{path}/_SUCCESS")
+    return system.exists(where)

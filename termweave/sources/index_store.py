@@ -5,16 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termweave.operators import rank
-from termweave.operators.index import term_stats
-from termweave.operators.joins import BROADCAST_ROWS, SALTS, at_most
+from termweave.operators.index import counted_rows, term_stats
+from termweave.operators.joins import plan_bytes
 
 N_BUCKETS = 124
-# Query terms up to which a search names them in the scan.
-NAMED_TERMS = 2000
+# Text that a bucket stands for where the number of buckets follows the corpus, and the least and most buckets.
+BUCKET_BYTES = 64_000_000
+BUCKETS = (8, 4096)
+# Parts of buckets, by document, that the postings of a field make at least, and the text that a part stands for where that needs more.
+PARTS = 32
+PART_BYTES = 256_000_000
+# The partition of postings that holds one row a document, with its length and no term.
+LENGTHS = -1
 
 
 def bucket_of(term: Column | str, n_buckets: int = N_BUCKETS) -> Column:
@@ -22,13 +29,23 @@ def bucket_of(term: Column | str, n_buckets: int = N_BUCKETS) -> Column:
     return (F.conv(F.substring(F.md5(term), 1, 8), 16, 10).cast("long") % n_buckets).cast("int")
 
 
+def buckets_for(docs: DataFrame) -> int:
+    """How many buckets suit a corpus, by the size that the optimizer knows of it."""
+    return min(BUCKETS[1], max(BUCKETS[0], plan_bytes(docs) // BUCKET_BYTES))
+
+
+def parts_for(docs: DataFrame, n_buckets: int) -> int:
+    """How many parts of a bucket suit a corpus, so that a term of every document is spread over tasks."""
+    return max(1, PARTS // n_buckets, plan_bytes(docs) // (n_buckets * PART_BYTES))
+
+
 # Given at read time, so that opening a table starts no job.
 SCHEMAS = {
     "postings": "term STRING, doc_id LONG, tf LONG, doc_len LONG, field STRING, bucket INT",
     "term_stats": "term STRING, df LONG, term_total LONG, field STRING",
-    "doc_stats": "doc_id LONG, doc_len LONG, field STRING",
-    "corpus_stats": "n_docs LONG, n_tokens LONG, n_buckets INT, field STRING",
+    "manifest": "n_docs LONG, n_tokens LONG, n_buckets INT, version INT, field STRING",
 }
+VERSION = 1
 
 
 @dataclass(frozen=True)
@@ -44,17 +61,18 @@ class StoredIndex:
         return table if field is None else table.where(F.col("field") == field).drop("field")
 
     def postings(self, field: str | None = None) -> DataFrame:
-        return self._table("postings", field)
+        return self._table("postings", field).where(F.col("bucket") > LENGTHS)
 
     def term_stats(self, field: str | None = None) -> DataFrame:
         return self._table("term_stats", field)
 
     def doc_stats(self, field: str | None = None) -> DataFrame:
-        return self._table("doc_stats", field)
+        """(doc_id, doc_len) of every document: the one partition that has no terms."""
+        return self._table("postings", field).where(F.col("bucket") == LENGTHS).drop("term", "tf", "bucket")
 
     def corpus_stats(self, field: str | None = None) -> DataFrame:
-        """(n_docs, n_tokens, n_buckets), one row per field."""
-        return self._table("corpus_stats", field)
+        """(n_docs, n_tokens, n_buckets, version), one row per field."""
+        return self._table("manifest", field)
 
     def lookup(self, name: str, field: str, terms: Sequence[str], buckets: Sequence[int] | None = None) -> DataFrame:
         """Rows of some terms; files of other buckets are not read, nor row groups that cannot have the terms."""
@@ -62,28 +80,16 @@ class StoredIndex:
         return rows if buckets is None else rows.where(F.col("bucket").isin(list(buckets)))
 
     def match(
-        self,
-        terms: DataFrame,
-        field: str,
-        named_terms: int = NAMED_TERMS,
-        broadcast_rows: int = BROADCAST_ROWS,
-        salts: int = SALTS,
-        enrich: Callable[[DataFrame], DataFrame] | None = None,
+        self, terms: DataFrame, field: str, enrich: Callable[[DataFrame], DataFrame] | None = None
     ) -> tuple[DataFrame, DataFrame]:
-        """(known, found) of query terms in a field, see `rank.match`.
+        """(known, found) of any number of query terms in a field, see `rank.match`.
 
-        Up to `named_terms` query terms are named in the scan, so that a search reads its
-        own terms and not the index; at most one term more than that comes to the driver.
-        With more, the scan is whole, and the terms are broadcast up to `broadcast_rows`.
+        The terms meet the postings on bucket and term, so Spark prunes the buckets that no term
+        is in when the job runs, and no job runs before it.
         """
-        placed = terms.select("term", bucket_of("term", self.n_buckets).alias("bucket"))
-        few = placed.limit(named_terms + 1).collect()
-        if len(few) > named_terms:
-            fits = at_most(terms, broadcast_rows)
-            return rank.match(terms, self.postings(field), self.term_stats(field), fits, salts, enrich)
-        names = sorted({row.term for row in few})
-        postings = self.lookup("postings", field, names, sorted({row.bucket for row in few}))
-        return rank.match(terms, postings, self.lookup("term_stats", field, names), fits=True, enrich=enrich)
+        placed = terms.withColumn("bucket", bucket_of("term", self.n_buckets))
+        known, found = rank.match(placed, self.postings(field), self.term_stats(field), enrich=enrich, on=("bucket", "term"))
+        return known.drop("bucket"), found.drop("bucket")
 
     def n_docs(self, field: str) -> Column:
         return self.corpus_stats(field).select("n_docs").scalar()
@@ -93,37 +99,70 @@ class StoredIndex:
 
 
 def write_index(
-    postings: DataFrame, docs: DataFrame, path: str, field: str, n_buckets: int = N_BUCKETS
+    postings: DataFrame, docs: DataFrame, path: str, field: str, n_buckets: int = N_BUCKETS, parts: int | None = None
+) -> StoredIndex:
+    """Store postings(term, doc_id, tf, doc_len) and doc_stats(doc_id, doc_len) as one field of an index."""
+    lengths = docs.select(F.lit(None).cast("string").alias("term"), "doc_id", F.lit(0).cast("long").alias("tf"), "doc_len")
+    return _store(postings.select("term", "doc_id", "tf", "doc_len").unionByName(lengths), path, field, n_buckets, parts)
+
+
+def write_documents(
+    docs: DataFrame, tokens: Column, path: str, field: str, n_buckets: int = N_BUCKETS, parts: int | None = None
 ) -> StoredIndex:
-    """Store postings(term, doc_id, tf, doc_len) and doc_stats(doc_id, doc_len) as one field of an index.
+    """Store the postings and lengths of docs(doc_id, ...) as one field of an index, in one pass over them.
 
-    REBALANCE puts the postings of a bucket together, cuts buckets that are too large
-    for a task (a term that is in every document) and joins small ones. Files are sorted
-    by term and doc_id, so that row groups of other terms are skipped. Term statistics
-    come from the stored postings, so the text is not tokenized again for them.
+    A document is tokenized once, into its terms; a row without a term goes along for its length.
     """
-    index = StoredIndex(postings.sparkSession, path, n_buckets)
+    rows = counted_rows(docs, tokens, empty=True)
+    length = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("tf")))
+    rows = rows.select("doc_id", "doc_len", F.inline(F.concat(length, F.coalesce("entries", F.array()))))
+    return _store(rows.select("term", "doc_id", "tf", "doc_len"), path, field, n_buckets, parts)
+
+
+def _store(rows: DataFrame, path: str, field: str, n_buckets: int, parts: int | None) -> StoredIndex:
+    """Write rows(term, doc_id, tf, doc_len) of a field, those without a term being the lengths of documents.
+
+    The postings of a bucket go to as many tasks as it has parts, by document, so a term that is in every
+    document is spread and all tasks have work. Files are sorted by term and doc_id, so that row
+    groups of other terms are skipped. Statistics come from the stored postings. The manifest is written last: a field without one is not there.
+    """
+    index = StoredIndex(rows.sparkSession, path, n_buckets)
+    parts = parts or max(1, PARTS // n_buckets)
 
     def store(table: DataFrame, name: str, *parts: str) -> None:
         table.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/{name}/field={field}")
 
-    bucketed = postings.select("term", "doc_id", "tf", "doc_len", bucket_of("term", n_buckets).alias("bucket"))
+    place = F.when(F.col("term").isNull(), LENGTHS).otherwise(bucket_of("term", n_buckets))
+    bucketed = rows.withColumn("bucket", place)
     store(
-        bucketed.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term", "doc_id"), "postings", "bucket"
+        bucketed.repartition("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(parts))).sortWithinPartitions("bucket", "term", "doc_id"),
+        "postings",
+        "bucket",
     )
-    store(docs.select("doc_id", "doc_len"), "doc_stats")
     store(term_stats(index.postings(field)).sortWithinPartitions("term"), "term_stats")
     totals = index.doc_stats(field).agg(
         F.count(F.lit(1)).alias("n_docs"), F.coalesce(F.sum("doc_len"), F.lit(0)).alias("n_tokens")
     )
-    store(totals.withColumn("n_buckets", F.lit(n_buckets)), "corpus_stats")
+    store(totals.withColumns({"n_buckets": F.lit(n_buckets), "version": F.lit(VERSION)}), "manifest")
     return index
 
 
+def open_index(spark: SparkSession, path: str, fields: Sequence[str] = ()) -> StoredIndex | None:
+    """The index stored at a path, or None if there is none with all of `fields` in this version."""
+    try:
+        rows = StoredIndex(spark, path).corpus_stats().where(F.col("version") == VERSION).select("field", "n_buckets").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if not rows or not set(fields) <= {row.field for row in rows}:
+        return None
+    return StoredIndex(spark, path, rows[0].n_buckets)
+
+
 def read_index(spark: SparkSession, path: str) -> StoredIndex:
     """Open a stored index; its number of buckets is read from it."""
-    row = StoredIndex(spark, path).corpus_stats().select("n_buckets").first()
-    return StoredIndex(spark, path, row.n_buckets if row else N_BUCKETS)
+    return open_index(spark, path) or StoredIndex(spark, path)
 
 
 def delete_index(index: StoredIndex) -> None:

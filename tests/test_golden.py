@@ -186,7 +186,7 @@ def test_tfidf_vectorizer(spark):
     got = vectors.collect()
     assert len({r.term for r in got}) == 10 and len(got) == 21
     assert round(max(r.weight for r in got), 3) == 0.798
-    known, _ = rank.match(terms, docs, df, fits=True)
+    known, _ = rank.match(terms, docs, df)
     scores = rank.cosine_matrix(vectors, rank.query_vectors(known, 6)).collect()
     assert len(scores) == 16 and round(max(r.score for r in scores), 3) == 0.888
 
@@ -195,7 +195,7 @@ def searched(spark, queries=QUESTIONS):
     docs = index.build_postings(texts(spark, SENTENCES), "text", ENGLISH)
     df = index.term_stats(docs)
     terms = rank.query_terms(texts(spark, queries, "query_id"), ENGLISH)
-    known, found = rank.match(terms, docs, df, fits=True)
+    known, found = rank.match(terms, docs, df)
     avg_len = sum(r.doc_len for r in docs.select("doc_id", "doc_len").distinct().collect()) / 6
     return docs, df, known, found, avg_len
 
@@ -338,7 +338,7 @@ def test_r_precision_with_more_relevant_than_k(spark):
     scores = spark.createDataFrame([(1, d, float(1000 - d)) for d in range(400)], "query_id LONG, doc_id LONG, score DOUBLE")
     qrels = spark.createDataFrame([(1, d, 2) for d in hits], "query_id LONG, doc_id LONG, grade INT")
     depth = spark.createDataFrame([(1, 150)], "query_id LONG, depth LONG")
-    run = rank.top_by(scores, depth, salts=7)
+    run = rank.top_by(scores, depth)
     assert sorted(r["rank"] for r in run.collect()) == list(range(1, 151))
     got = evaluate.evaluate(run, qrels, [40], collection_size=400).first()
     assert got.r_precision == 0.8 and got.recall == round(40 / 150, 3)

@@ -65,14 +65,45 @@ def test_lookup_reads_only_its_buckets(stored):
 def test_matching_gives_the_same_rows_on_every_way(spark, stored):
     terms = tables.benchmark_terms(spark, SF_DIR)
     columns = ["query_id", "term", "doc_id", "qtf", "tf", "df"]
-    _, named = stored.match(terms, "body")
-    _, sent = stored.match(terms, "body", named_terms=3)
-    _, salted = stored.match(terms, "body", named_terms=3, broadcast_rows=3, salts=4)
-    want = rows(named, *columns)
+    _, sent = rank.match(terms, stored.postings("body"), stored.term_stats("body"))
+    _, shuffled = rank.match(terms, stored.postings("body"), stored.term_stats("body"), broadcast_bytes=0)
+    want = rows(stored.match(terms, "body")[1], *columns)
     assert len(want) > 1000
     assert rows(sent, *columns) == want
-    assert rows(salted, *columns) == want
-    assert "salt" in plan_of(salted) and "BroadcastHashJoin" in plan_of(sent)
+    assert rows(shuffled, *columns) == want
+    assert "BroadcastHashJoin" in plan_of(sent)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan_of(shuffled.select("*"))
+        assert rows(shuffled.select("*"), *columns) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("sf, n_queries", [("sf0.001", 40), ("sf0.1", 200)])
+def test_any_number_of_queries_prunes_buckets_without_a_job(spark, stored, sf, n_queries):
+    """The same plan for few and many queries: the postings are not shuffled and only buckets of query terms are listed."""
+    queries = tables.benchmark_queries(spark, f"/root/testdata/{sf}")
+    assert queries.count() == n_queries
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "no job")
+    _, found = stored.match(rank.query_terms(queries, tables.STOPS), "body")
+    plan = plan_of(rank.bm25(found, 200, 100.0))
+    assert list(tracker.getJobIdsForGroup("planning")) == []
+    spark.sparkContext.setJobGroup("tests", "")
+    scan = plan[plan.index("doc_len") :]
+    assert "dynamicpruning" in scan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning(query_id") == 1
+
+
+def test_few_terms_read_few_files(spark, stored):
+    """Buckets without a query term are not read at all."""
+    queries = spark.createDataFrame([(1, "thnt ndst")], "query_id LONG, text STRING").where("query_id > 0")
+    _, found = stored.match(rank.query_terms(queries), "body")
+    n = found.count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert n == stored.postings("body").where(F.col("term").isin("thnt", "ndst")).count() > 0
+    assert "dynamicpruning" in plan
 
 
 def test_top_n_is_cut_before_the_shuffle(stored, spark):
@@ -197,3 +228,61 @@ def test_metrics_stay_in_range(spark):
 
     metrics = evaluate.evaluate(bm25_run(spark, SF_DIR), tables.qrels(spark, SF_DIR), [1, 5, 40]).collect()
     assert metrics and all(0 <= row[m] <= 1 for row in metrics for m in evaluate.METRICS)
+
+
+def test_documents_are_tokenized_once(spark, docs, stored, tmp_path):
+    """One pass writes postings and lengths; they are those of two passes, also for documents without a token."""
+    more = docs.unionByName(spark.createDataFrame([(-1, ""), (-2, " . ")], "doc_id LONG, text STRING"))
+    tokens = text_fn.tokens("text", tables.STOPS)
+    once = index_store.write_documents(more, tokens, str(tmp_path / "once"), "body", 16)
+    twice = index_store.write_index(index.build_postings(more, "text", tables.STOPS), index.doc_stats(more, tokens), str(tmp_path / "twice"), "body", 16)
+    for read in (lambda i: i.postings("body").drop("bucket"), lambda i: i.doc_stats("body"), lambda i: i.term_stats("body"), lambda i: i.corpus_stats("body")):
+        assert rows(read(once), *read(once).columns) == rows(read(twice), *read(once).columns)
+    assert once.doc_stats("body").where("doc_len = 0").count() >= 2
+    plan = plan_of(once.doc_stats("body"))
+    assert "(bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert rows(stored.postings("body"), "term", "doc_id", "tf") == rows(once.postings("body").where("doc_id >= 0"), "term", "doc_id", "tf")
+
+
+def test_indexes_open_by_their_path(spark, docs, tmp_path):
+    """No index, an index without a manifest, one of another version, and a whole one."""
+    path = str(tmp_path / "index")
+    assert index_store.open_index(spark, path) is None
+    index_store.write_documents(docs, text_fn.tokens("text"), path, "body", 16)
+    assert index_store.open_index(spark, path, ["body"]).n_buckets == 16
+    assert index_store.open_index(spark, path, ["body", "title"]) is None
+    stats_of = spark.read.schema(index_store.SCHEMAS["manifest"]).parquet(f"{path}/manifest")
+    stats_of.withColumn("version", F.lit(99)).write.partitionBy("field").parquet(str(tmp_path / "other" / "manifest"))
+    assert index_store.open_index(spark, str(tmp_path / "other")) is None
+
+
+def test_changed_files_have_another_name(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(path)
+    first = corpus.file_digest(spark, [path])
+    assert corpus.file_digest(spark, [path]) == first
+    spark.range(4).write.mode("overwrite").parquet(path)
+    assert corpus.file_digest(spark, [path]) != first
+
+
+def test_depths_of_their_own_cut_before_the_shuffle(spark):
+    """The best `depth` of each query, whatever the scores: ties, zeros, negative and very small ones."""
+    run = [(q, d, s) for q in range(4) for d, s in enumerate([0.0, -1.0, 1e-12, 5.0, 5.0, 4.99, 1e9] * 20)]
+    run = spark.createDataFrame(run, "query_id INT, doc_id INT, score DOUBLE")
+    depths = spark.createDataFrame([(0, 1), (1, 45), (2, 10_000), (7, 3)], "query_id INT, depth INT")
+    found = rank.top_by(run, depths)
+    best = {}
+    for q, d, s in sorted(map(tuple, run.collect()), key=lambda r: (-r[2], r[1])):
+        best.setdefault(q, []).append((d, s))
+    want = sorted((q, d, s, i + 1) for q, n in ((0, 1), (1, 45), (2, 10_000)) for i, (d, s) in enumerate(best[q][:n]))
+    assert rows(found, "query_id", "doc_id", "score", "rank") == want
+
+
+def test_settings_share_one_row_in_the_shuffle(spark, stored):
+    _, found = stored.match(tables.benchmark_terms(spark, SF_DIR), "body")
+    settings = [(1.4, 0.8), (1.6, 0.7), (2.0, 0.1)]
+    grid = rank.bm25_grid(found, 200, 100.0, settings)
+    assert plan_of(grid).count("Exchange hashpartitioning(query_id") == 1 and "partial_sum" in plan_of(grid)
+    for k1, b in settings:
+        one = rank.bm25(found, 200, 100.0, k1, b)
+        assert rows(grid.where((F.col("k1") == k1) & (F.col("b") == b)), "query_id", "doc_id", "score") == rows(one, "query_id", "doc_id", "score")
