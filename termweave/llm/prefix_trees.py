@@ -4,8 +4,8 @@ The suffixes are those of the words of all texts, cut after `size` words: what i
 what the suffix of the next word says. A suffix is a word place that has `size` words of its text before it.
 
 1. Prefixes: a pass counts the prefixes of one word, of those that are frequent the prefixes of two words, and so on. The
-   shortest prefix of a suffix that is not frequent is the root of its subtree; each subtree has at most a quarter of the
-   suffixes of a group, and a group is some subtrees (by hash of the root) that fit into memory.
+   shortest prefix of a suffix that is not frequent is the root of its subtree; each subtree has at most the
+   suffixes of a part (PART_BYTES of text), but for LEAST_COUNT in a run, and a group is some subtrees (by hash of the root) that fit into memory.
 2. Subtrees: every group gets its suffixes, as arrays of (content, document) from each part of the corpus, and puts them in
    order. Suffixes of equal content hang from one internal node of full depth. Its smallest document keeps the passage;
    in the others the words below the node are covered.
@@ -23,6 +23,7 @@ empty result. Extra columns are not read.
 from __future__ import annotations
 
 import itertools
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,19 +32,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termweave.llm import arrays
-from termweave.llm.store import by_ids, stored
 
-# Bytes of text whose suffixes make a group (some 1.2 million), and whose covered places come back to one group of texts.
-GROUP_BYTES = 8_000_000
+# Bytes of text whose suffixes make a part of the work (some 1.2 million), and whose covered places come back to one group of texts.
+PART_BYTES = 8_000_000
 BACK_BYTES = 32_000_000
-# Groups a shuffle partition has at least, so that partitions are even.
-GROUPS_A_PARTITION = 8
+# Groups that a part has, so that partitions are even, and groups of texts that a shuffle partition has at least.
+GROUPS_A_PART = 8
+BACK_A_PARTITION = 3
 # Suffixes that a task deals out at once.
 DEALT = 800_000
-# A task counts a prefix from so many places in a batch on. A frequent prefix has an eighth of a group or more, so at most
-# 8 prefixes a group and depth are frequent: this bounds what is sent (8 bytes each).
+# A task counts a prefix from so many places in a run of texts on. A frequent prefix has half a part or more, so at most
+# 2 prefixes a part and depth are frequent: this bounds what is sent (8 bytes each).
 LEAST_COUNT = 8
-HEAVY = 8
+HEAVY = 2
 
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 _ROOT = np.uint64(0x9E3779B97F4A7C15)
@@ -176,39 +177,48 @@ def deal(size: int, groups: int, heavy):
     return read
 
 
-def by_group(solve: Callable[[np.ndarray, np.ndarray], Iterator[pa.RecordBatch]]):
-    """mapInArrow function: `solve` over the keys and documents of each group, of rows in order of groups."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        last = None
-        for batch in batches:
-            for group, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and group != last:
-                    yield from solve(*(np.concatenate(x) for x in zip(*held, strict=True)))
-                    held = []
-                last = group
-                held.append(_opened(*row))
-        if held:
-            yield from solve(*(np.concatenate(x) for x in zip(*held, strict=True)))
-
-    return read
+def by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(keys, documents) of each group of rows in order of groups."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    last = None
+    for batch in filter(len, batches):
+        for group, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and group != last:
+                yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+                held = []
+            last = group
+            held.append(_opened(*row))
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
-def subtree(back: int):
-    """Function of the suffixes of a group: those that hang from a node with a smaller document, by group of texts."""
+def subtrees(back: int):
+    """mapInArrow function over dealt suffixes in order of groups: those that hang from a node with a smaller document, by group of texts."""
 
-    def solve(keys: np.ndarray, docs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def covered(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.argsort(keys)
         keys, docs = keys[order], docs[order]
         nodes = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         least = np.repeat(np.minimum.reduceat(docs, nodes), np.diff(np.append(nodes, keys.size)))
-        later = docs > least
-        if later.any():
-            keys, docs = keys[later], docs[later]
-            yield _dealt(arrays.mix(docs.view(np.uint64)) % np.uint64(back), keys, docs)
+        return keys[docs > least], docs[docs > least]
+
+    def place(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, docs = (np.concatenate(x) for x in zip(*found, strict=True))
+        return _dealt(arrays.mix(docs.view(np.uint64)) % np.uint64(back), keys, docs)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        n = 0
+        for keys, docs in by_group(batches):
+            found.append(covered(keys, docs))
+            n += found[-1][0].size
+            if n >= DEALT:
+                yield place(found)
+                found, n = [], 0
+        if n:
+            yield place(found)
 
-    return solve
+    return read
 
 
 def _pair(keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -262,18 +272,6 @@ def _without(ids: pa.Array, texts: pa.Array, size: int, covered: np.ndarray, hea
     return pa.RecordBatch.from_arrays([ids, pa.array(n_words), pa.array(removed), kept], ["id", "n_words", "n_removed", "kept"])
 
 
-def cut(size: int, heavy):
-    """mapInArrow function over (id, text): texts that no covered place came back to."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.empty(0, np.uint64)
-        for batch in batches:
-            for piece in arrays.pieces(batch, 1):
-                yield _without(piece.column(0), piece.column(1), size, none, heavy.value)
-
-    return read
-
-
 def cut_covered(size: int, heavy):
     """mapInArrow function over rows in order of (grp, text or not): covered places of a group of texts, then the texts."""
 
@@ -300,11 +298,18 @@ def cut_covered(size: int, heavy):
     return read
 
 
-def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        docs = [_opened(*row)[1] for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
-        if docs:
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(docs)))], ["id"])
+def place_texts(back: int):
+    """mapInArrow function: rows with the group that covered places come back to; those without an id anywhere."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).fill_null(0).to_numpy().astype(np.int64)
+            group = (arrays.mix(ids.view(np.uint64)) % np.uint64(back)).astype(np.int64)
+            none = np.flatnonzero(batch.column(0).is_null().to_numpy(zero_copy_only=False))
+            group[none] = [zlib.crc32(batch.column(1)[k].as_buffer() or b"") % back for k in none.tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(group), *batch.columns], ["grp", "id", "text"])
+
+    return read
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 13) -> DataFrame:
@@ -313,13 +318,14 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     n_bytes = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    groups = max(GROUPS_A_PARTITION * partitions, -(-n_bytes // GROUP_BYTES))
-    back = max(GROUPS_A_PARTITION * partitions, -(-n_bytes // BACK_BYTES))
-
-    counted = rows.mapInArrow(count_prefixes(size, 1 / (2 * HEAVY * groups)), "depth INT, prefix LONG, n LONG")
-    counted = stored(counted.groupBy("depth", "prefix").agg(F.sum("n").alias("n")), "prefixes")
-    # Every suffix has a prefix of one word, but only frequent ones are counted, so a group's share is taken of the bytes: 7 a word.
-    often = counted.where(F.col("n") >= max(LEAST_COUNT, n_bytes / 7 / groups / HEAVY)).toPandas()
+    parts = max(partitions, -(-n_bytes // PART_BYTES))
+    groups = GROUPS_A_PART * parts
+    back = max(BACK_A_PARTITION * partitions, -(-n_bytes // BACK_BYTES))
+
+    counted = rows.mapInArrow(count_prefixes(size, 1 / (2 * HEAVY * parts)), "depth INT, prefix LONG, n LONG")
+    counted = counted.groupBy("depth", "prefix").agg(F.sum("n").alias("n"))
+    # Every suffix has a prefix of one word, but only frequent ones are counted, so a part's share is taken of the bytes: 7 a word.
+    often = counted.where(F.col("n") >= max(LEAST_COUNT, n_bytes / 7 / parts / HEAVY)).toPandas()
     heavy = [np.sort(often.loc[often["depth"] == depth, "prefix"].to_numpy(np.int64).view(np.uint64)) for depth in range(1, size + 1)]
     sent = spark.sparkContext.broadcast(heavy)
     nodes = (np.empty(0, np.uint64), np.empty(0, np.int64))
@@ -331,24 +337,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", siz
     nodes = spark.sparkContext.broadcast(nodes)
 
     dealt = rows.mapInArrow(deal(size, groups, sent), DEALT_ROWS).repartition("grp").sortWithinPartitions("grp")
-    covered = stored(dealt.mapInArrow(by_group(subtree(back)), DEALT_ROWS), "covered")
-    touched = covered.select("base", "keys", "docs").mapInArrow(_ids, "id LONG")
-    # Spark's pmod of a signed hash and numpy's of an unsigned one differ; the group of a text is found in numpy as well.
-    touched = stored(touched.distinct(), "touched")
-    texts = by_ids(rows, "id", touched, "left_semi").mapInArrow(_placed(back), "grp LONG, id LONG, text STRING")
-    both = covered.withColumn("is_text", F.lit(False)).unionByName(texts.withColumn("is_text", F.lit(True)), allowMissingColumns=True)
-    both = both.repartition("grp").sortWithinPartitions("grp", "is_text")
-    others = by_ids(rows, "id", touched, "left_anti")
-    return both.mapInArrow(cut_covered(size, nodes), KEPT).unionByName(others.mapInArrow(cut(size, nodes), KEPT))
-
-
-def _placed(back: int):
-    """mapInArrow function: rows with the group that their covered places come back to."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0).to_numpy().astype(np.int64)
-            group = (arrays.mix(ids.view(np.uint64)) % np.uint64(back)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(group), *batch.columns], ["grp", "id", "text"])
-
-    return read
+    covered = dealt.mapInArrow(subtrees(back), DEALT_ROWS).withColumn("is_text", F.lit(False))
+    texts = rows.mapInArrow(place_texts(back), "grp LONG, id LONG, text STRING").withColumn("is_text", F.lit(True))
+    both = covered.unionByName(texts, allowMissingColumns=True).repartition("grp").sortWithinPartitions("grp", "is_text")
+    return both.mapInArrow(cut_covered(size, nodes), KEPT)

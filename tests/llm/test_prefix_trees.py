@@ -61,11 +61,11 @@ def test_passages(spark, size):
 def test_one_group_and_many(spark, monkeypatch):
     rows = passages(9)
     want = sorted(expected(rows, 13), key=str)
-    monkeypatch.setattr(prefix_trees, "GROUPS_A_PARTITION", 1)
+    monkeypatch.setattr(prefix_trees, "GROUPS_A_PART", 1)
     monkeypatch.setattr(prefix_trees, "LEAST_COUNT", 1_000)
     assert got(table(spark, rows)) == want
     monkeypatch.setattr(prefix_trees, "LEAST_COUNT", 1)
-    monkeypatch.setattr(prefix_trees, "GROUP_BYTES", 50)
+    monkeypatch.setattr(prefix_trees, "PART_BYTES", 50)
     monkeypatch.setattr(prefix_trees, "DEALT", 100)
     assert got(table(spark, rows)) == want
 
