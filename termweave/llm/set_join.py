@@ -9,10 +9,11 @@
    in blocks, so pairs of one leader are decided. All sets tied by links are one class.
 4. Index skipping: in a list, entries with the same size, place, class, leader and number in lists are one block. A
    pair of blocks is skipped if the sizes or the places are too far apart for the required overlap, if
-   too few shingles of either are in lists, or if class or leader is the same. What remains is summed by pair, and a pair whose prefixes share too few shingles for the required overlap goes.
-5. Answer skipping: of the pairs left only their leaders are compared. With the kept
-   differences that overlap bounds the overlap of every pair below from both sides; most are
-   accepted or refused by the bounds, and only the rest are compared themselves.
+   too few shingles of either are in lists, or if class or leader is the same. What remains stands as its pair of
+   leaders, once, however many sets they have, and goes if the prefixes share too few shingles for any of them.
+5. Answer skipping: the pairs left are compared. With the kept differences the overlap of two leaders bounds
+   that of every pair below. Where the widest bounds of both groups refuse, or accept and each group is one class, no set is
+   looked at. Otherwise the sets of the smaller group that the bounds leave open visit the blocks of the other, as in 3.
 
 A set is an array of 64-bit shingle hashes. Null or empty texts have no shingle and link with nothing;
 rows that share an id are one node; rows without an id come out with a null component. Ties
@@ -42,7 +43,7 @@ COUNTED = 1_000_000
 # A set has a leader if one is proposed by every third place of its prefix.
 LEADER_SHARE = 3
 # Sets of one leader in a block.
-GROUP_BLOCK = 1_000
+GROUP_BLOCK = 250
 # Pairs made at once, and ids up to which (4 MB) a list of ids is sent to every executor.
 PAIRS = 1_000_000
 SENT_IDS = 500_000
@@ -226,9 +227,11 @@ def group_links(num: int, den: int):
 
 
 def candidate_pairs(num: int, den: int):
-    """mapInArrow function: (a, b, shared) of entries sorted by (token, size, place, class, leader), by blocks.
+    """mapInArrow function: (a, b, need, led, shared) of entries sorted by (token, size, place, class, leader), by blocks.
 
-    Pairs of one class are tied, and pairs of one leader decided already. Only entries of the open list whose size can still matter are held.
+    A set that has a leader stands as its leader, and `led` tells whether either has or is one. `shared` counts the shingles that any sets of
+    the pair meet in, and linked ones meet in `need` at least. Pairs of one class are tied, and pairs of one leader decided
+    already. Only entries of the open list whose size can still matter are held.
     """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,17 +240,16 @@ def candidate_pairs(num: int, den: int):
         n_found = 0
 
         def report() -> pa.RecordBatch:
-            both = np.concatenate(found)
-            both = both[np.lexsort((both[:, 1], both[:, 0]))]
-            first = np.ones(len(both), bool)
-            first[1:] = (both[1:] != both[:-1]).any(1)
-            at = np.flatnonzero(first)
-            counts = np.diff(np.append(at, len(both)))
-            both = both[at]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.ascontiguousarray(both[:, k])) for k in range(4)] + [pa.array(counts)],
-                ["a", "b", "size_a", "size_b", "shared"],
-            )
+            rows = np.concatenate(found)
+            rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))]
+            # A pair counts once a shingle, with the least that any of its sets need.
+            same = (rows[1:, :3] == rows[:-1, :3]).all(1)
+            rows = rows[np.append(True, ~same)]
+            first = np.flatnonzero(np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(1)))
+            counts = np.diff(np.append(first, len(rows)))
+            need, led = np.minimum.reduceat(rows[:, 3], first), np.maximum.reduceat(rows[:, 4], first) > 0
+            columns = [rows[first, 0], rows[first, 1], need, led, counts]
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], ["a", "b", "need", "led", "shared"])
 
         for batch in filter(len, batches):
             new = _columns(batch)
@@ -262,7 +264,6 @@ def candidate_pairs(num: int, den: int):
             if n_held < token.size:
                 change[n_held] = True
             starts = np.flatnonzero(change)
-            ends = np.append(starts[1:], token.size)
             b_token, b_size, b_place, b_root, b_ref, b_listed = (v[starts] for v in (token, size, place, group, x["ref"], x["listed"]))
             is_new = starts >= n_held
             need = -(-b_size * num // den)
@@ -295,21 +296,17 @@ def candidate_pairs(num: int, den: int):
                     after = -(-np.maximum(b_size[left], b_size[right]) * num // den) - 1
                     ok &= np.minimum(b_listed[left], b_listed[right]) + after >= required
                     ok &= (b_root[left] != b_root[right]) & (b_ref[left] != b_ref[right])
-                    left, right = left[ok], right[ok]
-                    single = (ends[left] - starts[left] == 1) & (ends[right] - starts[right] == 1)
-                    sides = [(starts[left[single]], starts[right[single]])] if single.any() else []
-                    for i, j in zip(left[~single], right[~single], strict=True):
-                        li = np.arange(starts[i], ends[i])
-                        rj = np.arange(starts[j], ends[j])
-                        sides.append((np.repeat(li, rj.size), np.tile(rj, li.size)))
-                    for one, two in sides:
-                        swap = x["id"][one] > x["id"][two]
-                        a, b = np.where(swap, two, one), np.where(swap, one, two)
-                        found.append(np.stack([x["id"][a], x["id"][b], size[a], size[b]], 1))
-                        n_found += a.size
-                        if n_found >= PAIRS:
-                            yield report()
-                            found, n_found = [], 0
+                    left, right, need = left[ok], right[ok], (required - after)[ok]
+                    one, two = starts[left], starts[right]
+                    # Blocks of sets without a leader have one entry.
+                    led = x["led"][one] | x["led"][two]
+                    swap = x["ref"][one] > x["ref"][two]
+                    a, b = np.where(swap, two, one), np.where(swap, one, two)
+                    found.append(np.stack([x["ref"][a], x["ref"][b], x["token"][a], need, led], 1))
+                    n_found += a.size
+                    if n_found >= PAIRS:
+                        yield report()
+                        found, n_found = [], 0
                 begin = stop
             # Two entries of one block have one class and are tied already.
             stay = (token == token[-1]) & (-(-size[-1] * num // den) <= size)
@@ -410,52 +407,71 @@ def jaccard_join(
     sizes = group.groupBy("ref").agg(F.count(F.lit(1)).alias("members"), F.count_if(~F.col("tied")).alias("loose")).where("loose > 0 AND members > 2")
     group = group.join(sizes.select("ref", F.ceil(F.col("members") / GROUP_BLOCK).cast("int").alias("salts")), "ref")
     group = stored(group.join(sets.withColumnRenamed("id", "b"), "b"), "members")
-    columns = ["ref", "salt", "visitor", "tied", F.col("b").alias("id"), "grams"]
-    residents = group.withColumns({"salt": F.pmod(F.xxhash64("b"), "salts").cast("int"), "visitor": F.lit(False)}).select(*columns)
-    visitors = group.where("NOT tied").withColumns({"salt": F.explode(F.sequence(F.lit(0), F.col("salts") - 1)), "visitor": F.lit(True)}).select(*columns)
-    blocks = residents.unionByName(visitors).repartition("ref", "salt").sortWithinPartitions("ref", "salt", "visitor")
-    tied = stored(met.where("tied").select("a", "b").unionByName(blocks.mapInArrow(group_links(num, den), "a LONG, b LONG")), "tied")
+    group = group.withColumnRenamed("b", "id")
+    residents = group.withColumns({"salt": F.pmod(F.xxhash64("id"), "salts").cast("int"), "visitor": F.lit(False)})
+    visitors = group.where("NOT tied").withColumns({"salt": F.explode(F.sequence(F.lit(0), F.col("salts") - 1)), "visitor": F.lit(True)})
+    tied = stored(met.where("tied").select("a", "b").unionByName(_met(residents.unionByName(visitors), num, den)), "tied")
     classes = components(tied).withColumnRenamed("component", "root")
+    leaders = met.select(F.col("a").alias("id")).distinct().join(classes, "id", "left_anti")
+    classes = classes.unionByName(leaders.select("id", F.col("id").alias("root")))
     relation = met.select(F.col("b").alias("id"), F.col("a").alias("leader"), (F.col("size_b") - F.col("common")).alias("more"), (F.col("size_a") - F.col("common")).alias("less"))
     relation = relation.join(classes, "id", "full").select(
         "id", F.coalesce("root", "id").alias("root"), F.coalesce("leader", "id").alias("leader"), F.coalesce("more", F.lit(0)).alias("more"), F.coalesce("less", F.lit(0)).alias("less")
     )
     relation = stored(relation, "classes")
 
-    # Index skipping.
+    # Index skipping. A set is led if it has a leader or is one.
+    refs = relation.where("leader <> id").select(F.col("leader").alias("ref"), F.lit(True).alias("led")).distinct()
     placed = live.join(listed.select("id", "listed"), "id").join(relation.select("id", "root", F.col("leader").alias("ref")), "id", "left")
     placed = placed.select("token", "id", "size", "place", "listed", F.coalesce("root", "id").alias("root"), F.coalesce("ref", "id").alias("ref"))
+    placed = placed.join(refs, "ref", "left").withColumn("led", F.col("led").isNotNull())
     placed = placed.repartition("token").sortWithinPartitions("token", "size", "place", "root", "ref", "listed", "id")
-    pairs = placed.mapInArrow(candidate_pairs(num, den), "a LONG, b LONG, size_a LONG, size_b LONG, shared LONG")
-    pairs = pairs.groupBy("a", "b", "size_a", "size_b").agg(F.sum("shared").alias("shared"))
-    required = F.ceil((F.col("size_a") + F.col("size_b")) * num / (num + den) - 1e-9)
-    after = F.greatest(F.ceil(F.col("size_a") * num / den - 1e-9), F.ceil(F.col("size_b") * num / den - 1e-9)) - 1
-    pairs = pairs.where(F.col("shared") + after >= required).select("a", "b", "size_a", "size_b")
-
-    # Answer skipping.
-    def of(side: str) -> DataFrame:
-        names = {"id": side, "leader": f"lead_{side}", "more": f"more_{side}", "less": f"less_{side}"}
-        return relation.select(*(F.col(k).alias(v) for k, v in names.items()))
-
-    pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-    for side in "ab":
-        pairs = pairs.withColumn(f"lead_{side}", F.coalesce(f"lead_{side}", side))
-        for kind in ("more", "less"):
-            pairs = pairs.withColumn(f"{kind}_{side}", F.coalesce(f"{kind}_{side}", F.lit(0)))
-    pairs = stored(pairs, "pairs")
-    asked = [F.col(c).alias("id") for c in ("a", "b", "lead_a", "lead_b")]
-    ids = pairs.select(F.explode(F.array(*asked)).alias("id")).distinct()
+    pairs = placed.mapInArrow(candidate_pairs(num, den), "a LONG, b LONG, need LONG, led BOOLEAN, shared LONG")
+    pairs = pairs.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need"), F.max("led").alias("led"))
+    pairs = stored(pairs.where("shared >= need").select("a", "b", "led"), "pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     sets = sets.unionByName(whole_sets(docs, ids.join(sets.select("id"), "id", "left_anti"), key, text, n))
-    led = pairs.where("lead_a <> lead_b").select(F.col("lead_a").alias("a"), F.col("lead_b").alias("b")).distinct()
-    answers = overlaps(led, sets).select(F.col("a").alias("lead_a"), F.col("b").alias("lead_b"), F.col("common").alias("known"))
-    bounded = pairs.join(answers, ["lead_a", "lead_b"])
-    at_most = F.col("known") + F.col("more_a") + F.col("more_b")
-    at_least = F.col("known") - F.col("less_a") - F.col("less_b")
-    sure = linked(at_least, "size_a", "size_b", num, den)
-    bounded = stored(bounded.where(linked(at_most, "size_a", "size_b", num, den)).select("a", "b", sure.alias("sure")), "bounded")
-    rest = overlaps(bounded.where("NOT sure").select("a", "b"), sets).where(linked("common", "size_a", "size_b", num, den))
-    links = tied.unionByName(bounded.where("sure").select("a", "b")).unionByName(rest.select("a", "b"))
-    return links, members
+    lack = num * (F.col("size_a") + F.col("size_b")) - (num + den) * F.col("common")
+    answers = stored(overlaps(pairs, sets).select("a", "b", "led", lack.alias("lack")), "answers")
+    links = tied.unionByName(answers.where("lack <= 0").select("a", "b"))
+
+    # Answer skipping. With what a set has more and less than its leader, a pair lacks at least `lack` less the sum of both `gain`.
+    gain = den * F.col("more") + num * F.col("less")
+    below = relation.join(refs, F.col("leader") == F.col("ref"), "left_semi").select(F.col("leader").alias("ref"), "id", "root", gain.alias("gain"))
+    heads = below.select(F.col("ref").alias("id")).distinct().join(relation.select("id", "root"), "id", "left").select("id", F.coalesce("root", "id").alias("head_root"))
+    below = stored(below.join(heads.withColumnRenamed("id", "ref"), "ref").withColumn("tied", F.col("root") == F.col("head_root")), "below")
+    groups = below.groupBy("ref").agg(F.count(F.lit(1)).alias("n"), F.max("gain").alias("gain"), F.min("tied").alias("one_class"))
+    open_ = answers.where("led")
+    for side in "ab":
+        named = groups.select(F.col("ref").alias(side), F.col("n").alias(f"n_{side}"), F.col("gain").alias(f"gain_{side}"), F.col("one_class").alias(f"one_{side}"))
+        open_ = open_.join(named, side, "left").fillna({f"n_{side}": 1, f"gain_{side}": 0}).withColumn(f"one_{side}", F.coalesce(f"one_{side}", F.lit(True)))
+    open_ = open_.where("lack <= gain_a + gain_b AND (lack > 0 OR NOT one_a OR NOT one_b)")
+    b_visits = F.col("n_b") <= F.col("n_a")
+    visits = stored(
+        open_.select(
+            F.when(b_visits, F.col("b")).otherwise(F.col("a")).alias("guest"),
+            F.when(b_visits, F.col("a")).otherwise(F.col("b")).alias("ref"),
+            F.when(b_visits, F.col("n_a")).otherwise(F.col("n_b")).alias("members"),
+            (F.col("lack") - F.when(b_visits, F.col("gain_a")).otherwise(F.col("gain_b"))).alias("least"),
+        ),
+        "visits",
+    )
+    # A set that no other has as its leader is a group of its own.
+    alone = visits.select(F.explode(F.array("guest", "ref")).alias("ref")).distinct().join(groups, "ref", "left_anti")
+    below = below.select("ref", "id", "gain", "tied").unionByName(alone.select("ref", F.col("ref").alias("id"), F.lit(0).alias("gain"), F.lit(True).alias("tied")))
+    salts = F.ceil(F.col("members") / GROUP_BLOCK).cast("int")
+    guests = visits.join(below.select(F.col("ref").alias("guest"), "id", "gain"), "guest").where("gain >= least").select("ref", "id", salts.alias("salts")).distinct()
+    hosts = below.join(visits.select("ref", salts.alias("salts")).distinct(), "ref")
+    hosts = hosts.select("ref", F.pmod(F.xxhash64("id"), "salts").cast("int").alias("salt"), F.lit(False).alias("visitor"), "tied", "id")
+    guests = guests.select("ref", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("visitor"), F.lit(False).alias("tied"), "id")
+    met = stored(_met(hosts.unionByName(guests).join(sets, "id"), num, den), "visited")
+    return links.unionByName(met), members
+
+
+def _met(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): links of visitors to residents, of rows (ref, salt, visitor, tied, id, grams)."""
+    blocks = rows.select("ref", "salt", "visitor", "tied", "id", "grams").repartition("ref", "salt").sortWithinPartitions("ref", "salt", "visitor")
+    return blocks.mapInArrow(group_links(num, den), "a LONG, b LONG")
 
 
 def jaccard_components(

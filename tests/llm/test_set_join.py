@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import random
 import re
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from conftest import edited, sentence
 
 from termweave.llm import arrays, set_join
 
@@ -42,6 +44,42 @@ def test_components_are_those_of_all_pairs(mixed, mixed_rows, n, num, den):
     assert {r.id: (r.n_shingles, r.component) for r in got} == want
 
 
+def family(seed: int, size: int, shares: tuple[float, ...]) -> list[tuple]:
+    """Near copies of one text with edits at random places, some of them near copies of each other, and other texts among them."""
+    rng = random.Random(seed)
+    base = sentence(rng, 90)
+    texts = [edited(rng, base, rng.choice(shares)) for _ in range(size)]
+    texts += [edited(rng, rng.choice(texts), 0.01) for _ in range(size // 4)]
+    texts += [sentence(rng, 40) + " " + " ".join(base.split()[:k]) for k in (20, 50, 80)]
+    return [(k + 1, text) for k, text in enumerate(texts)]
+
+
+@pytest.mark.parametrize("seed, num, den, block", [(1, 4, 5, 250), (2, 9, 10, 7), (3, 3, 5, 20)])
+def test_families_of_near_copies(spark, monkeypatch, seed, num, den, block):
+    monkeypatch.setattr(set_join, "GROUP_BLOCK", block)
+    rows = family(seed, 120, (0.005, 0.01, 0.02, 0.04, 0.07))
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(3)
+    got = set_join.jaccard_components(docs, n=3, num=num, den=den).collect()
+    assert {r.id: (r.n_shingles, r.component) for r in got} == brute_force(rows, 3, num, den)
+
+
+def test_a_family_has_fewer_candidates_than_sets(spark, monkeypatch):
+    """Candidate pairs of a family of near copies do not grow with the square of its size."""
+    made = []
+    stored = set_join.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        if name in ("pairs", "visits"):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(set_join, "stored", counted)
+    rows = family(5, 800, (0.005, 0.01, 0.02, 0.04))
+    set_join.jaccard_join(spark.createDataFrame(rows, "doc_id LONG, text STRING"), n=3, num=4, den=5)
+    assert len(made) == 2 and max(made) < len(rows)
+
+
 def test_extra_columns_with_clashing_names(clashing, mixed_rows):
     got = set_join.jaccard_components(clashing, n=3, num=90, den=100).collect()
     assert {r.id: (r.n_shingles, r.component) for r in got} == brute_force(mixed_rows, 3, 90, 100)
