@@ -227,7 +227,7 @@ def test_bm25_by_hand(spark):
 def test_cosine_is_zero_for_zero_norms(spark):
     docs = words(spark, {1: ["same"], 2: ["same"]})
     terms = rank.query_terms(texts(spark, ["same"], "query_id"))
-    _, found = rank.match(terms, docs, index.term_stats(docs), fits=True, enrich=lambda known: rank.with_query_norm(known, 2))
+    _, found = rank.match(terms, docs, index.term_stats(docs), enrich=lambda known: rank.with_query_norm(known, 2))
     assert rows(rank.cosine(found, 2), "doc_id", "score") == [(1, 0.0), (2, 0.0)]
 
 
