@@ -1,12 +1,16 @@
-"""Suffix stripping after Porter (1980), with the usual later additions for short and irregular words."""
+"""Suffix stripping after Porter (1980), with the usual later additions for short and irregular words.
+
+A word is a struct of its letters `w` and its shape `s`, which has a c or v per letter. The shape of a
+beginning of a word is the beginning of its shape, and no rule adds a y, so it is made once a word and cut
+and lengthened with it. A measure above 0 is a shape with "vc" in it, one above 1 has it twice.
+"""
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 
-import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Irregular words and their stems.
 IRREGULAR = {
@@ -25,95 +29,139 @@ STEP_2 = {
 STEP_3 = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ful": "", "ness": ""}
 STEP_4 = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize".split()
 
+Case = tuple[Column, Column]
+
+
+def _word(letters: Column, shape: Column) -> Column:
+    return F.struct(letters.alias("w"), shape.alias("s"))
+
 
-def _shape(word: str) -> str:
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with `value` worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _shape(letters: Column) -> Column:
     """c or v per letter; y is a vowel after a consonant."""
-    shape = ""
-    for letter in word:
-        vowel = letter in "aeiou" or (letter == "y" and shape.endswith("c"))
-        shape += "v" if vowel else "c"
-    return shape
+    plain = F.regexp_replace(F.regexp_replace(letters, "[^aeiouy]", "c"), "[aeiou]", "v")
 
+    def add(shape: Column, x: Column) -> Column:
+        return F.concat(shape, F.when(x == "y", F.when(shape.endswith("c"), "v").otherwise("c")).otherwise(x))
 
-def _measure(word: str) -> int:
-    return len(re.findall("v+c+", _shape(word)))
+    return F.when(plain.contains("y"), F.aggregate(F.split(plain, ""), F.lit(""), add)).otherwise(plain)
 
 
-def _short(word: str) -> bool:
-    """Ends consonant-vowel-consonant (not w, x, y), or is vowel-consonant."""
-    shape = _shape(word)
-    return shape == "vc" or (shape.endswith("cvc") and word[-1] not in "wxy")
+def _cut(word: Column, n: int) -> Column:
+    return _word(F.left(word["w"], F.length(word["w"]) - n), F.left(word["s"], F.length(word["s"]) - n))
 
 
-def _plural(word: str) -> str:
-    if word.endswith("sses") or (word.endswith("ies") and len(word) > 4):
-        return word[:-2]
-    if word.endswith("s") and not word.endswith("ss"):
-        return word[:-1]
+def _add(word: Column, end: str) -> Column:
+    shape = "".join("v" if letter in "aeiou" else "c" for letter in end)
+    return _word(F.concat(word["w"], F.lit(end)), F.concat(word["s"], F.lit(shape)))
+
+
+def _first(word: Column, *cases: Case) -> Column:
+    """The word of the first case that holds, or the word as it is."""
+    for holds, then in reversed(cases):
+        word = F.when(holds, then).otherwise(word)
     return word
 
 
-def _past(word: str) -> str:
-    if word.endswith("ied"):
-        return word[:-1] if len(word) == 4 else word[:-2]
-    if word.endswith("eed"):
-        return word[:-1] if _measure(word[:-3]) > 0 else word
-    base = re.sub("(ed|ing)$", "", word)
-    if base == word or "v" not in _shape(base):
-        return word
-    if base.endswith(("at", "bl", "iz")):
-        return base + "e"
-    if len(base) > 1 and base[-1] == base[-2] and _shape(base)[-1] == "c":
-        return base if base[-1] in "lsz" else base[:-1]
-    return base + "e" if _measure(base) == 1 and _short(base) else base
+def _above_0(word: Column) -> Column:
+    return word["s"].contains("vc")
+
+
+def _above_1(word: Column) -> Column:
+    return word["s"].like("%vc%vc%")
+
+
+def _short(word: Column) -> Column:
+    """Ends consonant-vowel-consonant (not w, x, y), or is vowel-consonant."""
+    return (word["s"] == "vc") | (word["s"].endswith("cvc") & ~word["w"].rlike("[wxy]$"))
 
 
-def _swap(word: str, rules: dict[str, str]) -> str:
+def _plural(word: Column) -> Column:
+    w = word["w"]
+    return _first(
+        word,
+        (w.endswith("sses") | (w.endswith("ies") & (F.length(w) > 4)), _cut(word, 2)),
+        (w.endswith("s") & ~w.endswith("ss"), _cut(word, 1)),
+    )
+
+
+def _repaired(base: Column) -> Column:
+    """A word without its -ed or -ing."""
+    w, s = base["w"], base["s"]
+    double = (F.length(w) > 1) & (F.right(w, F.lit(1)) == F.substring(w, -2, 1)) & s.endswith("c")
+    return _first(
+        base,
+        (w.rlike("(?:at|bl|iz)$"), _add(base, "e")),
+        (double, _first(_cut(base, 1), (w.rlike("[lsz]$"), base))),
+        (_above_0(base) & ~_above_1(base) & _short(base), _add(base, "e")),
+    )
+
+
+def _past(word: Column) -> Column:
+    w = word["w"]
+
+    def without(n: int) -> Column:
+        return _bind(_cut(word, n), lambda base: _first(word, (base["s"].contains("v"), _repaired(base))))
+
+    return _first(
+        word,
+        (w.endswith("ied"), _first(_cut(word, 2), (F.length(w) == 4, _cut(word, 1)))),
+        (w.endswith("eed"), _first(word, (_above_0(_cut(word, 3)), _cut(word, 1)))),
+        (w.endswith("ed"), without(2)),
+        (w.endswith("ing"), without(3)),
+    )
+
+
+def _last_y(word: Column) -> Column:
+    w = word["w"]
+    after = (F.length(w) > 2) & _cut(word, 1)["s"].endswith("c")
+    return _first(word, (w.endswith("y") & after, _add(_cut(word, 1), "i")))
+
+
+def _swap(word: Column, rules: dict[str, str]) -> Column:
+    cases = []
     for suffix, new in rules.items():
-        if word.endswith(suffix):
-            base = word[: -len(suffix)]
-            return base + new if _measure(base) > 0 else word
-    return word
+        base = _cut(word, len(suffix))
+        cases.append((word["w"].endswith(suffix), _first(word, (_above_0(base), _add(base, new)))))
+    return _first(word, *cases)
 
 
-def _derivation(word: str) -> str:
-    swapped = _swap(word, STEP_2)
-    if word.endswith("alli") and swapped != word:
-        return _derivation(swapped)
-    if word.endswith("logi") and _measure(word[:-3]) > 0:
-        return word[:-1]
-    return swapped
+def _derivation(word: Column) -> Column:
+    """Step 2; what comes out of -alli is looked at again."""
+    again = _bind(_swap(word, STEP_2), lambda swapped: _swap(swapped, STEP_2))
+    logi = word["w"].endswith("logi") & _above_0(_cut(word, 3))
+    return _first(_swap(word, STEP_2), (word["w"].endswith("alli") & _above_0(_cut(word, 4)), again), (logi, _cut(word, 1)))
 
 
-def _ending(word: str) -> str:
+def _ending(word: Column) -> Column:
+    cases = []
     for suffix in STEP_4:
-        if word.endswith(suffix):
-            base = word[: -len(suffix)]
-            fits = _measure(base) > 1 and (suffix != "ion" or base.endswith(("s", "t")))
-            return base if fits else word
-    return word
+        base = _cut(word, len(suffix))
+        fits = _above_1(base) & base["w"].rlike("[st]$") if suffix == "ion" else _above_1(base)
+        cases.append((word["w"].endswith(suffix), _first(word, (fits, base))))
+    return _first(word, *cases)
+
 
+def _last_e(word: Column) -> Column:
+    def without(base: Column) -> Column:
+        return _first(word, (_above_1(base) | (_above_0(base) & ~_short(base)), base))
 
-def _final(word: str) -> str:
-    if word.endswith("e"):
-        base = word[:-1]
-        if _measure(base) > 1 or (_measure(base) == 1 and not _short(base)):
-            word = base
-    return word[:-1] if word.endswith("ll") and _measure(word[:-1]) > 1 else word
+    return _first(word, (word["w"].endswith("e"), _bind(_cut(word, 1), without)))
 
 
-def stem_word(word: str) -> str:
-    if word in IRREGULAR:
-        return IRREGULAR[word]
-    if len(word) <= 2:
-        return word
-    word = _past(_plural(word))
-    if word.endswith("y") and len(word) > 2 and _shape(word[:-1])[-1] == "c":
-        word = word[:-1] + "i"
-    return _final(_ending(_swap(_derivation(word), STEP_3)))
+def _last_l(word: Column) -> Column:
+    return _first(word, (word["w"].endswith("ll") & _above_1(_cut(word, 1)), _cut(word, 1)))
 
 
-@F.pandas_udf(StringType())
-def stem(terms: pd.Series) -> pd.Series:
-    """The stem of each term; meant for a distinct vocabulary."""
-    return terms.map(stem_word)
+def stem(term: Column | str) -> Column:
+    """The stem of a lower-cased term, null for null; meant for a distinct vocabulary."""
+    term = F.col(term) if isinstance(term, str) else term
+    word = _word(term, _shape(term))
+    for step in (_plural, _past, _last_y, _derivation, lambda x: _swap(x, STEP_3), _ending, _last_e, _last_l):
+        word = _bind(word, step)
+    irregular = F.create_map(*[F.lit(x) for pair in IRREGULAR.items() for x in pair])
+    return F.coalesce(F.try_element_at(irregular, term), F.when(F.length(term) <= 2, term).otherwise(word["w"]))

@@ -339,23 +339,31 @@ def freq_of_freq(spark, sf_dir):
 VARIANTS = f"""{ALL_WORDS_STATS},
     {sql.postings("long_words", "documents", "text")},
     s3 AS (SELECT term, count(*) AS df, sum(tf)::BIGINT AS term_total FROM long_words GROUP BY 1),
+    s4 AS (SELECT * FROM s3 WHERE term_total > 2), {sql.stems("stems", "s4")},
+    stemmed AS (SELECT stem AS term, doc_id, sum(tf)::BIGINT AS tf FROM long_words JOIN stems USING (term) GROUP BY 1, 2),
     v AS (SELECT 'all_words' AS variant, * FROM s UNION ALL SELECT 'stop_removed', * FROM s3
-        UNION ALL SELECT 'stop_rare_removed', * FROM s3 WHERE term_total > 2),
+        UNION ALL SELECT 'stop_rare_removed', * FROM s4
+        UNION ALL SELECT 'with_stemming', term, count(*), sum(tf)::BIGINT FROM stemmed GROUP BY term),
     variants AS (SELECT variant, count(*) AS n_terms, sum(df)::BIGINT AS n_postings,
         sum(term_total)::BIGINT AS n_tokens FROM v GROUP BY 1)"""
 
 
+def _variants(spark, sf_dir):
+    """Four variants: all words, without stop words, without rare words too, and the rest as stems."""
+    return stats.index_variants(_body_stats(spark, sf_dir), tables.STOPS).unionByName(index_variant_stemmed(spark, sf_dir))
+
+
 @query("index_variants", f"WITH {VARIANTS} SELECT * FROM variants")
 def index_variants(spark, sf_dir):
-    return stats.index_variants(_body_stats(spark, sf_dir), tables.STOPS)
+    return _variants(spark, sf_dir)
 
 
 @query("index_size", f"WITH {VARIANTS} SELECT variant, n_postings * 6 / 1e6 AS size_mb FROM variants ORDER BY 2 DESC")
 def index_size(spark, sf_dir):
-    return stats.index_size(stats.index_variants(_body_stats(spark, sf_dir), tables.STOPS))
+    return stats.index_size(_variants(spark, sf_dir))
 
 
-@query("index_variant_stemmed")
+@query("index_variant_stemmed", f"WITH {VARIANTS} SELECT * FROM variants WHERE variant = 'with_stemming'")
 def index_variant_stemmed(spark, sf_dir):
     """The fourth variant: stop and rare words removed, the rest stemmed."""
     stored = tables.search_index(spark, sf_dir)

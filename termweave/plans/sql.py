@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from termweave.functions import stem as stem_fn
 from termweave.functions import text as text_fn
 from termweave.functions.stopwords import stop_words
 from termweave.plans.tables import NAME, RELEVANT_SHARE, TITLE
@@ -121,6 +122,67 @@ def bucket(n_buckets: int, term: str = "term") -> str:
     return f"(('0x' || substr(md5({term}), 1, 8))::BIGINT % {n_buckets})::INT"
 
 
+def _shape(word: str) -> str:
+    """c or v per letter of an SQL string."""
+    vowel = "x IN ('a', 'e', 'i', 'o', 'u') OR (x = 'y' AND a LIKE '%c')"
+    return f"list_reduce(list_prepend('', string_split({word}, '')), lambda a, x: a || CASE WHEN {vowel} THEN 'v' ELSE 'c' END)"
+
+
+def _cut(n: int, word: str = "w") -> str:
+    return f"substr({word}, 1, length({word}) - {n})"
+
+
+def _measure(word: str, least: int) -> str:
+    return f"len(regexp_extract_all({_shape(word)}, 'v+c+')) >= {least}"
+
+
+def _short(word: str) -> str:
+    return f"regexp_matches({_shape(word)}, '^vc$|cvc$') AND ({_shape(word)} = 'vc' OR NOT regexp_matches({word}, '[wxy]$'))"
+
+
+def _endings(cases: list[tuple[str, str, str]]) -> str:
+    """CASE over (ending, condition, result): the first ending decides, the word stays where its condition fails."""
+    whens = " ".join(f"WHEN w LIKE '%{end}' THEN CASE WHEN {holds} THEN {new} ELSE w END" for end, holds, new in cases)
+    return f"CASE {whens} ELSE w END"
+
+
+def stems(name: str, terms: str) -> str:
+    """CTE {name}(term, stem) of the table `terms`(term), after CTEs for the steps."""
+    step_2 = _endings([(a, _measure(_cut(len(a)), 1), f"{_cut(len(a))} || '{b}'") for a, b in stem_fn.STEP_2.items()])
+    step_3 = _endings([(a, _measure(_cut(len(a)), 1), f"{_cut(len(a))} || '{b}'") for a, b in stem_fn.STEP_3.items()])
+    after = {"ion": f" AND regexp_matches({_cut(3)}, '[st]$')"}
+    step_4 = _endings([(a, _measure(_cut(len(a)), 2) + after.get(a, ""), _cut(len(a))) for a in stem_fn.STEP_4])
+    base = f"CASE WHEN w LIKE '%ed' THEN {_cut(2)} ELSE {_cut(3)} END"
+    steps = [
+        f"""CASE WHEN w LIKE '%sses' OR (w LIKE '%ies' AND length(w) > 4) THEN {_cut(2)}
+            WHEN w LIKE '%s' AND w NOT LIKE '%ss' THEN {_cut(1)} ELSE w END AS w, false AS bare""",
+        f"""CASE WHEN w LIKE '%ied' THEN CASE WHEN length(w) = 4 THEN {_cut(1)} ELSE {_cut(2)} END
+            WHEN w LIKE '%eed' THEN CASE WHEN {_measure(_cut(3), 1)} THEN {_cut(1)} ELSE w END
+            WHEN (w LIKE '%ed' OR w LIKE '%ing') AND {_shape(base)} LIKE '%v%' THEN {base} ELSE w END AS w,
+            w NOT LIKE '%ied' AND w NOT LIKE '%eed' AND (w LIKE '%ed' OR w LIKE '%ing') AND {_shape(base)} LIKE '%v%' AS bare""",
+        f"""CASE WHEN NOT bare THEN w WHEN regexp_matches(w, '(at|bl|iz)$') THEN w || 'e'
+            WHEN length(w) > 1 AND substr(w, -1) = substr(w, -2, 1) AND {_shape("w")} LIKE '%c'
+                THEN CASE WHEN regexp_matches(w, '[lsz]$') THEN w ELSE {_cut(1)} END
+            WHEN {_measure("w", 1)} AND NOT {_measure("w", 2)} AND {_short("w")} THEN w || 'e' ELSE w END AS w, false AS bare""",
+        f"CASE WHEN w LIKE '%y' AND length(w) > 2 AND {_shape(_cut(1))} LIKE '%c' THEN {_cut(1)} || 'i' ELSE w END AS w, false AS bare",
+        f"""CASE WHEN w LIKE '%logi' AND {_measure(_cut(3), 1)} THEN {_cut(1)} ELSE {step_2} END AS w,
+            w LIKE '%alli' AND {_measure(_cut(4), 1)} AS bare""",
+        f"CASE WHEN bare THEN {step_2} ELSE w END AS w, false AS bare",
+        f"{step_3} AS w, false AS bare",
+        f"{step_4} AS w, false AS bare",
+        f"""CASE WHEN w LIKE '%e' AND ({_measure(_cut(1), 2)} OR ({_measure(_cut(1), 1)} AND NOT ({_short(_cut(1))})))
+            THEN {_cut(1)} ELSE w END AS w, false AS bare""",
+        f"CASE WHEN w LIKE '%ll' AND {_measure(_cut(1), 2)} THEN {_cut(1)} ELSE w END AS w, false AS bare",
+    ]
+    sql = f"{name}_0 AS (SELECT term, term AS w, false AS bare FROM {terms})"
+    for i, step in enumerate(steps, 1):
+        sql += f",\n    {name}_{i} AS MATERIALIZED (SELECT term, {step} FROM {name}_{i - 1})"
+    irregular = " ".join(f"WHEN {quoted(a)} THEN {quoted(b)}" for a, b in stem_fn.IRREGULAR.items())
+    return f"""{sql},
+    {name} AS (SELECT term, CASE term {irregular} ELSE CASE WHEN length(term) <= 2 THEN term ELSE w END END AS stem
+        FROM {name}_{len(steps)})"""
+
+
 LINK_NAME = f"regexp_extract(lower(target), {quoted(NAME)})"
 LINKS = f"""
     raw_links AS (SELECT page_id, unnest(regexp_extract_all(html, {quoted(text_fn.HTML_LINK)}, 1)) AS t,

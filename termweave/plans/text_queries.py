@@ -201,7 +201,25 @@ def filter_tokens(spark, sf_dir):
     return index.remove_terms(postings, removed.distinct()).select("term", "doc_id", "tf")
 
 
-@query("stem_vocabulary")
+@query(
+    "filter_tokens_stemmed",
+    f"""WITH {sql.postings("p", "documents", "text", stops="none", pattern=text_fn.SHORT_TOKEN_PATTERN)},
+    removed AS (SELECT DISTINCT unnest({sql.token_list("text", text_fn.SHORT_TOKEN_PATTERN)}) AS term FROM benchmark),
+    kept AS (SELECT * FROM p WHERE term NOT IN (SELECT term FROM removed)),
+    vocabulary AS (SELECT DISTINCT term FROM kept), {sql.stems("stems", "vocabulary")}
+    SELECT stem AS term, doc_id, sum(tf)::BIGINT AS tf FROM kept JOIN stems USING (term) GROUP BY 1, 2""",
+)
+def filter_tokens_stemmed(spark, sf_dir):
+    """The same with the tokens that are left as stems; a document's words of one stem are one posting."""
+    kept = filter_tokens(spark, sf_dir)
+    return stats.stem_postings(kept, stats.stem_vocabulary(kept.select("term").distinct()))
+
+
+@query(
+    "stem_vocabulary",
+    f"""WITH {sql.postings("body", "documents", "text")}, vocabulary AS (SELECT DISTINCT term FROM body),
+    {sql.stems("stems", "vocabulary")} SELECT term, stem FROM stems""",
+)
 def stem_vocabulary(spark, sf_dir):
     """(term, stem) of the body vocabulary."""
     return stats.stem_vocabulary(tables.search_index(spark, sf_dir).term_stats("body"))

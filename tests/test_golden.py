@@ -4,10 +4,11 @@ import math
 from collections import Counter
 
 import pytest
+from plain_stem import stem_word
 from pyspark.sql import functions as F
 
 from termweave.functions import text as text_fn
-from termweave.functions.stem import stem_word
+from termweave.functions.stem import IRREGULAR, STEP_2, STEP_3, STEP_4, stem
 from termweave.functions.stopwords import ENGLISH, stop_words
 from termweave.operators import blend, evaluate, graph, index, rank, stats, views
 
@@ -84,19 +85,31 @@ def test_filter_tokens(spark):
 
     assert len(count([])) == 115
     assert len(count(ENGLISH)) == 51
-    assert len({stem_word(token) for token in count([])}) == 69
+    stems = F.array_distinct(F.transform(text_fn.tokens("text", [], text_fn.SHORT_TOKEN_PATTERN), stem))
+    assert texts(spark, [LITTLE_PRINCE]).select(F.size(stems)).first()[0] == 69
 
 
 @pytest.mark.parametrize(
-    ("word", "stem"),
+    ("word", "expected"),
     [("caresses", "caress"), ("ponies", "poni"), ("ties", "tie"), ("agreed", "agre"), ("plastered", "plaster"),
      ("motoring", "motor"), ("hopping", "hop"), ("falling", "fall"), ("filing", "file"), ("happy", "happi"),
      ("relational", "relat"), ("vietnamization", "vietnam"), ("electricity", "electr"), ("adjustment", "adjust"),
      ("adoption", "adopt"), ("probate", "probat"), ("controlling", "control"), ("dying", "die"), ("skies", "sky"),
      ("is", "is"), ("formally", "formal")],
 )
-def test_stem(word, stem):
-    assert stem_word(word) == stem
+def test_stem(spark, word, expected):
+    assert texts(spark, [word]).select(stem("text")).first()[0] == expected
+
+
+def test_stem_word_by_word(spark):
+    """All words of the documents, all endings on stems of several shapes, runs of y, other scripts and none."""
+    heads = ["", "a", "y", "tr", "hop", "fly", "yy", "syzygy", "plast", "motor", "controll", "ab", "élan", "x1", "日本"]
+    ends = [*STEP_2, *STEP_3, *STEP_4, "sses", "ies", "s", "ss", "ied", "eed", "ed", "ing", "y", "logi", "e", "ll", "lling", "yyyyed"]
+    words = spark.createDataFrame([(h + e,) for h in heads for e in ends] + [(w,) for w in IRREGULAR] + [(None,)], "word STRING")
+    found = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.explode(text_fn.tokens("text", [])).alias("word"))
+    got = words.union(found).distinct().select("word", stem("word").alias("stem")).collect()
+    assert len(got) > 900
+    assert [r for r in got if r.stem != (None if r.word is None else stem_word(r.word))] == []
 
 
 def test_tokens_at_the_edges(spark):
