@@ -166,7 +166,11 @@ def strip_markup(html: Column | str) -> Column:
 
 
 HTML_LINK = r'(?is)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
-WIKI_LINK = r"\[\[([^\[\]|]*)(?:\|([^\[\]]*))?\]\]"
+# Text of a wiki between and at the signs of links; innermost templates, and links with what they show; quotes and tags.
+_WIKI_PIECES = r"\[\[|\]\]|[^\[\]]+|[\[\]]"
+_WIKI_TEMPLATE = r"\{\{[^{}]*\}\}"
+_WIKI_INNER = r"\[\[(?:[^\[\]|]*\|)*([^\[\]|]*)\]\]"
+WIKI_MARKUP = r"'{2,}|<[^>]*>"
 # Prefixes of pages that are no articles, and endings of media files.
 NOT_AN_ARTICLE = r"(?i)^(?:file|image|media|category):|\.(?:jpe?g|png|gif|svg)$"
 _URL = r"[A-Za-z][A-Za-z0-9+.\-]*://\S*"
@@ -183,6 +187,10 @@ def _links(text: Column | str, pattern: str, clean_target, clean_anchor) -> Colu
         F.regexp_extract_all(text, F.lit(pattern), F.lit(1)).alias("target"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(2)).alias("anchor"),
     )
+    return _articles(pairs, clean_target, clean_anchor)
+
+
+def _articles(pairs: Column, clean_target, clean_anchor) -> Column:
     kept = F.filter(pairs, lambda pair: is_article(clean_target(pair["target"])))
 
     def finish(pair: Column) -> Column:
@@ -208,6 +216,44 @@ def html_links(html: Column | str) -> Column:
     )
 
 
+def _shown(wikitext: Column) -> Column:
+    """A text without templates, and with nested links as what they show: from the innermost outwards."""
+    nested = F.regexp_count(wikitext, F.lit(r"\[\[|\{\{"))
+
+    def inwards(text: Column, _: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(text, _WIKI_TEMPLATE, ""), _WIKI_INNER, "$1")
+
+    return F.when(nested > 0, F.aggregate(F.sequence(F.lit(1), nested), wikitext, inwards)).otherwise(wikitext)
+
+
 def wiki_links(wikitext: Column | str) -> Column:
-    """ARRAY<STRUCT<target, anchor_text>> of the [[target|anchor]] links of a wiki text to articles."""
-    return _links(wikitext, WIKI_LINK, lambda target: target, lambda anchor: F.regexp_replace(anchor, r"'{2,}|<[^>]*>", ""))
+    """ARRAY<STRUCT<target, anchor_text>> of the [[target|anchor]] links of a wiki text to articles.
+
+    Links may stand within links, as in the captions of files; they come in the order they open. An opening
+    that nothing closes, and a closing without an opening, are text. Null for null.
+    """
+    pieces = F.regexp_extract_all(wikitext, F.lit(_WIKI_PIECES), F.lit(0))
+    numbered = F.transform(pieces, lambda piece, i: F.struct(piece.alias("piece"), i.alias("at")))
+    marks = F.filter(numbered, lambda x: x["piece"].isin("[[", "]]"))
+    opened = F.expr("CAST(array() AS ARRAY<INT>)").alias("opened")
+    start = F.struct(opened, F.expr("CAST(array() AS ARRAY<STRUCT<first: INT, size: INT>>)").alias("spans"))
+
+    def read(state: Column, mark: Column) -> Column:
+        opened, spans, at = state["opened"], state["spans"], mark["at"]
+        last = F.element_at(opened, -1)
+        span = F.struct((last + 2).alias("first"), (at - last - 1).alias("size"))
+        pushed = F.struct(F.concat(opened, F.array(at)).alias("opened"), spans.alias("spans"))
+        closed = F.struct(F.slice(opened, F.lit(1), F.size(opened) - 1).alias("opened"), F.concat(spans, F.array(span)).alias("spans"))
+        return F.when(mark["piece"] == "[[", pushed).when(F.size(opened) > 0, closed).otherwise(state)
+
+    def pair(inside: Column) -> Column:
+        anchor = F.when(inside.contains("|"), F.regexp_replace(inside, r"(?s)^[^|]*\|", "")).otherwise("")
+        return F.struct(F.substring_index(inside, "|", 1).alias("target"), anchor.alias("anchor"))
+
+    # The pieces are cut once, and bound for all links.
+    spans = F.array_sort(F.aggregate(marks, start, read)["spans"])
+    insides = F.transform(
+        F.array(F.struct(pieces.alias("pieces"), spans.alias("spans"))),
+        lambda x: F.transform(x["spans"], lambda span: _shown(F.array_join(F.slice(x["pieces"], span["first"], span["size"]), ""))),
+    )[0]
+    return _articles(F.transform(insides, pair), lambda target: target, lambda anchor: F.regexp_replace(anchor, WIKI_MARKUP, ""))

@@ -277,6 +277,25 @@ def extract_links(spark, sf_dir):
     return tables.page_links(spark, sf_dir)
 
 
+# Each link of the pages stands in the caption of a file, after a template with a category.
+_CAPTION = "[[File:page.png|thumb|{{note|[[Category:notes]]}} see [[$1|$2]] [1] ]]"
+
+
+@query(
+    "extract_wiki_links",
+    f"""WITH raw AS (SELECT page_id, unnest(regexp_extract_all(html, {sql.quoted(text_fn.HTML_LINK)}, 1)) AS t,
+        unnest(regexp_extract_all(html, {sql.quoted(text_fn.HTML_LINK)}, 2)) AS a FROM pages),
+    clean AS (SELECT page_id, t, regexp_replace(a, {sql.quoted(text_fn.WIKI_MARKUP)}, '', 'g') AS a FROM raw)
+    SELECT page_id, regexp_replace(t, '#.*$', '') AS target,
+        regexp_replace(CASE WHEN a = '' THEN t ELSE a END, {sql.quoted(text_fn._URL)}, '', 'g') AS anchor_text
+    FROM clean WHERE t <> '' AND NOT regexp_matches(t, {sql.quoted(text_fn.NOT_AN_ARTICLE)})""",
+)
+def extract_wiki_links(spark, sf_dir):
+    """Links of wiki texts: the pages with their links in nested brackets."""
+    wikitext = F.regexp_replace("html", F.lit(text_fn.HTML_LINK), F.lit(_CAPTION))
+    return tables.pages(spark, sf_dir).select("page_id", F.inline(text_fn.wiki_links(wikitext)))
+
+
 # The pages link to no images or categories, so each link is tried as one too.
 _TARGETS = [
     ("link", "regexp_replace(href, '^/', '')"),

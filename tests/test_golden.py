@@ -127,6 +127,11 @@ def test_links(spark):
     assert links("[[File:example.jpg|frame|caption]]") == []
     assert links("[[Wikipedia#Preview|preview]]") == [("Wikipedia", "preview")]
     assert links("[[Category:Towns]] [[File:a.png]] [[B|'''bold''']]") == [("B", "bold")]
+    # Links within links and templates, brackets that are no links, and openings that nothing closes.
+    assert links("[[File:a.png|thumb|see [[B|the [[C]] of B]] {{t|[[D]]}}]]") == [("B", "the C of B"), ("C", "C"), ("D", "D")]
+    assert links("[[A|x {{t|y}} [z] w]] [1] ]] [[B|b|c]]") == [("A", "x  [z] w"), ("B", "b|c")]
+    assert links("[[open [[A]] and {{open [[B]]") == [("A", "A"), ("B", "B")]
+    assert links("") == links("]] [[") == []
 
 
 def typed(spark, text):
