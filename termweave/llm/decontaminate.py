@@ -1,13 +1,15 @@
 """Operator 7: passages of documents that copy or rework benchmark items.
 
 Items of equal words are one, and stand for all their ids at the end. Seeds are the 3-word shingles that few items have, and the LEAST_SEEDS rarest of
-every item however many have them; one that holds a word that few items have is strong. A task marks where its documents have seeds; a join on the seed finds the items; around each group of
-seeds of one item, of which one is strong or WEAK_SEEDS are not, the passage is aligned with the item by Smith-Waterman over words. The score is
+every item however many have them; one that holds a word that few items have is strong. Pairs of neighbouring words of an
+item, of which one is rare, are weak seeds and are looked for in documents side by side and with one word between: a passage
+that scores 0.5 keeps some pairs even where no three words in a row survive. A task marks where its documents have seeds; a join on the seed finds the items; around each group of
+seeds of one item whose places run in step, of which one is strong or WEAK_SEEDS of a kind are not, the passage is aligned with the item by Smith-Waterman over words. The score is
 the alignment's value as a share of the item aligned with itself, so that an edited copy with
-a quarter of its words replaced still scores about 0.6 and unrelated prose about 0.1.
+a quarter of its words replaced still scores about 0.6 and unrelated prose about 0.1. `n_seeds` counts the shingles of a passage; one found by pairs alone has 0.
 
-Seeds and items reach the tasks as an array if they are few (checked by count), else documents send
-their shingles to a join. Null or empty texts match nothing. Items of fewer words than `least_words` match
+Seeds reach the tasks as arrays if they are few (checked by count), with the items that have them, so that weak seeds that are
+in step with no other go at once; else documents send their shingles and pairs to a join. Null or empty texts match nothing. Items of fewer words than `least_words` match
 where they stand verbatim, those shorter than a shingle only as a whole document. Repeated rows match each for itself and come out once per id. Of equal scores the first place wins.
 Extra columns are not read. A text with seeds from end to end is cut into windows, never into a prefix.
 """
@@ -15,6 +17,7 @@ Extra columns are not read. A text with seeds from end to end is cut into window
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +32,14 @@ SEED_WORDS = 3
 RARE_SHARE = 0.05
 # Shingles of an item that are seeds even if many items have them.
 LEAST_SEEDS = 16
-# Seeds without a rare word that count as much as one with it.
+# Weak seeds of a kind that count as much as a strong one.
 WEAK_SEEDS = 3
-# Seeds up to which (16 MB) they are sent to every executor.
-SENT_SEEDS = 2_000_000
+# Words of a document between which a pair may stand: neighbours, and with one word between.
+PAIR_STEPS = (1, 2)
+# Weak seeds of more items than this open a region without a look at their items, which would be many rows.
+CHECKED_ITEMS = 16
+# Seeds up to which (21 MB) they are sent to every executor.
+SENT_SEEDS = 1_000_000
 MATCH, OTHER, GAP = 2, -1, -1
 # Alignments done at once.
 BATCH = 256
@@ -53,8 +60,17 @@ def item_words(items: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInArrow(read, "item_id LONG, words ARRAY<LONG>")
 
 
+def pair_grams(hashes: np.ndarray, of: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, number of the first word) of two words of one text that are `step` apart; the hash does not tell the step."""
+    at = np.flatnonzero(of[:-step] == of[step:])
+    return arrays.mix(arrays.mix(hashes[at]) + hashes[at + step]), at
+
+
 def seeds(words: DataFrame, least_words: int = 0, n: int = SEED_WORDS, share: float = RARE_SHARE) -> DataFrame:
-    """(gram, item_id, place, strong): the rare shingles of each item, LEAST_SEEDS at least; a strong one holds a rare word or is of a short item."""
+    """(gram, item_id, place, size, pair, strong): the rare shingles and pairs of each item, LEAST_SEEDS of either at least.
+
+    A strong one is a shingle that holds a rare word or is of a short item; size is the item's number of words. Short items have no pairs.
+    """
     single = words.select("item_id", F.posexplode("words").alias("place", "word"))
     common = single.groupBy("word").agg(F.count_distinct("item_id").alias("df"))
     n_items = words.agg(F.count_distinct("item_id")).first()[0]
@@ -64,27 +80,89 @@ def seeds(words: DataFrame, least_words: int = 0, n: int = SEED_WORDS, share: fl
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out, places, short = [], [], [], []
+            rows: list[tuple] = []
+            out, places = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for item, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 hashes = np.array(row, np.int64).view(np.uint64)
+                short = hashes.size < least_words
                 found, _ = arrays.word_grams(hashes, np.array([0, hashes.size]), n)
-                ids += [item] * found.size
-                short += [hashes.size < least_words] * found.size
-                out.append(found.view(np.int64))
-                places.append(np.arange(found.size))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([*out, np.empty(0, np.int64)])), pa.array(ids, pa.int64()), pa.array(np.concatenate([*places, np.empty(0, np.int64)])), pa.array(short, pa.bool_())],
-                ["gram", "item_id", "place", "short"],
-            )
+                pairs = pair_grams(hashes, np.zeros(hashes.size), 1)[0] if not short else found[:0]
+                for pair, part in ((False, found), (True, pairs)):
+                    rows += [(item, hashes.size, pair, short)] * part.size
+                    out.append(part.view(np.int64))
+                    places.append(np.arange(part.size))
+            ids, sizes, pair, short = zip(*rows, strict=True) if rows else ((), (), (), ())
+            columns = [np.concatenate(out), pa.array(ids, pa.int64()), np.concatenate(places), pa.array(sizes, pa.int64()), pa.array(pair, pa.bool_()), pa.array(short, pa.bool_())]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "item_id", "place", "size", "pair", "short"])
+
+    every = words.mapInArrow(grams, "gram LONG, item_id LONG, place LONG, size LONG, pair BOOLEAN, short BOOLEAN")
 
-    every = words.mapInArrow(grams, "gram LONG, item_id LONG, place LONG, short BOOLEAN")
-    held = rare.select("item_id", F.explode(F.sequence(F.greatest(F.col("place") - (n - 1), F.lit(0)), F.col("place"))).alias("place")).distinct()
-    held = held.withColumn("strong", F.lit(True))
+    def around(width: int, pair: bool) -> DataFrame:
+        """Places of the grams of `width` words that hold a rare word."""
+        first = F.greatest(F.col("place") - (width - 1), F.lit(0))
+        return rare.select("item_id", F.explode(F.sequence(first, F.col("place"))).alias("place"), F.lit(pair).alias("pair")).distinct()
+
+    held = around(n, False).unionByName(around(2, True)).withColumn("held", F.lit(True))
     spread = every.groupBy("gram").agg(F.count_distinct("item_id").alias("df"))
-    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("df", "gram", "place"))
-    every = every.join(spread, "gram").withColumn("rank", rank).where((F.col("df") <= few) | (F.col("rank") <= LEAST_SEEDS))
-    every = every.join(held, ["item_id", "place"], "left")
-    return every.select("gram", "item_id", "place", (F.col("short") | F.coalesce("strong", F.lit(False))).alias("strong"))
+    rank = F.row_number().over(Window.partitionBy("item_id", "pair").orderBy("df", "gram", "place"))
+    every = every.join(spread, "gram").withColumn("rank", rank).join(held, ["item_id", "place", "pair"], "left").fillna(False, ["held"])
+    every = every.where(((F.col("df") <= few) & (~F.col("pair") | F.col("held"))) | (F.col("rank") <= LEAST_SEEDS))
+    return every.select("gram", "item_id", "place", "size", "pair", (~F.col("pair") & (F.col("short") | F.col("held"))).alias("strong"))
+
+
+@dataclass
+class Sent:
+    """Seeds as sorted arrays: the grams, whether each is strong, and the (item, place, size of the item) of each from `begin` on."""
+
+    gram: np.ndarray
+    strong: np.ndarray
+    begin: np.ndarray
+    item: np.ndarray
+    place: np.ndarray
+    size: np.ndarray
+
+    @staticmethod
+    def of(found: DataFrame) -> Sent:
+        rows = found.select("gram", "item_id", "place", "size", "strong").toPandas().sort_values("gram")
+        gram, begin = np.unique(rows["gram"].to_numpy(np.int64), return_index=True)
+        strong = np.logical_or.reduceat(rows["strong"].to_numpy(bool), begin) if gram.size else np.empty(0, bool)
+        item = np.unique(rows["item_id"].to_numpy(np.int64), return_inverse=True)[1].astype(np.int32)
+        return Sent(gram, strong, np.append(begin, len(rows)), item, rows["place"].to_numpy(np.int32), rows["size"].to_numpy(np.int32))
+
+    def in_step(self, spot: np.ndarray, of: np.ndarray, entry: np.ndarray, reach: int) -> np.ndarray:
+        """Which seeds may be of a group: strong ones, those of many items, what is near such a one, and weak ones in step with others.
+
+        Places of one item's seeds in an alignment that scores half run in step to within the item's size, so
+        they share one of two bands of twice that width, which lie half a band apart.
+        """
+        lists = self.begin[entry + 1] - self.begin[entry]
+        keep = self.strong[entry] | (lists > CHECKED_ITEMS)
+        weak = np.flatnonzero(~keep)
+        if keep.any() and weak.size:
+            sure = np.flatnonzero(keep)
+            after = np.searchsorted(sure, weak)
+            near = np.zeros(weak.size, bool)
+            for other in (sure[np.maximum(after - 1, 0)], sure[np.minimum(after, sure.size - 1)]):
+                near |= (of[other] == of[weak]) & (np.abs(spot[other] - spot[weak]) <= reach)
+            keep[weak[near]] = True
+        n = lists[weak]
+        source = np.repeat(weak, n)
+        at = self.begin[entry[source]] + np.arange(source.size) - np.repeat(np.cumsum(n) - n, n)
+        item, place, size = self.item[at], self.place[at], self.size[at].astype(np.int64)
+        for shift in (0, size):
+            band = (spot[source] - place + shift) // (2 * size)
+            order = np.lexsort((place, band, item, of[source]))
+            head = np.ones(order.size, bool)
+            for key in (of[source], item, band):
+                key = key[order]
+                head[1:] &= key[1:] == key[:-1]
+            head[1:] = ~head[1:]
+            fresh = head.copy()
+            fresh[1:] |= np.diff(place[order]) != 0
+            group = np.cumsum(head) - 1
+            if order.size:
+                keep[source[order[(np.bincount(group, fresh) >= WEAK_SEEDS)[group]]]] = True
+        return keep
 
 
 def _is_in(values: np.ndarray, table: np.ndarray, quick: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,21 +173,20 @@ def _is_in(values: np.ndarray, table: np.ndarray, quick: np.ndarray) -> tuple[np
     return at[hit], place[hit]
 
 
-def regions(docs: DataFrame, key: str, text: str, grams: tuple[np.ndarray, np.ndarray] | None, reach: int, n: int = SEED_WORDS) -> DataFrame:
+def regions(docs: DataFrame, key: str, text: str, sent: Sent | None, reach: int, n: int = SEED_WORDS) -> DataFrame:
     """(doc_id, start, words, grams, places): the words around seeds, with the seeds.
 
-    `grams` are the sorted seeds and whether each is strong; a region without a strong one needs
-    WEAK_SEEDS. Without `grams` every shingle is a seed. Seeds closer than `reach` words share a region; a region holds 4,096 words of seeds at
+    A region without a strong seed needs WEAK_SEEDS. Without `sent` every shingle and pair is a seed. Seeds closer than `reach` words share a region; a region holds 4,096 words of seeds at
     most, and beside them the seeds within `reach` on either side, so that a passage has all its seeds in one region.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(grams)
+    shared = docs.sparkSession.sparkContext.broadcast(sent)
     longest = 4096
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, strong = shared.value or (None, None)
-        if table is not None:
+        own = shared.value
+        if own is not None:
             quick = np.zeros(1 << 20, bool)
-            quick[table.view(np.uint64) >> np.uint64(44)] = True
+            quick[own.gram.view(np.uint64) >> np.uint64(44)] = True
         for batch in batches:
             names = batch.column(0).to_pylist()
             rows: list[tuple] = []
@@ -118,27 +195,32 @@ def regions(docs: DataFrame, key: str, text: str, grams: tuple[np.ndarray, np.nd
             places: list[np.ndarray] = []
             for first, data, bounds in arrays.chunks(batch.column(1)):
                 hashes, _, _, firsts = arrays.words(data, bounds)
+                of = np.repeat(np.arange(firsts.size - 1), np.diff(firsts))
                 found, ends = arrays.word_grams(hashes, firsts, n)
-                found = found.view(np.int64)
-                if table is None:
-                    at = np.arange(found.size)
-                    firm = np.ones(at.size, bool)
-                elif table.size:
-                    at, entry = _is_in(found, table, quick)
-                    firm = strong[entry]
-                else:
-                    at = np.empty(0, np.int64)
-                if not at.size:
+                kinds = [(found, np.arange(found.size) + np.repeat(firsts[:-1] - ends[:-1], np.diff(ends)))]
+                kinds += [pair_grams(hashes, of, step) for step in PAIR_STEPS]
+                if own is not None:
+                    hit = [_is_in(gram.view(np.int64), own.gram, quick) if own.gram.size else (np.empty(0, np.int64),) * 2 for gram, _ in kinds]
+                    kinds = [(gram[at], spot[at]) for (gram, spot), (at, _) in zip(kinds, hit, strict=True)]
+                    entry = np.concatenate([x for _, x in hit])
+                gram, spot = (np.concatenate([kind[k] for kind in kinds]) for k in (0, 1))
+                order = np.argsort(spot, kind="stable")
+                firm = np.ones(spot.size, bool)
+                if own is not None:
+                    order = order[own.in_step(spot[order], of[spot[order]], entry[order], reach)]
+                    firm = own.strong[entry[order]]
+                if not order.size:
                     continue
-                of = np.searchsorted(ends, at, "right") - 1
-                place = at - ends[of]
-                new = np.ones(at.size, bool)
-                new[1:] = (np.diff(of) != 0) | (np.diff(place) > reach) | (place[1:] // longest != place[:-1] // longest)
+                gram, spot = gram[order].view(np.int64), spot[order]
+                own_text = of[spot]
+                place = spot - firsts[own_text]
+                new = np.ones(spot.size, bool)
+                new[1:] = (np.diff(own_text) != 0) | (np.diff(place) > reach) | (place[1:] // longest != place[:-1] // longest)
                 heads = np.flatnonzero(new)
-                for a, b in zip(heads.tolist(), [*heads[1:].tolist(), at.size], strict=True):
-                    text = of[a]
-                    a = int(np.searchsorted(at, max(ends[text], at[a] - reach)))
-                    b = int(np.searchsorted(at, min(ends[text + 1] - 1, at[b - 1] + reach), "right"))
+                for a, b in zip(heads.tolist(), [*heads[1:].tolist(), spot.size], strict=True):
+                    text = own_text[a]
+                    a = int(np.searchsorted(spot, max(firsts[text], spot[a] - reach)))
+                    b = int(np.searchsorted(spot, min(firsts[text + 1] - 1, spot[b - 1] + reach), "right"))
                     if b - a < WEAK_SEEDS and not firm[a:b].any():
                         continue
                     base, stop = firsts[text], firsts[text + 1]
@@ -146,7 +228,7 @@ def regions(docs: DataFrame, key: str, text: str, grams: tuple[np.ndarray, np.nd
                     end = min(stop, base + place[b - 1] + n + reach)
                     rows.append((names[first + text], int(begin - base)))
                     words_of.append(hashes[begin:end].view(np.int64))
-                    hits.append(found[at[a:b]])
+                    hits.append(gram[a:b])
                     places.append(place[a:b] - (begin - base))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -245,17 +327,24 @@ def contaminated(
     words = stored(listed.select(F.col("same").alias("item_id"), "words").dropDuplicates(["item_id"]), "words")
     found = stored(seeds(words, least_words), "seeds")
     reach = (words.agg(F.max(F.size("words"))).first()[0] or 0) * 5 // 4 + 2
-    grams = found.groupBy("gram").agg(F.max("strong").alias("strong"))
-    sent = None
-    if grams.count() <= SENT_SEEDS:
-        known = grams.toPandas().sort_values("gram")
-        sent = known["gram"].to_numpy(np.int64), known["strong"].to_numpy(bool)
+    sent = Sent.of(found) if found.count() <= SENT_SEEDS else None
     areas = stored(regions(docs, key, text, sent, reach), "regions").withColumn("region", F.monotonically_increasing_id())
     hits = areas.select("region", F.explode(F.arrays_zip("grams", "places")).alias("hit")).select("region", F.col("hit.grams").alias("gram"), F.col("hit.places").alias("at"))
-    # Seeds of one item whose places in the passage and in the item run in step are one group.
-    hits = hits.join(found, "gram").groupBy("region", "item_id").agg(
-        F.count_distinct("at").alias("n_seeds"), F.min(F.col("at") - F.col("place")).alias("low"), F.max(F.col("at") - F.col("place")).alias("high"), F.max("strong").alias("strong")
-    ).where(F.col("strong") | (F.col("n_seeds") >= WEAK_SEEDS))
+    # Seeds of one item whose places in the passage and in the item run in step are one group: those of one of two bands (see Sent.in_step).
+    step = F.col("at") - F.col("place")
+    band = F.explode(F.array(*(F.struct(F.lit(k).alias("shift"), F.floor((step + F.col("size") * k) / (F.col("size") * 2)).alias("band")) for k in (0, 1)))).alias("band")
+    hits = hits.join(found, "gram").select("*", step.alias("step"), band)
+    hits = hits.groupBy("region", "item_id", "band").agg(
+        F.count_distinct(F.when(~F.col("pair"), F.col("at"))).alias("n_seeds"),
+        F.count_distinct(F.when(~F.col("pair"), F.col("place"))).alias("n_shingles"),
+        F.count_distinct(F.when(F.col("pair"), F.col("place"))).alias("n_pairs"),
+        F.min("step").alias("low"),
+        F.max("step").alias("high"),
+        F.max("strong").alias("strong"),
+    ).where(F.col("strong") | (F.col("n_shingles") >= WEAK_SEEDS) | (F.col("n_pairs") >= WEAK_SEEDS))
+    # Bands with the same seeds are aligned once.
+    hits = hits.groupBy("region", "item_id").agg(F.collect_set(F.struct("n_seeds", "low", "high")).alias("groups"))
+    hits = hits.select("region", "item_id", F.explode("groups").alias("g")).select("region", "item_id", "g.*")
     pairs = hits.join(areas.select("region", "doc_id", "start", "words"), "region").join(words.withColumnRenamed("words", "item"), "item_id")
     slack = F.ceil(F.size("item") / 4).cast("long") + 1
     low = F.greatest(F.col("low") - slack, F.lit(0))

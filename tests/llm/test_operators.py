@@ -325,6 +325,35 @@ def test_copied_templated_short_and_cut_items_are_found(spark):
     assert {i for d, i in got if d == 7} == {60} and got[7, 60].n_seeds == 4
 
 
+def test_passages_without_three_words_in_a_row_are_found_as_by_brute_force(spark):
+    rng = np.random.default_rng(23)
+    words = [f"{a}{b}{c}" for a in "bcdfghjklm" for b in "aeiou" for c in "nrst"]
+    items = [" ".join(rng.choice(words, 40, replace=False)) for _ in range(40)]
+    noise = lambda n: rng.choice(words, n).tolist()
+    third = [[f"x{j}" if j % 3 == 2 else w for j, w in enumerate(t.split())] for t in items]
+    # A word after each, and every fourth word left out.
+    spread = [[w for x in t.split() for w in (x, "und")][:-1] for t in items[:10]]
+    cut = [[w for j, w in enumerate(t.split()) if j % 4] for t in items[10:20]]
+    edited = [*third, *spread, *cut]
+    texts = [" ".join([*noise(30 + k), *e, *noise(60)]) for k, e in enumerate(edited)] + [" ".join(noise(200)) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id LONG, text STRING")
+    number = {w: k for k, w in enumerate({w for t in [*texts, *items] for w in t.split()})}
+    coded = [[np.array([number[w] for w in t.split()]) for t in part] for part in (texts, items)]
+    want = {}
+    for d, passage in enumerate(coded[0]):
+        best, _, _ = decontaminate.smith_waterman([passage] * len(items), coded[1])
+        want |= {(d, i): int(b) / 80 for i, b in enumerate(best) if b >= 40}
+    assert {(k, k) for k in range(40)} <= set(want) and len(want) >= len(edited)
+    for limit in (decontaminate.SENT_SEEDS, 0):
+        decontaminate.SENT_SEEDS, before = limit, decontaminate.SENT_SEEDS
+        try:
+            got = {(r.doc_id, r.item_id): r.score for r in decontaminate.contaminated(docs, bench).collect()}
+        finally:
+            decontaminate.SENT_SEEDS = before
+        assert got == want
+
+
 # Operator 8
 
 
