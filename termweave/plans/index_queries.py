@@ -10,7 +10,8 @@ from termweave.functions.stopwords import stop_words
 from termweave.operators import index, stats
 from termweave.plans import sql, tables
 from termweave.plans.registry import query
-from termweave.sources import index_store
+from termweave.session import scratch_path
+from termweave.sources import index_store, segments
 
 # Terms in more documents than this are kept by filter_rare_postings.
 MIN_DF = 50
@@ -68,6 +69,24 @@ def add_documents(spark, sf_dir):
     return index.add_documents(_body_postings(spark, sf_dir), more, "text", tables.STOPS)
 
 
+@query(
+    "segmented_index",
+    f"""WITH grown AS (
+        SELECT doc_id, text FROM documents WHERE doc_id NOT IN (SELECT item_id FROM benchmark)
+        UNION ALL SELECT item_id, text FROM benchmark),
+    live AS (SELECT * FROM grown WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)),
+    {sql.postings("b", "live", "text")}
+    SELECT term, count(*) AS df, sum(tf)::BIGINT AS term_total FROM b GROUP BY 1""",
+)
+def segmented_index(spark, sf_dir):
+    """Term statistics of the body index after the benchmark texts came in under their item ids, in place of documents
+    with these ids, and the toxic documents went; both changes are segments, merged with each other but not with the base."""
+    base = segments.start_segments(tables.search_index(spark, sf_dir), scratch_path(spark, "segments"), "body")
+    more = tables.benchmark_queries(spark, sf_dir).withColumnRenamed("query_id", "doc_id")
+    toxic = tables.read(spark, sf_dir, "labels", "doc_id", "toxic").where("toxic = 1")
+    return base.add(more, text_fn.tokens("text", tables.STOPS)).delete(toxic).merge().term_stats()
+
+
 @query(
     "doc_length",
     f"""WITH {sql.BODY_STATS}, {sql.TITLE_STATS}

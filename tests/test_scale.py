@@ -10,7 +10,7 @@ from termweave.functions import text as text_fn
 from termweave.functions.stopwords import stop_words
 from termweave.operators import graph, index, rank, stats
 from termweave.plans import tables
-from termweave.sources import corpus, index_store
+from termweave.sources import corpus, index_store, segments
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -286,3 +286,39 @@ def test_settings_share_one_row_in_the_shuffle(spark, stored):
     for k1, b in settings:
         one = rank.bm25(found, 200, 100.0, k1, b)
         assert rows(grid.where((F.col("k1") == k1) & (F.col("b") == b)), "query_id", "doc_id", "score") == rows(one, "query_id", "doc_id", "score")
+
+
+def test_an_index_of_segments_equals_one_built_anew(spark, tmp_path):
+    split = text_fn.tokens("text", tables.STOPS)
+    make = lambda pairs: spark.createDataFrame(pairs, "doc_id LONG, text STRING")
+    texts = {k: f"alpha{k % 7} beta{k % 3} beta{k % 3} gamma{k}" for k in range(400)}
+    base = index_store.write_documents(make(list(texts.items())), split, str(tmp_path / "base"), "body", 8)
+    grown = segments.start_segments(base, str(tmp_path / "grown"), "body")
+
+    def same(index):
+        anew = index_store.write_documents(make(list(texts.items())), split, str(tmp_path / f"anew{index.version}"), "body", 8)
+        for table, columns in (("postings", ("term", "doc_id", "tf", "doc_len")), ("doc_stats", ("doc_id", "doc_len")), ("term_stats", ("term", "df", "term_total"))):
+            assert rows(getattr(index, table)(), *columns) == rows(getattr(anew, table)("body"), *columns)
+
+    # A new document, one that replaces another, one without words and one without text.
+    added = {400: "delta delta", 5: "alpha0 delta", 6: "", 401: None}
+    texts |= added
+    grown = grown.add(make(list(added.items())), split)
+    same(grown)
+    for k in (5, 7, 400):
+        del texts[k]
+    grown = grown.delete(make([(5, ""), (7, ""), (400, ""), (9_999, ""), (None, "")]))
+    same(grown)
+    # A deleted document may come again.
+    texts[7] = "epsilon"
+    grown = grown.add(make([(7, "epsilon")]), split).add(make([]), split)
+    same(grown)
+    merged = grown.merge()
+    # The base is not read or written again, and its folder stays that of the first version.
+    assert [s.path for s in merged.segments][:1] == [base.path] and len(merged.segments) == 2
+    same(merged)
+    assert segments.open_segments(spark, str(tmp_path / "grown")) == merged
+    assert segments.open_segments(spark, str(tmp_path / "grown"), grown.version) == grown
+    whole = merged.merge_all()
+    assert len(whole.segments) == 1 and whole.merge_all() == whole and whole.merge() == whole
+    same(whole)
