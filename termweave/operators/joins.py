@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 # Bytes up to which the optimizer's size of a query side lets it be sent to every executor.
 BROADCAST_BYTES = 32_000_000
+# Stored bytes that a task gets where the work on them, or what it holds of them, is many times as much.
+DEALT_BYTES = 4_000_000
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
@@ -23,6 +25,11 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def dealt_parts(df: DataFrame) -> int:
+    """Tasks for heavy work on what a plan reads: splits and coalesced partitions follow bytes alone, and tens of megabytes would be one long task."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, plan_bytes(df) // DEALT_BYTES)
+
+
 def join_by_term(large: DataFrame, small: DataFrame, fits: bool, on: Sequence[str] = ("term",)) -> DataFrame:
     """Inner join on the term: `small` is broadcast where it `fits`.
 

@@ -23,6 +23,8 @@ from termweave.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, join_by_t
 Scalar = Column | float | int
 # The bin of scores that have no logarithm, below all others.
 NO_SCORE = -(1 << 40)
+# The largest tf that is a bit of a number.
+SMALL_TF = 62
 
 
 def query_terms(
@@ -43,12 +45,16 @@ def match(
     enrich: Callable[[DataFrame], DataFrame] | None = None,
     on: Sequence[str] = ("term",),
     broadcast_bytes: int = BROADCAST_BYTES,
+    parts: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(known, found): the query terms of the index with their df, and one row per known term and document with it.
 
     The query terms go to every task where the optimizer knows them to be small: to the term statistics, then (no
     more rows than before, since the statistics have one row per term) to the postings, which are not
     shuffled. Otherwise both joins shuffle. `enrich` adds columns to the known terms before they meet the postings.
+
+    With `parts` the postings of known terms are dealt to that many tasks by document before they meet the queries, so what is
+    shuffled has a row for a posting and not for each query with it, and sums by query and document need no shuffle.
     """
     fits = plan_bytes(terms) <= broadcast_bytes
     known = terms
@@ -56,6 +62,9 @@ def match(
         known = join_by_term(stats.select("term", "df"), terms, fits)
     if enrich is not None:
         known = enrich(known)
+    if parts is not None and fits:
+        asked = F.broadcast(terms.select(*on).distinct())
+        postings = postings.join(asked, list(on), "left_semi").repartition(parts, "doc_id")
     return known, join_by_term(postings, known, fits, on)
 
 
@@ -69,12 +78,13 @@ def top_n(run: DataFrame, n: int, by: Sequence[str] = ("query_id",)) -> DataFram
     return run.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-def top_by(run: DataFrame, depths: DataFrame) -> DataFrame:
+def top_by(run: DataFrame, depths: DataFrame, fits: bool = False) -> DataFrame:
     """The `depth` best documents of each query with their rank, for depths(query_id, depth).
 
     A window with a column as its limit has no partial stage. So the scores of a query are counted in bins of
     about 2 percent, with partial sums; the bin in which the depth is reached bounds the
-    scores from below, and only candidates from there on are shuffled and ordered.
+    scores from below, and only candidates from there on are shuffled and ordered. Where the depths `fit` a broadcast, so do
+    these bounds, a row for a query, and the run meets them before it is shuffled.
     """
     bin_of = F.when(F.col("score") > 0, F.floor(F.ln("score") * 50.0)).otherwise(F.lit(NO_SCORE))
     binned = run.withColumn("bin", bin_of)
@@ -82,7 +92,7 @@ def top_by(run: DataFrame, depths: DataFrame) -> DataFrame:
     above = Window.partitionBy("query_id").orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)
     open_ = sizes.withColumn("above", F.coalesce(F.sum("n").over(above), F.lit(0))).where("above < depth")
     least = open_.groupBy("query_id").agg(F.min("bin").alias("least"), F.first("depth").alias("depth"))
-    kept = binned.join(least, "query_id").where("bin >= least")
+    kept = binned.join(F.broadcast(least) if fits else least, "query_id").where("bin >= least")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return kept.withColumn("rank", F.row_number().over(best)).where("rank <= depth").drop("bin", "least", "depth")
 
@@ -232,14 +242,20 @@ def served_score(found: DataFrame, n_docs: Scalar) -> DataFrame:
     )
 
 
-def subset_score(known: DataFrame, found: DataFrame) -> DataFrame:
+def subset_score(known: DataFrame, found: DataFrame, fits: bool = False) -> DataFrame:
     """Cosine with document weight tf * df; N is the number of distinct (doc_id, tf) of the query's postings.
 
     Query weights are qtf / query_len * log10(N / (df + 1e-7)). N is one number per
     query, so log10(N) is left out of the sums over postings and put in afterwards:
-    dot = log10(N) * sum(d * share) - sum(d * share * log10(df + 1e-7)).
+    dot = log10(N) * sum(d * share) - sum(d * share * log10(df + 1e-7)). Where the query terms `fit` a broadcast the norms do.
     """
-    subset = found.groupBy("query_id").agg(F.count_distinct("doc_id", "tf").alias("n_subset"))
+    # The small tf of a document are bits of one number, so a document is one row; the others, which are rare, are counted as rows.
+    keyed = found.where("doc_id IS NOT NULL AND tf IS NOT NULL")
+    bits = keyed.where(f"tf BETWEEN 0 AND {SMALL_TF}").groupBy("query_id", "doc_id").agg(F.bit_or(F.expr("shiftleft(1L, CAST(tf AS INT))")).alias("bits"))
+    small = bits.select("query_id", F.bit_count("bits").cast("long").alias("n"))
+    large = keyed.where(f"NOT tf BETWEEN 0 AND {SMALL_TF}").select("query_id", "doc_id", "tf").distinct().select("query_id", F.lit(1).cast("long").alias("n"))
+    none = known.select("query_id", F.lit(0).cast("long").alias("n"))
+    subset = small.unionByName(large).unionByName(none).groupBy("query_id").agg(F.sum("n").alias("n_subset"))
     share = F.col("qtf") / F.col("query_len")
     log_df = F.log10(F.col("df") + F.lit(DF_EPSILON))
     weights = known.join(subset, "query_id").withColumn("q", share * log10_idf("n_subset", "df", DF_EPSILON))
@@ -251,7 +267,7 @@ def subset_score(known: DataFrame, found: DataFrame) -> DataFrame:
         F.sqrt(F.sum(d * d)).alias("d_norm"),
     )
     dot = F.log10("n_subset") * F.col("plain") - F.col("logged")
-    return sums.join(norms, "query_id").select(
+    return sums.join(F.broadcast(norms) if fits else norms, "query_id").select(
         "query_id", "doc_id", rounded(ratio(dot, F.col("d_norm") * F.col("q_norm")), 5).alias("score")
     )
 

@@ -74,7 +74,8 @@ def bm25_run(spark, sf_dir, ks=(K,)):
     """The BM25 run, each query as deep as its metrics look: the largest k, or all that could be relevant."""
     n_rel = tables.qrels(spark, sf_dir).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_rel"))
     depth = n_rel.select("query_id", F.greatest("n_rel", F.lit(max(ks))).alias("depth"))
-    return rank.top_by(Search(spark, sf_dir).bm25(), depth)
+    search = Search(spark, sf_dir)
+    return rank.top_by(search.bm25(), depth, search.fits)
 
 
 def _metrics(spark, sf_dir, ks=(K,), **options):

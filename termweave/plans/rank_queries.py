@@ -29,8 +29,10 @@ class Search:
         self.n_docs = stored.n_docs(field)
         self.avg_len = stored.avg_len(field)
         self.terms = tables.benchmark_terms(spark, sf_dir) if terms is None else terms
+        # The terms of a query are more than the query, so what has a row for a query fits as well.
+        self.fits = plan_bytes(self.terms) <= BROADCAST_BYTES
         enrich = (lambda known: rank.with_query_norm(known, self.n_docs)) if with_norm else None
-        self.known, self.found = stored.match(self.terms, field, enrich=enrich)
+        self.known, self.found = stored.match(self.terms, field, enrich=enrich, by_document=True)
 
     def bm25(self, **settings):
         return rank.bm25(self.found, self.n_docs, self.avg_len, **settings)
@@ -232,7 +234,7 @@ def search_body_all(spark, sf_dir):
 )
 def search_body_subset(spark, sf_dir):
     search = Search(spark, sf_dir)
-    return rank.top_n(rank.subset_score(search.known, search.found), 100)
+    return rank.top_n(rank.subset_score(search.known, search.found, search.fits), 100)
 
 
 @query(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from termweave.operators import rank
 from termweave.operators.index import counted_rows, term_stats
-from termweave.operators.joins import plan_bytes
+from termweave.operators.joins import dealt_parts, plan_bytes
 
 N_BUCKETS = 124
 # Text that a bucket stands for where the number of buckets follows the corpus, and the least and most buckets.
@@ -80,15 +80,18 @@ class StoredIndex:
         return rows if buckets is None else rows.where(F.col("bucket").isin(list(buckets)))
 
     def match(
-        self, terms: DataFrame, field: str, enrich: Callable[[DataFrame], DataFrame] | None = None
+        self, terms: DataFrame, field: str, enrich: Callable[[DataFrame], DataFrame] | None = None, by_document: bool = False
     ) -> tuple[DataFrame, DataFrame]:
         """(known, found) of any number of query terms in a field, see `rank.match`.
 
         The terms meet the postings on bucket and term, so Spark prunes the buckets that no term
-        is in when the job runs, and no job runs before it.
+        is in when the job runs, and no job runs before it. `by_document` deals them to tasks by document first, for sums by
+        query and document.
         """
         placed = terms.withColumn("bucket", bucket_of("term", self.n_buckets))
-        known, found = rank.match(placed, self.postings(field), self.term_stats(field), enrich=enrich, on=("bucket", "term"))
+        postings = self.postings(field)
+        parts = dealt_parts(postings) if by_document else None
+        known, found = rank.match(placed, postings, self.term_stats(field), enrich=enrich, on=("bucket", "term"), parts=parts)
         return known.drop("bucket"), found.drop("bucket")
 
     def n_docs(self, field: str) -> Column:
