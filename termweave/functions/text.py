@@ -17,8 +17,13 @@ VECTORIZER_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
 def tokens(text: Column | str, stops: Sequence[str] = (), pattern: str = TOKEN_PATTERN) -> Column:
-    """The tokens of a text in order, lower-cased, without the stop words."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
+    """The tokens of a text in order, lower-cased, without the stop words.
+
+    What may follow in a token is settled by the next character, so nothing is gained by giving characters back: in the
+    patterns of this module the last quantifier is possessive, which Java runs as a loop.
+    """
+    java = pattern + "+" if pattern in (TOKEN_PATTERN, SHORT_TOKEN_PATTERN, VECTORIZER_PATTERN) else pattern
+    found = F.regexp_extract_all(F.lower(text), F.lit(java), F.lit(0))
     return F.filter(found, lambda token: ~token.isin(list(stops))) if stops else found
 
 
@@ -73,22 +78,33 @@ def whole_piece(pattern: str) -> str:
 def typed_tokens(text: Column | str) -> Column:
     """ARRAY<STRUCT<token, token_type>> of a text, in order and without spaces.
 
-    A piece that fits no type is one OTHER token up to its closing signs.
+    A piece that fits no type is one OTHER token up to its closing signs. A piece is matched once: the types are branches of one
+    pattern, each with a group of its own, and the groups are written one after the other. Between them stands a space and
+    <, which no piece has, since spaces are in tags and dates only. Pieces of letters alone, most of them, are words as they are.
     """
-    other = r"^(.*?)([.,:;!?)]*)$"
+    kinds = [name for name, _ in PIECE_TYPES]
+    branches = "|".join(f"({pattern})" for _, pattern in [*PIECE_TYPES, ("OTHER", ".*?")])
+    # A line separator at the very end is no part of a token; it goes with the match.
+    groups = " <".join(f"${k}" for k in range(1, len(kinds) + 3))
+    pieces = F.regexp_extract_all(text, F.lit(PIECES), F.lit(0))
+
+    def parts_of(parts: Column) -> Column:
+        kind = F.lit("OTHER")
+        for k in reversed(range(len(kinds))):
+            kind = F.when(parts[k] != "", kinds[k]).otherwise(kind)
+        token = F.array_join(F.slice(parts, 1, len(kinds) + 1), "")
+        first = F.array(F.struct(token.alias("token"), kind.alias("token_type")))
+        rest = parts[len(kinds) + 1]
+        signs = F.transform(F.split(rest, ""), lambda x: F.struct(x.alias("token"), F.lit("OTHER").alias("token_type")))
+        return F.when(rest == "", first).otherwise(F.concat(first, signs))
 
     def tokens_of(piece: Column) -> Column:
-        kind, token, rest = F.lit("OTHER"), F.regexp_extract(piece, other, 1), F.regexp_extract(piece, other, 2)
-        for name, pattern in reversed(PIECE_TYPES):
-            fits = piece.rlike(whole_piece(pattern))
-            kind = F.when(fits, name).otherwise(kind)
-            token = F.when(fits, F.regexp_extract(piece, whole_piece(pattern), 1)).otherwise(token)
-            rest = F.when(fits, F.regexp_extract(piece, whole_piece(pattern), 2)).otherwise(rest)
-        signs = F.transform(F.filter(F.split(rest, ""), lambda x: x != ""), lambda x: F.struct(x.alias("token"), F.lit("OTHER").alias("token_type")))
-        return F.concat(F.array(F.struct(token.alias("token"), kind.alias("token_type"))), signs)
-
-    found = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(PIECES), F.lit(0)), tokens_of))
-    return F.filter(found, lambda x: x["token"] != "")
+        cut = F.split(F.regexp_replace(piece, rf"^(?:{branches})({CLOSING})$[\s\S]*", groups), " <")
+        fitting = F.filter(F.array(cut), lambda parts: F.size(parts) == len(kinds) + 2)
+        plain = F.array(F.struct(piece.alias("token"), F.lit("WORD").alias("token_type")))
+        return F.when(piece.rlike(r"^[\p{L}_]+\z"), plain).otherwise(F.flatten(F.transform(fitting, parts_of)))
+
+    return F.filter(F.flatten(F.transform(pieces, tokens_of)), lambda x: x["token"] != "")
 
 
 HTML_TITLE = r"(?is)<title>(.*?)</title>"

@@ -8,6 +8,7 @@ from termweave.functions import text as text_fn
 from termweave.functions.scoring import rounded
 from termweave.functions.stopwords import stop_words
 from termweave.operators import graph, index, stats
+from termweave.operators.joins import dealt_parts
 from termweave.plans import sql, tables
 from termweave.plans.registry import query
 from termweave.session import scratch_path
@@ -238,7 +239,8 @@ def filter_short_stop(spark, sf_dir):
 
 def _typed_rows(spark, sf_dir):
     text = text_fn.strip_markup("html")
-    return tables.pages(spark, sf_dir).select("page_id", F.inline(text_fn.typed_tokens(text)))
+    pages = tables.read(spark, sf_dir, "pages", "page_id", "html")
+    return pages.repartition(dealt_parts(pages)).select("page_id", F.inline(text_fn.typed_tokens(text)))
 
 
 def _typed_sql() -> str:

@@ -52,3 +52,37 @@ def test_depths_meet_the_run_before_its_shuffle(spark):
     sent = rank.top_by(run, depths, True)
     assert "BroadcastExchange" in plan_of(sent)
     assert rows(sent, "query_id", "doc_id", "rank") == rows(rank.top_by(run, depths), "query_id", "doc_id", "rank")
+
+
+def test_heavy_work_is_dealt_by_size(spark, monkeypatch):
+    monkeypatch.setattr(joins, "DEALT_BYTES", 2_000)
+    n = joins.dealt_parts(tables.read(spark, SF_DIR, "pages", "page_id", "html"))
+    assert n > 2 * spark.sparkContext.defaultParallelism
+    for name in ("typed_tokens", "distinct_token_types"):
+        assert f"RoundRobinPartitioning({n})" in plan_of(QUERIES[name](spark, SF_DIR))
+
+
+def test_a_piece_is_matched_once(spark):
+    """Tokens of pieces with line separators, brackets and signs: those of one pattern for each type."""
+    df = spark.createDataFrame([(PIECES,), ("",), (None,)], "text STRING")
+    got = [r.t and [tuple(x) for x in r.t] for r in df.select(text_fn.typed_tokens("text").alias("t")).collect()]
+    want = []
+    pieces = df.select(F.posexplode(F.regexp_extract_all("text", F.lit(text_fn.PIECES), F.lit(0))).alias("i", "piece"))
+    kind, token, rest = F.lit("OTHER"), F.regexp_extract("piece", r"^(.*?)([.,:;!?)]*)$", 1), F.regexp_extract("piece", r"^(.*?)([.,:;!?)]*)$", 2)
+    for name, pattern in reversed(text_fn.PIECE_TYPES):
+        fits = F.col("piece").rlike(text_fn.whole_piece(pattern))
+        kind = F.when(fits, name).otherwise(kind)
+        token = F.when(fits, F.regexp_extract("piece", text_fn.whole_piece(pattern), 1)).otherwise(token)
+        rest = F.when(fits, F.regexp_extract("piece", text_fn.whole_piece(pattern), 2)).otherwise(rest)
+    for r in pieces.select("i", kind.alias("kind"), token.alias("token"), rest.alias("rest")).orderBy("i").collect():
+        want += [(r.token, r.kind)] * (r.token != "") + [(x, "OTHER") for x in r.rest]
+    assert len(want) > 25 and got == [want, [], None]
+
+
+def test_possessive_tokens_are_the_same(spark):
+    texts = [("a-b--c 'tis it's-o'k #tag @x- " + "w" * 60 + " x-" * 40 + " É-é's _a-_b ab- cd",), (None,)]
+    df = spark.createDataFrame(texts, "text STRING").unionByName(spark.read.parquet(f"{SF_DIR}/documents.parquet").select("text"))
+    for pattern in (text_fn.TOKEN_PATTERN, text_fn.SHORT_TOKEN_PATTERN, text_fn.VECTORIZER_PATTERN):
+        plain = F.regexp_extract_all(F.lower("text"), F.lit(pattern), F.lit(0))
+        both = df.select(text_fn.tokens("text", (), pattern).alias("a"), plain.alias("b"))
+        assert both.where("NOT a <=> b").count() == 0
