@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from termweave.functions import text as text_fn
+from termweave.operators.joins import dealt_parts
 from termweave.session import shared_dir
 
 # Documents per block of a posting list. With integer ids a block holds at most this many postings.
@@ -183,6 +184,12 @@ def batches(docs: DataFrame, batch_size: int = 1000, key: str = "doc_id") -> Dat
 
 
 def batch_indexes(docs: DataFrame, batch_size: int = 1000, text: str = "text", stops: Sequence[str] = ()) -> DataFrame:
-    """(batch, term, doc_id, tf): one partial index per batch of documents."""
-    placed = docs.select("doc_id", text).join(batches(docs, batch_size), "doc_id")
+    """(batch, term, doc_id, tf): one partial index per batch of documents.
+
+    Texts meet their batch in small parts by document, whose postings lie together: merging them shuffles nothing, and
+    what a task holds does not grow with the corpus.
+    """
+    texts = docs.select("doc_id", text)
+    parts = dealt_parts(texts)
+    placed = texts.repartition(parts, "doc_id").join(batches(docs, batch_size).repartition(parts, "doc_id"), "doc_id")
     return build_postings(placed, text, stops, keys=["batch", "doc_id"]).drop("doc_len")

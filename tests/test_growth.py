@@ -86,3 +86,13 @@ def test_possessive_tokens_are_the_same(spark):
         plain = F.regexp_extract_all(F.lower("text"), F.lit(pattern), F.lit(0))
         both = df.select(text_fn.tokens("text", (), pattern).alias("a"), plain.alias("b"))
         assert both.where("NOT a <=> b").count() == 0
+
+
+def test_merged_batches_shuffle_no_postings(spark, monkeypatch):
+    monkeypatch.setattr(joins, "DEALT_BYTES", 2_000)
+    docs = tables.read(spark, SF_DIR, "documents", "doc_id", "text")
+    merged = index.merge_postings(index.batch_indexes(docs, 7))
+    plan = plan_of(merged)
+    assert "hashpartitioning(term" not in plan and f"hashpartitioning(doc_id#" in plan
+    assert f", {joins.dealt_parts(docs)}), REPARTITION_BY_NUM" in plan
+    assert rows(merged, "term", "doc_id", "tf") == rows(index.build_postings(docs), "term", "doc_id", "tf")
