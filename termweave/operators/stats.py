@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from termweave.functions.text import reaches_min_length
 from termweave.functions.stem import stem
 from termweave.operators.index import term_stats
+from termweave.operators.joins import dealt_parts
 
 # Bytes of one posting in the size report.
 POSTING_BYTES = 6
@@ -126,12 +127,14 @@ def stem_vocabulary(stats: DataFrame) -> DataFrame:
 
 
 def stem_postings(postings: DataFrame, stems: DataFrame) -> DataFrame:
-    """Postings by stem: (term, doc_id, tf), where `term` is the stem."""
-    return (
-        postings.join(stems, "term")
-        .groupBy(F.col("stem").alias("term"), "doc_id")
-        .agg(F.sum("tf").alias("tf"))
-    )
+    """Postings by stem: (term, doc_id, tf), where `term` is the stem.
+
+    Few postings of a document share a stem, so sums before a shuffle would hold nearly all rows of a task. The rows go to small parts
+    by document, and are summed there.
+    """
+    stemmed = postings.join(stems, "term").select(F.col("stem").alias("term"), "doc_id", "tf")
+    by_document = stemmed.repartition(dealt_parts(postings), "doc_id")
+    return by_document.groupBy("term", "doc_id").agg(F.sum("tf").alias("tf"))
 
 
 def stemmed_variant(postings: DataFrame, stats: DataFrame, stops: Sequence[str], max_rare: int = 2) -> DataFrame:

@@ -96,3 +96,16 @@ def test_merged_batches_shuffle_no_postings(spark, monkeypatch):
     assert "hashpartitioning(term" not in plan and f"hashpartitioning(doc_id#" in plan
     assert f", {joins.dealt_parts(docs)}), REPARTITION_BY_NUM" in plan
     assert rows(merged, "term", "doc_id", "tf") == rows(index.build_postings(docs), "term", "doc_id", "tf")
+
+
+def test_stems_are_summed_in_parts_of_documents(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(joins, "DEALT_BYTES", 2_000)
+    docs = tables.read(spark, SF_DIR, "documents", "doc_id", "text")
+    stored = index_store.write_documents(docs, text_fn.tokens("text", tables.STOPS), str(tmp_path), "body", 8)
+    vocabulary = stats.stem_vocabulary(stored.term_stats("body"))
+    summed = stats.stem_postings(stored.postings("body"), vocabulary)
+    plan = plan_of(summed)
+    assert f", {joins.dealt_parts(stored.postings('body'))}), REPARTITION_BY_NUM" in plan
+    assert "hashpartitioning(term" not in plan.split("REPARTITION_BY_NUM")[0]
+    plain = stored.postings("body").join(vocabulary, "term").groupBy(F.col("stem").alias("term"), "doc_id").agg(F.sum("tf").alias("tf"))
+    assert rows(summed, "term", "doc_id", "tf") == rows(plain, "term", "doc_id", "tf")
