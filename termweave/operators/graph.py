@@ -29,9 +29,11 @@ def link_vertices(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
 
 
-def _lay_out(df: DataFrame, width: int, *keys: str) -> DataFrame:
+def _lay_out(df: DataFrame, width: int, *keys: str, listed: str | None = None) -> DataFrame:
     """Checkpoint the distinct rows of `df` partitioned and sorted by `keys`, in a way that later joins on them see.
 
+    With `listed` the values of that column become one list of structs for each row of keys, so joins handle a row for the keys.
+
     The layout of a checkpoint is known to the planner only when the plan that wrote it
     was not adaptive. Copies of a row meet in one partition, so `distinct` needs no
     shuffle of its own.
@@ -40,7 +42,10 @@ def _lay_out(df: DataFrame, width: int, *keys: str) -> DataFrame:
     adaptive = conf.get("spark.sql.adaptive.enabled")
     conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        return df.repartition(width, *keys).distinct().sortWithinPartitions(*keys).checkpoint()
+        rows = df.repartition(width, *keys).distinct()
+        if listed:
+            rows = rows.groupBy(*keys).agg(F.collect_list(F.struct(listed)).alias("listed"))
+        return rows.sortWithinPartitions(*keys).checkpoint()
     finally:
         conf.set("spark.sql.adaptive.enabled", adaptive)
 
@@ -69,7 +74,7 @@ def pagerank(
     With `normalize` the ranks are scaled to sum up to the number of vertices, which
     matters where pages without links let rank leak out.
 
-    Edges are laid out once by (src, part) and ranks go to them, so a round shuffles
+    Edges are laid out once by (src, part), as lists of targets, and ranks go to them, so a round shuffles
     one row per vertex and the sums per target (combined before their shuffle), never the
     edges. A source with very many links is cut into parts of about `edges_per_part`
     edges; its rank goes to each part. The layouts and every third round are
@@ -81,13 +86,11 @@ def pagerank(
     width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     parted, hot = _part_edges(edges.select("src", "dst"), edges_per_part)
-    laid_out = _lay_out(parted, width, "src", "part")
-    ends = F.array(
-        F.struct(F.col("src").alias("id"), F.lit(1).alias("out")),
-        F.struct(F.col("dst").alias("id"), F.lit(0).alias("out")),
-    )
+    laid_out = _lay_out(parted, width, "src", "part", listed="dst")
+    sources = laid_out.select(F.col("src").alias("id"), F.size("listed").alias("out"))
+    targets = laid_out.select(F.inline("listed").alias("id")).withColumn("out", F.lit(0))
     vertices = (
-        laid_out.select(F.inline(ends))
+        sources.unionByName(targets)
         .groupBy("id")
         .agg(F.sum("out").alias("degree"))
         .join(hot.withColumnRenamed("src", "id"), "id", "left")
@@ -104,7 +107,8 @@ def pagerank(
         )
         received = (
             laid_out.join(shares, ["src", "part"])
-            .groupBy(F.col("dst").alias("id"))
+            .select("share", F.inline("listed").alias("id"))
+            .groupBy("id")
             .agg(F.sum("share").alias("received"))
         )
         rank = F.lit(reset) + F.lit(1.0 - reset) * F.coalesce("received", F.lit(0.0))

@@ -109,3 +109,11 @@ def test_stems_are_summed_in_parts_of_documents(spark, tmp_path, monkeypatch):
     assert "hashpartitioning(term" not in plan.split("REPARTITION_BY_NUM")[0]
     plain = stored.postings("body").join(vocabulary, "term").groupBy(F.col("stem").alias("term"), "doc_id").agg(F.sum("tf").alias("tf"))
     assert rows(summed, "term", "doc_id", "tf") == rows(plain, "term", "doc_id", "tf")
+
+
+def test_a_source_is_one_row_of_the_layout(spark):
+    graph.shared_dir(spark)
+    edges = spark.createDataFrame([(1, 2, 0), (1, 3, 0), (1, 3, 0), (1, None, 0), (2, 1, 0), (2, 1, 1)], "src LONG, dst LONG, part LONG")
+    laid = graph._lay_out(edges, 3, "src", "part", listed="dst")
+    found = {(r.src, r.part): sorted(x.dst or 0 for x in r.listed) for r in laid.collect()}
+    assert laid.count() == 3 and found == {(1, 0): [0, 2, 3], (2, 0): [1], (2, 1): [1]}
