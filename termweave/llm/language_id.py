@@ -102,6 +102,7 @@ def count_grams(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """(lang, gram, n) over all words of all texts that have a language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.make_room("language_id")
         held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), object)
@@ -342,6 +343,7 @@ def _score_rows(docs: DataFrame, columns: list[str], text: str, models: Language
         return rows.mapInArrow(take, schema)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.make_room("language_id")
         own = shared.value
         scorer = Scorer(own.models)
         for batch in filter(len, batches):

@@ -112,6 +112,12 @@ def load_added(path: str) -> re.Pattern[bytes] | None:
     return re.compile(b"|".join(re.escape(x) for x in sorted(added, key=len, reverse=True)), re.IGNORECASE) if added else None
 
 
+def forget() -> None:
+    """Drop the vocabularies that this worker holds: they are large, and other operators do not need them."""
+    for cached in (load_tokenizer, load_merges, load_added):
+        cached.cache_clear()
+
+
 class Encoder:
     """Ids of whole texts; words that repeat are looked up."""
 
@@ -191,6 +197,8 @@ def token_pieces(
     fields = f"{key} LONG, piece INT, start LONG, length LONG, ids_crc32 LONG" + ", ids ARRAY<INT>" * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.make_room("packing")
+        arrays.keeps("packing", forget)
         encoder = Encoder(tokenizer)
         for batch in batches:
             names = batch.column(0).to_pylist()

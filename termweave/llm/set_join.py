@@ -44,8 +44,9 @@ COUNTED = 1_000_000
 LEADER_SHARE = 3
 # Sets of one leader in a block.
 GROUP_BLOCK = 250
-# Pairs made at once, and ids up to which (4 MB) a list of ids is sent to every executor.
+# Pairs told at once, those looked at at once (some twenty numbers stand for each), and ids up to which (4 MB) a list of ids is sent to every executor.
 PAIRS = 1_000_000
+LOOKED_AT = 250_000
 SENT_IDS = 500_000
 
 
@@ -57,6 +58,7 @@ def frequent_shingles(docs: DataFrame, text: str, n: int) -> np.ndarray:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.make_room("set_join")
         held: list[np.ndarray] = []
         size = 0
 
@@ -116,6 +118,7 @@ def read_sets(docs: DataFrame, key: str, text: str, n: int, num: int, den: int)
     order = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, text, n))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.make_room("set_join")
         sort = Order(order.value)
         for batch in filter(len, batches):
             sizes, digests, prefixes = [], [], []
@@ -157,6 +160,7 @@ def live_entries(num: int, den: int):
     names = ["token", "id", "size", "place"]
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.make_room("set_join")
         last: dict[str, np.ndarray] | None = None  # the entry before this batch, still to be decided
         fits = False
         for batch in filter(len, batches):
@@ -186,6 +190,7 @@ def group_links(num: int, den: int):
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.make_room("set_join")
         block: tuple | None = None
         ids: list[int] = []
         held: list[np.ndarray] = []
@@ -235,6 +240,7 @@ def candidate_pairs(num: int, den: int):
     """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.make_room("set_join")
         held: dict[str, np.ndarray] | None = None
         found: list[np.ndarray] = []
         n_found = 0
@@ -283,7 +289,7 @@ def candidate_pairs(num: int, den: int):
             begin = 0
             while begin < starts.size:
                 total = np.cumsum(counts[begin:])
-                stop = begin + max(1, int(np.searchsorted(total, PAIRS, "right")))
+                stop = begin + max(1, int(np.searchsorted(total, LOOKED_AT, "right")))
                 right = np.repeat(np.arange(begin, stop), counts[begin:stop])
                 if right.size:
                     first = np.repeat(np.cumsum(counts[begin:stop]) - counts[begin:stop], counts[begin:stop])
@@ -345,6 +351,7 @@ def whole_sets(docs: DataFrame, ids: DataFrame, key: str, text: str, n: int) ->
     texts = texts.join(sent, F.col("id") == F.col("asked"), "left_semi")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrays.make_room("set_join")
         for batch in batches:
             lists: list[np.ndarray] = []
             size = done = 0
