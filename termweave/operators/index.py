@@ -16,39 +16,33 @@ from termweave.session import shared_dir
 BLOCK_DOCS = 1 << 16
 
 
-def count_terms(docs: DataFrame, tokens: Column, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """(keys, term, tf, doc_len) for every distinct token of a row."""
-    return counted_rows(docs, tokens, keys).select(*keys, "doc_len", F.inline("entries")).select(*keys, "term", "tf", "doc_len")
-
-
-def counted_rows(docs: DataFrame, tokens: Column, keys: Sequence[str] = ("doc_id",), empty: bool = False) -> DataFrame:
-    """(keys, doc_len, entries ARRAY<STRUCT<term, tf>>) of rows with tokens; with `empty` of all rows.
+def count_terms(docs: DataFrame, tokens: Column, keys: Sequence[str] = ("doc_id",), lengths: bool = False) -> DataFrame:
+    """(keys, term, tf, doc_len) for every distinct token of a row; with `lengths` also a row without a term for every row.
 
     A document is one row, so its tokens are counted inside the row (sort, then read
     off the runs): nothing is shuffled. The arrays pass through explode(array(...)),
-    which keeps the optimizer from pasting the tokenizer into the lambdas.
+    which keeps the optimizer from pasting the tokenizer into the lambda. Before the ends of
+    the runs stands -1, which is the row without a term; the ends become rows, and terms and
+    counts are read off in generated code.
     """
     keys = list(keys)
     in_order = docs.select(*keys, F.explode(F.array(F.sort_array(tokens))).alias("words"))
-    if not empty:
+    if not lengths:
         in_order = in_order.where("size(words) > 0")
-    run_ends = in_order.select(
-        *keys,
-        "words",
-        F.explode(
-            F.expr(
-                "array(filter(if(size(words) > 0, sequence(0, size(words) - 1), array()),"
-                " i -> i = size(words) - 1 or words[i] <> words[i + 1]))"
-            )
-        ).alias("ends"),
+    ends = (
+        "array(concat(array(-1), filter(if(size(words) > 0, sequence(0, size(words) - 1), array()),"
+        " i -> coalesce(get(words, i) <> get(words, i + 1), i = size(words) - 1))))"
+    )
+    runs = in_order.select(*keys, "words", F.explode(F.expr(ends)).alias("ends")).select(
+        *keys, "words", "ends", F.size("words").cast("long").alias("doc_len"), F.posexplode("ends").alias("place", "last")
     )
-    return run_ends.select(
+    if not lengths:
+        runs = runs.where("place > 0")
+    return runs.select(
         *keys,
-        F.size("words").cast("long").alias("doc_len"),
-        F.expr(
-            "transform(ends, (last, n) -> struct(words[last] as term,"
-            " cast(last - if(n > 0, ends[n - 1], -1) as long) as tf))"
-        ).alias("entries"),
+        F.expr("get(words, last)").alias("term"),
+        F.expr("cast(if(place > 0, last - ends[place - 1], 0) as long)").alias("tf"),
+        "doc_len",
     )
 
 

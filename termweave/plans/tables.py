@@ -12,6 +12,7 @@ from termweave.functions import text as text_fn
 from termweave.functions.scoring import rounded
 from termweave.functions.stopwords import stop_words
 from termweave.operators import graph, index
+from termweave.operators.joins import dealt_parts
 from termweave.operators.rank import query_terms
 from termweave.session import shared_dir
 from termweave.sources.corpus import file_digest, folders, is_written, read_corpus, spread, write_ranks
@@ -193,12 +194,11 @@ def build_search_index(spark: SparkSession, sf_dir: str, path: str) -> StoredInd
     """
     texts = read(spark, sf_dir, "documents", "doc_id", "text")
     n_buckets = buckets_for(texts)
-    parts = parts_for(texts, n_buckets)
 
     def title() -> None:
         document_titles(spark, sf_dir).write.mode("overwrite").parquet(f"{path}/titles")
         titles = spark.read.schema("doc_id LONG, title STRING").parquet(f"{path}/titles")
-        write_documents(titles, text_fn.tokens("title", STOPS), path, "title", n_buckets, parts)
+        write_documents(titles, text_fn.tokens("title", STOPS), path, "title", n_buckets, parts_for(titles, n_buckets))
 
     def names() -> None:
         named_pages(spark, sf_dir).write.mode("overwrite").parquet(f"{path}/names")
@@ -206,10 +206,13 @@ def build_search_index(spark: SparkSession, sf_dir: str, path: str) -> StoredInd
     def anchor() -> None:
         anchors = index.anchor_postings(resolved_links(spark, sf_dir), STOPS)
         lengths = index.doc_lengths(anchors)
+        parts = parts_for(read(spark, sf_dir, "pages", "html"), n_buckets)
         write_index(anchors.join(lengths, "doc_id"), lengths, path, "anchor", n_buckets, parts)
 
     def body() -> None:
-        write_documents(documents(spark, sf_dir), text_fn.tokens("text", STOPS), path, "body", n_buckets, parts)
+        # Tokenizing is heavy work: a split of the table would be one long task.
+        dealt = texts.repartition(dealt_parts(texts))
+        write_documents(dealt, text_fn.tokens("text", STOPS), path, "body", n_buckets, parts_for(texts, n_buckets))
 
     with ThreadPoolExecutor(4) as pool:
         for job in [pool.submit(job) for job in (body, title, anchor, names)]:

@@ -112,3 +112,37 @@ def test_stems_are_summed_in_parts_of_documents(spark, tmp_path, monkeypatch):
     assert "hashpartitioning(term" not in plan.split("REPARTITION_BY_NUM")[0]
     plain = stored.postings("body").join(vocabulary, "term").groupBy(F.col("stem").alias("term"), "doc_id").agg(F.sum("tf").alias("tf"))
     assert rows(summed, "term", "doc_id", "tf") == rows(plain, "term", "doc_id", "tf")
+
+
+def test_a_task_sorts_one_part_of_one_bucket(spark, tmp_path):
+    """Files of a bucket are as many as its parts, each sorted, also where shuffles have fewer partitions than that."""
+    of = [(i, f"w{i % 7} w{i % 7} x{i}") for i in range(60)] + [(100, ""), (101, None), (None, "w1 none none")]
+    docs = spark.createDataFrame(of, "doc_id LONG, text STRING").repartition(3)
+    path = str(tmp_path / "parts")
+    stored = index_store.write_documents(docs, text_fn.tokens("text", pattern=text_fn.SHORT_TOKEN_PATTERN), path, "body", 2, 5)
+    named = spark.read.parquet(f"{path}/postings").select("*", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"))
+    of_file = named.where(f"bucket > {index_store.LENGTHS}").select("bucket", "file", "term", F.coalesce("doc_id", F.lit(-1)).alias("doc_id"), "at").collect()
+    files = {}
+    for row in sorted(of_file, key=lambda r: r.at):
+        files.setdefault((row.bucket, row.file), []).append((row.term, row.doc_id))
+    assert all(found == sorted(found) for found in files.values())
+    for bucket in (0, 1):
+        assert sum(b == bucket for b, _ in files) == 5
+    counted = {(r.term, r.doc_id, r.tf, r.doc_len) for r in stored.postings("body").collect()}
+    want = {t for i in range(60) for t in ((f"w{i % 7}", i, 2, 3), (f"x{i}", i, 1, 3))} | {("w1", None, 1, 3), ("none", None, 2, 3)}
+    assert counted == want and stored.postings("body").count() == len(want)
+    assert {(r.doc_id, r.doc_len) for r in stored.doc_stats("body").where("doc_id >= 100").collect()} == {(100, 0), (101, None)}
+    assert stored.doc_stats("body").count() == 63
+
+
+def test_body_texts_are_dealt_by_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "dealt_parts", lambda df: 37)
+    seen = {}
+
+    def write(docs, tokens, path, field, *more):
+        seen[field] = plan_of(docs)
+        return index_store.write_documents(docs, tokens, path, field, *more)
+
+    monkeypatch.setattr(tables, "write_documents", write)
+    tables.build_search_index(spark, SF_DIR, str(tmp_path / "dealt"))
+    assert "RoundRobinPartitioning(37)" in seen["body"]
